@@ -138,8 +138,9 @@ def _ids_and_units(ids: pa.Array, vectors: pa.Array) -> tuple[np.ndarray, np.nda
 
 
 def _size_of(table: DataFrame) -> tuple[int, int]:
-    row = table.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    return row["n"], max(row["dim"] or 1, 1)
+    """Row count and vector length; on a stored table the count reads footers only."""
+    first = table.where(F.col("embedding").isNotNull()).select(F.size("embedding")).first()
+    return table.count(), max(first[0] if first else 1, 1)
 
 
 def knn(
@@ -154,7 +155,8 @@ def knn(
     Few queries (their size is counted first) are broadcast and the corpus stays
     where it is. More than that, and both sides are cut into blocks by a hash of
     ``row_id``, every pair of blocks meeting in one task. Either way a task hands
-    on at most ``k`` rows per query, and Spark ranks those.
+    on at most ``k`` rows per query, and Spark ranks those. Both sides are read
+    more than once: store what an encoder made before searching it.
     """
     n_queries, dim = _size_of(queries)
     if n_queries * dim * 8 <= broadcast_bytes:
@@ -248,7 +250,7 @@ def approximate_knn(
     exact. A bucket that holds much of the corpus is cut into blocks like an
     exact search, so no task gets a whole one and none is dropped.
     """
-    _, dim = _size_of(queries)
+    _, dim = _size_of(corpus)
     planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
     per_block = max(block_bytes // (dim * 8), 1)
 

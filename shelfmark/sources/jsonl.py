@@ -24,10 +24,12 @@ def read_lines(spark: SparkSession, path: str | list[str], **options) -> DataFra
 
     ``block`` is the offset of the file part a task read and ``line_no`` grows
     within it, so ``(file, block, line_no)`` restores line order with no shuffle
-    spent before somebody sorts. ``line_no`` is not dense.
+    spent before somebody sorts. ``line_no`` is not dense. Partition columns of
+    a folder such as the merged sink's come first.
     """
     lines = spark.read.options(**options).text(path)
     numbered = lines.select(
+        *[c for c in lines.columns if c != "value"],
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"),
