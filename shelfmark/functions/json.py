@@ -16,90 +16,94 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 END = "shelfmark~end"
-STRICT = {"allowSingleQuotes": "false"}
+STRICT = "map('allowSingleQuotes', 'false')"
 
 # Spark's parser also takes signed spellings of infinity that Python rejects.
-_ODD_INFINITY = r"\+Infinity|[+-]?\bINF\b"
-_STRING_LITERAL = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_ODD_INFINITY = r"r'\+Infinity|[+-]?\bINF\b'"
+_STRING_LITERAL = r"""r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'"""
 
 
-def _has_odd_infinity(line: Column) -> Column:
+def _odd_infinity(line: str) -> str:
     # The literals are blanked only on the rare line that holds the spelling at all.
-    return F.when(
-        line.rlike(_ODD_INFINITY),
-        F.regexp_replace(line, _STRING_LITERAL, "").rlike(_ODD_INFINITY),
-    ).otherwise(F.lit(False))
+    return (
+        f"CASE WHEN {line} RLIKE {_ODD_INFINITY} "
+        f"THEN regexp_replace({line}, {_STRING_LITERAL}, '') RLIKE {_ODD_INFINITY} ELSE false END"
+    )
 
 
-def is_json(line: Column) -> Column:
+def is_json(line: str) -> Column:
     """True when the whole line is one JSON value by Python's rules; never null."""
-    items = F.from_json(
-        F.concat(F.lit("["), line, F.lit(f',"{END}"]')), "array<string>", STRICT
+    items = f"""from_json(concat('[', {line}, ',"{END}"]'), 'array<string>', {STRICT})"""
+    return F.expr(
+        f"coalesce(size({items}) = 2 AND element_at({items}, -1) = '{END}' AND NOT {_odd_infinity(line)}, false)"
     )
-    whole = (F.size(items) == 2) & (F.element_at(items, -1) == END)
-    return F.coalesce(whole & ~_has_odd_infinity(line), F.lit(False))
 
 
-def parse_object(line: Column, fields: str) -> Column:
+def parse_object(line: str, fields: str) -> Column:
     """Parse a line that must be one JSON object into ``struct<fields>``.
 
     ``fields`` is a DDL field list. The result is null when the line is not
     valid JSON or not an object; :func:`reject_reason` tells the two apart.
     """
-    items = F.from_json(
-        F.concat(F.lit("["), line, F.lit(f',{{"{END}":true}}]')),
-        f"array<struct<{fields},`{END}`:boolean>>",
-        STRICT,
-    )
-    whole = (
-        (F.size(items) == 2)
-        & F.element_at(items, -1)[END]
-        & ~_has_odd_infinity(line)
+    schema = f"array<struct<{fields},`{END}`:boolean>>"
+    items = f"""from_json(concat('[', {line}, ',{{"{END}":true}}]'), '{schema}', {STRICT})"""
+    return F.expr(
+        f"CASE WHEN size({items}) = 2 AND element_at({items}, -1).`{END}` AND NOT {_odd_infinity(line)} "
+        f"THEN element_at({items}, 1) END"
     )
-    return F.when(whole, F.element_at(items, 1))
 
 
-def reject_reason(line: Column, parsed: Column) -> Column:
+def reject_reason(line: str, parsed: str) -> Column:
     """Null for a parsed object, else ``not_object`` or ``bad_json``."""
     return F.when(
-        parsed.isNull(),
+        F.col(parsed).isNull(),
         F.when(is_json(line), F.lit("not_object")).otherwise(F.lit("bad_json")),
     )
 
 
-def truthy(value: Column) -> Column:
-    """Python truth of a VARIANT: false for missing, null, ``""``, 0, false, [], {}."""
-    kind = F.schema_of_variant(value)
-    number = F.try_variant_get(value, "$", "double")
-    return (
-        F.when(value.isNull() | F.is_variant_null(value), F.lit(False))
-        .when(kind == "STRING", F.try_variant_get(value, "$", "string") != "")
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(kind.startswith("ARRAY"), F.size(F.try_variant_get(value, "$", "array<variant>")) > 0)
-        .when(kind.startswith("OBJECT"), kind != "OBJECT<>")
-        .otherwise(F.isnan(number) | (number != 0))
+def described(value: str) -> Column:
+    """``struct(kind, text)`` of a VARIANT: its type's name and its text form.
+
+    The expressions below read these two instead of the VARIANT.
+    """
+    return F.expr(
+        f"struct(schema_of_variant({value}) AS kind, try_variant_get({value}, '$', 'string') AS text)"
     )
 
 
-def is_compound(value: Column) -> Column:
-    """True for arrays and objects, which have no text form."""
-    kind = F.schema_of_variant(value)
-    return F.coalesce(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(False))
+def is_compound(field: str) -> str:
+    """SQL: a described array or object, which has no text form."""
+    return f"coalesce({field}.kind RLIKE '^(ARRAY|OBJECT)', false)"
 
 
-def filled_text(value: Column) -> Column:
-    """A truthy scalar VARIANT as text, else null.
+def truthy(field: str) -> str:
+    """SQL: Python truth of a described value: false for missing, null, ``""``, 0,
+    false, [] and {}; never null."""
+    return (
+        f"coalesce(CASE WHEN {field}.kind = 'STRING' THEN {field}.text <> '' "
+        f"WHEN {field}.kind = 'BOOLEAN' THEN {field}.text = 'true' "
+        f"WHEN {is_compound(field)} THEN {field}.text NOT IN ('[]', '{{}}') "
+        f"WHEN {field}.kind <> 'VOID' THEN try_cast({field}.text AS DOUBLE) <> 0 END, false)"
+    )
+
+
+def filled_text(field: str) -> str:
+    """SQL: a truthy described scalar as text, else null.
 
     Strings are taken as they are (blank ones included), numbers in their JSON
     form, ``true`` as ``True``.
     """
-    as_text = F.try_variant_get(value, "$", "string")
-    return F.when(
-        truthy(value) & ~is_compound(value),
-        F.when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(as_text)).otherwise(as_text),
+    return (
+        f"CASE WHEN {truthy(field)} AND NOT {is_compound(field)} "
+        f"THEN if({field}.kind = 'BOOLEAN', 'True', {field}.text) END"
     )
 
 
+def unexpected(field: str) -> str:
+    """SQL: a non-empty array or object where a text is expected."""
+    return f"({is_compound(field)} AND {truthy(field)})"
+
+
 @F.arrow_udf(T.StringType())
 def _canonical(lines: pa.Array) -> pa.Array:
     def rewrite(line):

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.names import classification, expand_iri, scheme_of, value_of
+from shelfmark.operators.once import evaluate_once
 
 # Terms that name people and bodies, with the role each stands for. Compact and
 # full spellings of one property mean the same.
@@ -61,29 +62,29 @@ def items_at(node: Column, term: str) -> Column:
 
 
 def parse_documents(docs: DataFrame) -> DataFrame:
-    """Add ``graph`` (array of nodes) and ``context`` to rows with a ``value`` text;
-    ``graph`` is null for a document that cannot be read (:func:`unreadable`)."""
-    doc = F.try_parse_json(F.col("value"))
-    return docs.withColumn("__doc", doc).select(
-        *[c for c in docs.columns if c != "value"],
-        F.try_variant_get(F.col("__doc"), _path("@graph"), "array<variant>").alias("graph"),
-        F.try_variant_get(F.col("__doc"), _path("@context"), "map<string,variant>").alias("context"),
-    )
+    """Replace the ``value`` text by ``doc``, a VARIANT; null when it cannot be read."""
+    parsed = evaluate_once(docs, doc=F.try_parse_json(F.col("value")))
+    return parsed.drop("value")
+
+
+def _graph(doc: Column) -> Column:
+    return F.try_variant_get(doc, _path("@graph"), "array<variant>")
 
 
 def unreadable(parsed: DataFrame) -> DataFrame:
     """Documents without a readable graph."""
-    return parsed.where(F.col("graph").isNull()).drop("graph", "context")
+    return parsed.where(_graph(F.col("doc")).isNull()).drop("doc")
 
 
 def nodes(parsed: DataFrame) -> DataFrame:
     """One row per graph node: ``(…, position, node_id, node_type, node, context)``.
 
-    ``node_type`` is null for entities. Every later table starts from here, so
-    write it out once instead of exploding the documents for each of them.
+    ``node_type`` is null for entities, and only records carry their document's
+    ``context``. Every later table starts from here, so write it out once
+    instead of exploding the documents for each of them.
     """
-    keep = [c for c in parsed.columns if c not in ("graph", "context")]
-    exploded = parsed.select(*keep, "context", F.posexplode("graph").alias("position", "node"))
+    keep = [c for c in parsed.columns if c != "doc"]
+    exploded = parsed.select("*", F.posexplode(_graph(F.col("doc"))).alias("position", "node"))
     typed = string_at(F.col("node"), "@type")
     return exploded.select(
         *keep,
@@ -91,10 +92,15 @@ def nodes(parsed: DataFrame) -> DataFrame:
         string_at(F.col("node"), "@id").alias("node_id"),
         typed.alias("node_type"),
         "node",
-        F.when(typed.isNotNull(), F.col("context")).alias("context"),
+        F.when(typed.isNotNull(), context_of(F.col("doc"))).alias("context"),
     )
 
 
+def context_of(doc: Column) -> Column:
+    """What the document's terms mean, by term."""
+    return F.try_variant_get(doc, _path("@context"), "map<string,variant>")
+
+
 def records(graph_nodes: DataFrame) -> DataFrame:
     """The typed nodes, with ``paper_id``: the end of the node's IRI."""
     tail = F.substring_index("node_id", "%3A", -1)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.json import canonical_json
+from shelfmark.functions.json import canonical_json, is_json
+from shelfmark.operators.once import evaluate_once
 
 
 def merge(lines: DataFrame) -> DataFrame:
@@ -15,16 +16,13 @@ def merge(lines: DataFrame) -> DataFrame:
     already trimmed). Any JSON value is kept, objects or not. Provenance and
     order columns pass through; nothing is shuffled.
     """
-    return (
-        lines.withColumn("json", canonical_json(F.col("line")))
-        .where(F.col("json").isNotNull())
-        .drop("line")
-    )
+    rewritten = evaluate_once(lines, json=canonical_json(F.col("line")))
+    return rewritten.where(F.col("json").isNotNull()).drop("line")
 
 
 def malformed(lines: DataFrame) -> DataFrame:
     """The lines :func:`merge` leaves out, with all their columns."""
-    return lines.where(canonical_json(F.col("line")).isNull())
+    return lines.where(~is_json("line"))
 
 
 def count_by(df: DataFrame, *columns: str, name: str = "n_records") -> DataFrame:

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.json import (
     STRICT,
+    described,
     filled_text,
-    is_compound,
     parse_object,
     reject_reason,
     truthy,
+    unexpected,
 )
-from shelfmark.functions.text import first_filled, label_with_definition, or_empty
+from shelfmark.functions.text import label_with_definition
+from shelfmark.operators.once import evaluate_once
 
 # Field names of the two record kinds.
 PAPER_FIELDS = "paper_id variant, content struct<text:variant, title_en:variant>"
@@ -29,22 +31,29 @@ def parse_papers(lines: DataFrame, line: str = "line") -> DataFrame:
     counts as absent. ``reason`` is null for a usable line, even one whose id
     or text is missing; those are :func:`incomplete`.
     """
-    parsed = lines.withColumn("__rec", parse_object(F.col(line), PAPER_FIELDS))
-    rec, content = F.col("__rec"), F.col("__rec.content")
+    parsed = evaluate_once(lines, __rec=parse_object(line, PAPER_FIELDS))
     # A null struct is either a missing field (an empty object, by default) or
     # something that is not an object; only then is the line looked at again.
-    raw_content = F.from_json(F.col(line), "content variant", STRICT)["content"]
-    text = F.when(truthy(content["text"]), content["text"]).otherwise(content["title_en"])
-    return parsed.select(
-        *lines.columns,
-        filled_text(rec["paper_id"]).alias("paper_id"),
-        first_filled(filled_text(text)).alias("text"),
-        F.coalesce(
-            reject_reason(F.col(line), rec),
-            F.when(content.isNull() & raw_content.isNotNull(), F.lit("bad_content")),
-            _compound_reason(rec["paper_id"], text),
-        ).alias("reason"),
+    bad_content = (
+        f"__rec.content IS NULL AND from_json({line}, 'content variant', {STRICT}).content IS NOT NULL"
     )
+    fields = evaluate_once(
+        parsed,
+        __id=described("__rec.paper_id"),
+        __text=described("__rec.content.text"),
+        __title=described("__rec.content.title_en"),
+        __reason=F.coalesce(
+            reject_reason(line, "__rec"), F.expr(f"CASE WHEN {bad_content} THEN 'bad_content' END")
+        ),
+    )
+    use_title = f"NOT {truthy('__text')}"
+    bad_field = f"{unexpected('__id')} OR {unexpected('__text')} OR ({use_title} AND {unexpected('__title')})"
+    return evaluate_once(
+        fields,
+        paper_id=F.expr(filled_text("__id")),
+        text=F.expr(f"if({use_title}, {filled_text('__title')}, {filled_text('__text')})"),
+        reason=F.expr(f"coalesce(__reason, CASE WHEN {bad_field} THEN 'bad_field' END)"),
+    ).select(*lines.columns, "paper_id", "text", "reason")
 
 
 def parse_subjects(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -52,24 +61,22 @@ def parse_subjects(lines: DataFrame, line: str = "line") -> DataFrame:
 
     Missing, null and empty labels and definitions become ``""``.
     """
-    parsed = lines.withColumn("__rec", parse_object(F.col(line), SUBJECT_FIELDS))
-    rec = F.col("__rec")
-    fields = [rec["Code"], rec["Classification Name"], rec["Definition"]]
-    return parsed.select(
-        *lines.columns,
-        filled_text(fields[0]).alias("code"),
-        or_empty(filled_text(fields[1])).alias("label"),
-        or_empty(filled_text(fields[2])).alias("definition"),
-        F.coalesce(reject_reason(F.col(line), rec), _compound_reason(*fields)).alias("reason"),
+    parsed = evaluate_once(lines, __rec=parse_object(line, SUBJECT_FIELDS))
+    fields = evaluate_once(
+        parsed,
+        __code=described("__rec.Code"),
+        __label=described("__rec.`Classification Name`"),
+        __definition=described("__rec.Definition"),
+        __reason=reject_reason(line, "__rec"),
     )
-
-
-def _compound_reason(*fields: Column) -> Column:
-    """A non-empty array or object where a text is expected."""
-    bad = F.lit(False)
-    for field in fields:
-        bad = bad | F.coalesce(is_compound(field) & truthy(field), F.lit(False))
-    return F.when(bad, F.lit("bad_field"))
+    bad_field = " OR ".join(unexpected(f) for f in ("__code", "__label", "__definition"))
+    return evaluate_once(
+        fields,
+        code=F.expr(filled_text("__code")),
+        label=F.expr(f"coalesce({filled_text('__label')}, '')"),
+        definition=F.expr(f"coalesce({filled_text('__definition')}, '')"),
+        reason=F.expr(f"coalesce(__reason, CASE WHEN {bad_field} THEN 'bad_field' END)"),
+    ).select(*lines.columns, "code", "label", "definition", "reason")
 
 
 def usable(parsed: DataFrame, mode: str = SKIP) -> DataFrame:

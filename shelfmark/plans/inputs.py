@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.session import spread
+
 SOURCES = tuple(f"src{i}" for i in range(20))
 SOURCE_LANGS = ("de", "en", "es", "fr")
 DEV_SOURCES = ("src0", "src5", "src10", "src15")
@@ -27,16 +29,12 @@ def split_of(source: Column) -> Column:
     return F.when(source.isin(*DEV_SOURCES), F.lit("dev")).otherwise(F.lit("train"))
 
 
-def _plain_string(value: Column) -> Column:
-    return F.to_json(F.array(value)).substr(F.lit(2), F.length(F.to_json(F.array(value))) - 2)
-
-
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One line per document, placed like a collection: split, source as document
     type, language. Spanish lines lack their closing brace, French ones under
     500 characters are blank."""
     line = F.to_json(F.struct("doc_id", "text"))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         split_of(F.col("source")).alias("split"),
         F.col("source").alias("doc_type"),
         "lang",
@@ -72,7 +70,7 @@ def paper_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("")),
         F.lit("}"),
     )
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", split_of(F.col("source")).alias("split"), line.alias("line")
     )
 
@@ -94,7 +92,7 @@ def subject_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             definition.alias("Definition"),
         )
     )
-    return table(spark, sf_dir, "part").select("p_partkey", line.alias("line"))
+    return spread(table(spark, sf_dir, "part")).select("p_partkey", line.alias("line"))
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +106,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "signup", F.concat(F.lit("["), props, F.lit("]")))
         .otherwise(props)
     )
-    return table(spark, sf_dir, "events").select("event_id", "event_type", line.alias("line"))
+    return spread(table(spark, sf_dir, "events")).select("event_id", "event_type", line.alias("line"))
 
 
 def truth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,105 +123,98 @@ def truth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         for priority, value in zip(priorities, column):
             here = (F.col("o_orderstatus") == status) & (F.col("o_orderpriority") == priority)
             line = F.when(here, F.lit("{}" if value is None else f'{{"v":{value}}}')).otherwise(line)
-    return table(spark, sf_dir, "orders").select("o_orderkey", line.alias("line"))
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", line.alias("line"))
 
 
-def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON-LD document per order: customer, nation and market segment as
-    entities, the order as the record. Titles, labels, subjects and creators
-    change shape with the order's status, segment and year."""
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey", "c_mktsegment"
-    )
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    rows = orders.join(customer, "o_custkey").join(nation, "c_nationkey")
+def _quoted(value: str) -> str:
+    return f"to_json(CAST({value} AS VARIANT))"
+
+
+def _ref(name: str) -> str:
+    return f"""concat('{{"@id":', {_quoted(name)}, '}}')"""
 
-    status, priority, segment = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("c_mktsegment")
-    year = F.year("o_orderdate").cast("string")
-    cust = F.concat(F.lit("cust:"), F.col("o_custkey"))
-    nat = F.concat(F.lit("nat:"), F.col("c_nationkey"))
-    seg = F.concat(F.lit("seg:"), F.lower(segment))
-    key = F.col("o_orderkey").cast("string")
-    quoted = _plain_string
 
-    def ref(name: Column) -> Column:
-        return F.concat(F.lit('{"@id":'), quoted(name), F.lit("}"))
+def _list(*items: str) -> str:
+    return f"concat('[', concat_ws(',', {', '.join(items)}), ']')"
 
-    def listed(*items: Column) -> Column:
-        return F.concat(F.lit("["), F.concat_ws(",", *items), F.lit("]"))
 
-    def member(term: str, value: Column) -> Column:
-        return F.concat(F.lit(f'"{term}":'), value)
+def _member(term: str, value: str) -> str:
+    return f"""concat('"{term}":', {value})"""
 
-    def obj(*members: Column) -> Column:
-        return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
-    label = F.when(segment == "BUILDING", listed(quoted(F.col("c_name")), quoted(segment))).otherwise(
-        quoted(F.col("c_name"))
+def _object(*members: str) -> str:
+    return f"concat('{{', concat_ws(',', {', '.join(members)}), '}}')"
+
+
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON-LD document per order: customer, nation and market segment as
+    entities, the order as the record. Titles, labels, subjects and creators
+    change shape with the order's status, segment and year."""
+    orders = spread(table(spark, sf_dir, "orders"))
+    customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    rows = orders.join(customer, "o_custkey").join(nation, "c_nationkey").selectExpr(
+        "CAST(o_orderkey AS STRING) AS key",
+        "o_orderstatus AS status",
+        "o_orderpriority AS priority",
+        "year(o_orderdate) AS y",
+        "c_mktsegment AS segment",
+        "c_name",
+        "n_name",
+        "CAST(o_custkey AS STRING) AS custkey",
+        "concat('cust:', o_custkey) AS cust",
+        "concat('nat:', c_nationkey) AS nat",
+        "concat('seg:', lower(c_mktsegment)) AS seg",
+        "concat_ws(' ', 'Order', o_orderkey, n_name) AS title",
     )
-    by_reference = segment.isin("MACHINERY", "FURNITURE")
-    title = F.concat_ws(" ", F.lit("Order"), key, F.col("n_name"))
-    record = obj(
-        member("@id", quoted(F.concat(F.lit("https://example.org/id/ORD%3A"), key))),
-        member("@type", F.when(status == "P", F.lit('"bibo:Report"')).otherwise(F.lit('"bibo:Book"'))),
-        member(
-            "title",
-            F.when(status == "P", listed(quoted(title), quoted(priority))).otherwise(quoted(title)),
-        ),
-        member("abstract", quoted(F.concat_ws(" ", segment, F.lit("of"), F.col("c_name")))),
-        F.when(priority != "5-LOW", member("issued", quoted(year))),
-        F.when(
-            status != "O",
-            member("language", quoted(F.concat(
-                F.lit("http://id.loc.gov/vocabulary/iso639-1/"),
-                F.when(segment == "BUILDING", F.lit("de")).otherwise(F.lit("en")),
-            ))),
-        ),
-        member("identifier", listed(
-            quoted(F.concat(F.lit("(ppn)"), key)),
-            quoted(F.concat(F.lit("(firstid)ORD:"), key)),
-        )),
-        member("subject", F.when(status == "F", quoted(segment)).otherwise(listed(
-            quoted(F.concat(F.lit("(classificationName=prio)"), priority)),
-            quoted(F.concat(F.lit("(classificationName=bk, id="), F.col("o_custkey"), F.lit(")"), segment)),
-            quoted(F.concat(F.lit("(other) "), segment)),
-        ))),
-        member("dcterms:subject", listed(ref(cust), ref(nat))),
-        F.when(
-            segment != "AUTOMOBILE",
-            member("creator", F.when(by_reference, listed(quoted(cust), quoted(seg))).otherwise(
-                quoted(F.col("c_name"))
-            )),
-        ),
-        F.when(status == "O", member("http://purl.org/dc/elements/1.1/creator", quoted(F.col("n_name")))),
-        F.when(status == "P", member("dcterms:creator", ref(nat))),
-        member("contributor", listed(quoted(F.lit("Clerk")), ref(cust))),
+    by_reference = "segment IN ('MACHINERY', 'FURNITURE')"
+    record = _object(
+        _member("@id", _quoted("concat('https://example.org/id/ORD%3A', key)")),
+        _member("@type", """if(status = 'P', '"bibo:Report"', '"bibo:Book"')"""),
+        _member("title", f"if(status = 'P', {_list(_quoted('title'), _quoted('priority'))}, {_quoted('title')})"),
+        _member("abstract", _quoted("concat_ws(' ', segment, 'of', c_name)")),
+        f"if(priority <> '5-LOW', {_member('issued', _quoted('CAST(y AS STRING)'))}, NULL)",
+        "if(status <> 'O', "
+        + _member("language", _quoted(
+            "concat('http://id.loc.gov/vocabulary/iso639-1/', if(segment = 'BUILDING', 'de', 'en'))"
+        ))
+        + ", NULL)",
+        _member("identifier", _list(_quoted("concat('(ppn)', key)"), _quoted("concat('(firstid)ORD:', key)"))),
+        _member("subject", f"if(status = 'F', {_quoted('segment')}, " + _list(
+            _quoted("concat('(classificationName=prio)', priority)"),
+            _quoted("concat('(classificationName=bk, id=', custkey, ')', segment)"),
+            _quoted("concat('(other) ', segment)"),
+        ) + ")"),
+        _member("dcterms:subject", _list(_ref("cust"), _ref("nat"))),
+        "if(segment <> 'AUTOMOBILE', "
+        + _member("creator", f"if({by_reference}, {_list(_quoted('cust'), _quoted('seg'))}, {_quoted('c_name')})")
+        + ", NULL)",
+        f"if(status = 'O', {_member('http://purl.org/dc/elements/1.1/creator', _quoted('n_name'))}, NULL)",
+        f"if(status = 'P', {_member('dcterms:creator', _ref('nat'))}, NULL)",
+        _member("contributor", _list("""'"Clerk"'""", _ref("cust"))),
     )
-    creator_term = F.when(
-        by_reference, F.lit('{"@id":"http://purl.org/dc/terms/creator","@type":"@id"}')
-    ).otherwise(F.lit('"http://purl.org/dc/elements/1.1/creator"'))
-    context = obj(
-        member("creator", creator_term),
-        F.lit('"contributor":"http://purl.org/dc/terms/contributor"'),
-        F.lit('"cust":"http://example.org/customer/","nat":"http://example.org/nation/"'),
+    creator_term = (
+        f"""if({by_reference}, '{{"@id":"http://purl.org/dc/terms/creator","@type":"@id"}}', """
+        """'"http://purl.org/dc/elements/1.1/creator"')"""
+    )
+    context = _object(
+        _member("creator", creator_term),
+        """'"contributor":"http://purl.org/dc/terms/contributor"'""",
+        """'"cust":"http://example.org/customer/","nat":"http://example.org/nation/"'""",
     )
 
-    def entity(name: Column, text: Column) -> Column:
-        return obj(member("@id", quoted(name)), member("sameAs", text))
+    def entity(name: str, label: str) -> str:
+        return _object(_member("@id", _quoted(name)), _member("sameAs", label))
 
-    document = obj(
-        member("@graph", listed(
-            entity(cust, label),
-            entity(nat, quoted(F.col("n_name"))),
-            entity(seg, quoted(segment)),
+    label = f"if(segment = 'BUILDING', {_list(_quoted('c_name'), _quoted('segment'))}, {_quoted('c_name')})"
+    document = _object(
+        _member("@graph", _list(
+            entity("cust", label),
+            entity("nat", _quoted("n_name")),
+            entity("seg", _quoted("segment")),
             record,
         )),
-        F.lit('"@id":"urn:example:graph"'),
-        member("@context", context),
-    )
-    return rows.select(
-        key.alias("file"),
-        F.when(F.year("o_orderdate") >= 2000, F.lit("dev")).otherwise(F.lit("train")).alias("split"),
-        document.alias("value"),
+        """'"@id":"urn:example:graph"'""",
+        _member("@context", context),
     )
+    return rows.selectExpr("key AS file", "if(y >= 2000, 'dev', 'train') AS split", f"{document} AS value")

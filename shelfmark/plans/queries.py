@@ -18,6 +18,7 @@ from shelfmark.operators import records as R
 from shelfmark.operators import similarity as S
 from shelfmark.operators.encode import encode, hashed_words
 from shelfmark.operators.numbering import number_rows
+from shelfmark.operators.once import evaluate_once
 from shelfmark.plans import inputs as I
 from shelfmark.plans.jobs import suggest_subjects
 from shelfmark.session import materialize, shared_dir
@@ -103,10 +104,10 @@ def paper_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strict_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("line")
     lines = jsonl.non_blank(I.event_lines(spark, sf_dir))
-    verdict = F.coalesce(J.reject_reason(line, J.parse_object(line, "k variant")), F.lit("ok"))
-    return lines.select("event_id", verdict.alias("verdict"), J.is_json(line).alias("is_json"))
+    parsed = evaluate_once(lines, rec=J.parse_object("line", "k variant"))
+    verdict = F.coalesce(J.reject_reason("line", "rec"), F.lit("ok"))
+    return parsed.select("event_id", verdict.alias("verdict"), J.is_json("line").alias("is_json"))
 
 
 def skipped_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +116,9 @@ def skipped_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truthy_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = J.parse_object(F.col("line"), "v variant")["v"]
-    kept = I.truth_lines(spark, sf_dir).withColumn("v", v).where(J.truthy(F.col("v")))
-    return kept.select("o_orderkey", J.filled_text(F.col("v")).alias("v_text"))
+    parsed = evaluate_once(I.truth_lines(spark, sf_dir), rec=J.parse_object("line", "v variant"))
+    kept = evaluate_once(parsed, v=J.described("rec.v")).where(J.truthy("v"))
+    return kept.select("o_orderkey", F.expr(J.filled_text("v")).alias("v_text"))
 
 
 # --- merge ------------------------------------------------------------------
@@ -233,8 +234,8 @@ def iri_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = graph.parse_documents(I.order_documents(spark, sf_dir))
     names = docs.select(
         F.col("file").cast("long").alias("o_orderkey"),
-        graph.prefixes(F.col("context")).alias("prefixes"),
-        F.explode("graph").alias("node"),
+        graph.prefixes(graph.context_of(F.col("doc"))).alias("prefixes"),
+        F.posexplode(graph.items_at(F.col("doc"), "@graph")).alias("position", "node"),
     ).withColumn("name", graph.string_at(F.col("node"), "@id"))
     return names.select("o_orderkey", "name", expand_iri(F.col("name"), F.col("prefixes")).alias("iri"))
 

@@ -22,8 +22,13 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording the call site of every Column costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Inputs below this size per core may be dealt out anew (see spread).
+SPREAD_BYTES = 32 << 20
+
 
 def build_session(
     app: str = "shelfmark", master: str | None = None, conf: dict[str, str] | None = None
@@ -65,6 +70,18 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, bytes_per_core: int = SPREAD_BYTES) -> DataFrame:
+    """Deal a small file out over all cores ahead of work done row by row.
+
+    A Parquet file of one row group is one task however many cores wait. Judged
+    by the size of the files, not by reading them; an input large enough to fill
+    the cluster is returned as is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if int(str(size)) <= cores * bytes_per_core else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Mark ``df`` for broadcast when it is seen to hold at most ``max_rows``.
 
