@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("root")
     p.add_argument("out")
     p.add_argument("--splits", nargs="*")
-    p.add_argument("--lines-out")
+    p.add_argument("--table-out")
 
     for name in ("embed-papers", "embed-subjects"):
         p = sub.add_parser(name, help="build an embedding table")
@@ -54,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = build_session(master=args.master)
     if args.job == "merge":
-        counts = jobs.merge_collection(spark, args.root, args.out, args.splits, lines_out=args.lines_out)
+        counts = jobs.merge_collection(spark, args.root, args.out, args.splits, table_out=args.table_out)
         counts.orderBy("split").show(truncate=False)
         if args.splits:
             missing_inputs(spark, args.root, args.splits).show(truncate=False)

@@ -8,8 +8,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import to_lists, unit_rows
 
@@ -18,6 +20,8 @@ BATCH_SIZE = 64
 
 Encoder = Callable[[list[str]], np.ndarray]
 
+_SPACES = str.maketrans("\n\t", "  ")
+
 
 def encode(
     df: DataFrame,
@@ -31,11 +35,11 @@ def encode(
     loaded once however many batches the task gets. Only the text column is sent
     to Python; filter before encoding, nothing is pushed below this stage."""
 
-    @F.arrow_udf("array<float>")
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = make_encoder()
         for batch in batches:
-            texts = batch.to_pylist()
+            texts = [t or "" for t in batch.to_pylist()]
             chunks = [
                 np.asarray(encoder(texts[i : i + batch_size]), dtype=np.float64)
                 for i in range(0, len(texts), batch_size)
@@ -57,15 +61,18 @@ def hashed_words(dim: int = 64, cache_size: int = 200_000) -> Callable[[], Encod
     def make() -> Encoder:
         @lru_cache(maxsize=cache_size)
         def bucket(word: str) -> int:
+            if not word:
+                return dim  # a column past the end, cut off below
             return int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % dim
 
         def encoder(texts: list[str]) -> np.ndarray:
-            out = np.zeros((len(texts), dim))
-            for row, text in enumerate(texts):
-                words = text.replace("\n", " ").replace("\t", " ").split(" ")
-                buckets = [bucket(w) for w in words if w]
-                out[row] = np.bincount(buckets, minlength=dim) if buckets else 0.0
-            return out
+            words = pc.split_pattern(pa.array([t.translate(_SPACES) for t in texts]), " ")
+            coded = words.flatten().dictionary_encode()
+            buckets = np.fromiter(map(bucket, coded.dictionary.to_pylist()), np.int64)
+            rows = np.repeat(np.arange(len(texts)), words.value_lengths().to_numpy())
+            cells = rows * (dim + 1) + buckets[coded.indices.to_numpy()]
+            counts = np.bincount(cells, minlength=len(texts) * (dim + 1))
+            return counts.reshape(len(texts), dim + 1)[:, :dim]
 
         return encoder
 

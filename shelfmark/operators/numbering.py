@@ -1,4 +1,9 @@
-"""Dense row positions without a single-task window."""
+"""Dense row positions without a single-task window.
+
+Both functions write the rows once, each with the run it belongs to and its
+place there, then add up the run lengths and join the sums back. Only the runs,
+which are few, pass through a window.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,17 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import broadcast_if_small, materialize
 
-_WITHIN = (1 << 33) - 1  # the low bits of a monotonically increasing id
+
+def number_lines(df: DataFrame, by: str | None = None, name: str = "row_id") -> DataFrame:
+    """Add ``name``: 0, 1, 2, ... in the order of files, blocks and lines, restarting
+    per ``by``. No row is shuffled.
+
+    ``df`` comes from ``read_lines`` through filters and projections only, so
+    every block's rows still lie together in one task, in line order. That they
+    do is checked.
+    """
+    placed = materialize(df.withColumn("__place", F.monotonically_increasing_id()), "lines")
+    return _numbered(placed, [by] if by else [], ["file", "block"], name).select(name, *df.columns)
 
 
 def number_rows(
@@ -19,35 +34,41 @@ def number_rows(
 ) -> DataFrame:
     """Add ``name``: 0, 1, 2, ... in the order of ``order_by``, restarting per ``by``.
 
-    Rows are range-partitioned and sorted, and written once with the number of
-    their partition and their place in it. Only the partition sizes, one row per
-    partition and ``by`` value, are then summed up and joined back. A hot ``by``
-    value is spread over many ranges like any other rows. ``order_by`` should be
-    unique per row; rows that tie get their order from the one written run.
+    Rows are range-partitioned and sorted; a hot ``by`` value is spread over many
+    ranges like any other rows. ``order_by`` should be unique per row; rows that
+    tie get their order from the one written run. ``df`` is read twice, once to
+    sample the ranges: number before an expensive step, not after it.
     """
     keys = [by, *order_by] if by else order_by
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     placed = materialize(
         ranged.sortWithinPartitions(*keys)
         .withColumn("__part", F.spark_partition_id())
-        .withColumn("__place", F.monotonically_increasing_id().bitwiseAND(_WITHIN)),
-        "numbered",
+        .withColumn("__place", F.monotonically_increasing_id()),
+        "ranges",
     )
-    group = F.col(by) if by else F.lit("")
-    placed = placed.withColumn("__group", group.cast("string"))
-    ranges = placed.groupBy("__group", "__part").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first")
+    return _numbered(placed, [by] if by else [], ["__part"], name).select(name, *df.columns)
+
+
+def _numbered(placed: DataFrame, by: list[str], run: list[str], name: str) -> DataFrame:
+    keys = [*by, *run]
+    runs = placed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.min("__place").alias("__first"),
+        F.max("__place").alias("__last"),
     )
-    before = Window.partitionBy("__group").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.select(
-        F.col("__group").alias("__g"),
-        F.col("__part").alias("__p"),
+    whole = F.col("__last") - F.col("__first") + 1 == F.col("__n")
+    before = Window.partitionBy(*by).orderBy(*run).rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select(
+        *[F.col(k).alias(f"__run_{k}") for k in keys],
         "__first",
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"),
+        F.when(whole, F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        .otherwise(F.raise_error(F.lit("rows of one block are not contiguous")).cast("long"))
+        .alias("__start"),
     )
-    same = F.col("__group").eqNullSafe(F.col("__g")) & (F.col("__part") == F.col("__p"))
-    return (
-        placed.join(broadcast_if_small(starts), same)
-        .withColumn(name, F.col("__start") + F.col("__place") - F.col("__first"))
-        .select(name, *df.columns)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__run_{k}"))
+    return placed.join(broadcast_if_small(starts), same).withColumn(
+        name, F.col("__start") + F.col("__place") - F.col("__first")
     )

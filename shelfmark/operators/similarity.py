@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import TIE_DECIMALS, as_matrix, cosine_to, unit_rows
 
@@ -254,7 +255,7 @@ def approximate_knn(
     planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
     per_block = max(block_bytes // (dim * 8), 1)
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def signature(vectors: pa.Array) -> pa.Array:
         side = (as_matrix(vectors) @ planes > 0).reshape(len(vectors), tables, bits)
         codes = (side * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators import graph
 from shelfmark.operators.encode import Encoder, encode
 from shelfmark.operators.merge import count_by, merge
+from shelfmark.operators.numbering import number_lines
 from shelfmark.operators.records import (
     FAILFAST,
     SKIP,
@@ -23,13 +24,11 @@ from shelfmark.session import materialize
 from shelfmark.sources.jsonl import (
     DOC_TYPES,
     LANGS,
-    LINE_KEY,
     read_collection,
     read_lines,
 )
 from shelfmark.sources.jsonld import read_documents
 from shelfmark.sources.tables import (
-    MERGE_KEY,
     read_embeddings,
     write_embeddings,
     write_merged_lines,
@@ -44,19 +43,25 @@ def merge_collection(
     splits: Sequence[str] | None = None,
     doc_types: Sequence[str] = DOC_TYPES,
     langs: Sequence[str] = LANGS,
-    lines_out: str | None = None,
+    table_out: str | None = None,
 ) -> DataFrame:
-    """Merge ``{root}/{split}/{type}_{lang}.jsonl`` into a table at ``out``; returns
-    the records per split. All splits found are merged in one job unless some are
-    named. ``lines_out`` also writes ordered text, one folder per split."""
+    """Merge ``{root}/{split}/{type}_{lang}.jsonl`` into ordered text at ``out``, one
+    folder per split; returns the records per split.
+
+    All splits found are merged in one job unless some are named. ``table_out``
+    keeps the merged records, with their provenance, as a Parquet table too.
+    """
     lines = read_collection(spark, root, doc_types, langs)
     if splits is not None:
         lines = lines.where(F.col("split").isin(*splits))
-    write_merged_table(merge(lines), out)
-    written = spark.read.parquet(out)
-    if lines_out:
-        write_merged_lines(written, lines_out)
-    return count_by(written, "split")
+    # Written before it is sorted: the sort samples its input first.
+    if table_out:
+        write_merged_table(merge(lines), table_out)
+        merged = spark.read.parquet(table_out)
+    else:
+        merged = materialize(merge(lines), "merged")
+    write_merged_lines(merged, out)
+    return count_by(merged, "split")
 
 
 def embed_papers(
@@ -66,11 +71,10 @@ def embed_papers(
     make_encoder: Callable[[], Encoder],
     mode: str = SKIP,
 ) -> DataFrame:
-    """Embed the papers of a merged table, numbered per split in merge order."""
-    lines = spark.read.parquet(merged).withColumnRenamed("json", "line")
-    texts = paper_texts(parse_papers(lines), mode)
-    order = [c for c in MERGE_KEY if c != "split"]
-    write_embeddings(encode(texts, make_encoder), out, order, by="split")
+    """Embed the papers of merged text, numbered per split in merge order."""
+    lines = read_lines(spark, merged).withColumn("split", F.col("split").cast("string"))
+    texts = number_lines(paper_texts(parse_papers(lines), mode), by="split")
+    write_embeddings(encode(texts, make_encoder), out, by="split")
     return read_embeddings(spark, out, by="split")
 
 
@@ -81,9 +85,9 @@ def embed_subjects(
     make_encoder: Callable[[], Encoder],
     mode: str = FAILFAST,
 ) -> DataFrame:
-    """Embed a file of subject lines, numbered in line order."""
-    texts = subject_texts(parse_subjects(read_lines(spark, path)), mode)
-    write_embeddings(encode(texts, make_encoder), out, list(LINE_KEY))
+    """Embed files of subject lines, numbered in line order."""
+    texts = number_lines(subject_texts(parse_subjects(read_lines(spark, path)), mode))
+    write_embeddings(encode(texts, make_encoder), out)
     return read_embeddings(spark, out)
 
 

@@ -21,7 +21,7 @@ from shelfmark.operators.numbering import number_rows
 from shelfmark.operators.once import evaluate_once
 from shelfmark.plans import inputs as I
 from shelfmark.plans.jobs import suggest_subjects
-from shelfmark.session import materialize, shared_dir
+from shelfmark.session import materialize, shared_dir, spread
 from shelfmark.sources import jsonl, tables
 
 DIM = 64
@@ -133,7 +133,7 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [c for c in tables.MERGE_KEY if c != "split"]
-    numbered = number_rows(_merged(spark, sf_dir), order, by="split")
+    numbered = number_rows(materialize(_merged(spark, sf_dir), "merged"), order, by="split")
     return numbered.select("split", "doc_type", "lang", "row_id", "json")
 
 
@@ -149,7 +149,7 @@ def merge_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merged_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered text written per split and read back."""
     path = _fresh(spark, "merged")
-    tables.write_merged_lines(_merged(spark, sf_dir), path)
+    tables.write_merged_lines(materialize(_merged(spark, sf_dir), "merged"), path)
     return jsonl.read_lines(spark, path).select("split", F.col("line").alias("json"))
 
 
@@ -157,16 +157,16 @@ def merged_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = I.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(I.table(spark, sf_dir, "documents").select("doc_id", "text"))
     vectors = encode(docs, hashed_words(DIM)).select("doc_id", F.posexplode("embedding").alias("pos", "v"))
     return vectors.select("doc_id", "pos", _six(F.col("v").cast("double")).alias("v"))
 
 
 def _subject_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = R.parse_subjects(I.subject_lines(spark, sf_dir))
-    encoded = encode(R.subject_texts(parsed), hashed_words(DIM))
+    texts = number_rows(R.subject_texts(parsed), ["p_partkey"])
     path = _fresh(spark, "subjects")
-    tables.write_embeddings(encoded, path, ["p_partkey"])
+    tables.write_embeddings(encode(texts, hashed_words(DIM)), path)
     return tables.read_embeddings(spark, path)
 
 
@@ -267,9 +267,9 @@ def suggested_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder = hashed_words(DIM)
 
     subject_lines = graph.subject_lines(graph.subjects(labels, graph.edges(recs)))
-    subjects = R.subject_texts(R.parse_subjects(subject_lines))
+    subjects = number_rows(R.subject_texts(R.parse_subjects(subject_lines)), ["id"])
     subject_path = _fresh(spark, "subjects")
-    tables.write_embeddings(encode(subjects, encoder), subject_path, ["id"])
+    tables.write_embeddings(encode(subjects, encoder), subject_path)
 
     papers = R.paper_texts(R.parse_papers(graph.paper_lines(graph.papers(recs))))
     vectors = encode(papers.select(F.col("id").cast("long").alias("row_id"), "text"), encoder)

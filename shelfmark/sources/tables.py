@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.operators.numbering import number_rows
 from shelfmark.sources.jsonl import LINE_KEY
 
 MERGE_KEY = ("split", "doc_type_ord", "lang_ord", *LINE_KEY)
@@ -51,23 +50,14 @@ def _in_merge_order(merged: DataFrame, partitions: int | None) -> DataFrame:
     return ranged.sortWithinPartitions(*MERGE_KEY)
 
 
-def write_embeddings(
-    df: DataFrame,
-    path: str,
-    order_by: list[str],
-    by: str | None = None,
-    partitions: int | None = None,
-) -> None:
-    """Store ids, texts and vectors row by row with their position.
-
-    ``df`` holds ``id``, ``embedding``, optionally ``text``, and the columns of
-    ``order_by``. Positions are dense from 0, counted per value of ``by``.
-    """
+def write_embeddings(df: DataFrame, path: str, by: str | None = None) -> None:
+    """Store ids, texts and vectors row by row with their position, replacing what
+    is there. ``df`` holds ``row_id``, ``id``, ``embedding`` and, unless texts are
+    not to be kept, ``text``."""
     if "text" not in df.columns:
         df = df.withColumn("text", F.lit(None).cast("string"))
-    numbered = number_rows(df, order_by, by=by, partitions=partitions)
     columns = [F.col(f.name).cast(f.dataType) for f in EMBEDDINGS]
-    writer = numbered.select(*columns, *([by] if by else [])).write.mode("overwrite")
+    writer = df.select(*columns, *([by] if by else [])).write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
 
 
