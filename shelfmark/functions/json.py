@@ -34,19 +34,19 @@ def _odd_infinity(line: str) -> str:
 def is_json(line: str) -> Column:
     """True when the whole line is one JSON value by Python's rules; never null."""
     items = f"""from_json(concat('[', {line}, ',"{END}"]'), 'array<string>', {STRICT})"""
-    return F.expr(
-        f"coalesce(size({items}) = 2 AND element_at({items}, -1) = '{END}' AND NOT {_odd_infinity(line)}, false)"
-    )
-
+    rest = f"slice({items}, 2, {2**31 - 1})"
+    return F.expr(f"coalesce({rest} = array('{END}') AND NOT {_odd_infinity(line)}, false)")
 
-def parse_object(line: str, fields: str) -> Column:
-    """Parse a line that must be one JSON object into ``struct<fields>``.
 
-    ``fields`` is a DDL field list. The result is null when the line is not
-    valid JSON or not an object; :func:`reject_reason` tells the two apart.
-    """
+def wrapped(line: str, fields: str) -> Column:
+    """The line and the marker parsed as ``array<struct<fields, marker>>``."""
     schema = f"array<struct<{fields},`{END}`:boolean>>"
-    items = f"""from_json(concat('[', {line}, ',{{"{END}":true}}]'), '{schema}', {STRICT})"""
+    return F.expr(f"""from_json(concat('[', {line}, ',{{"{END}":true}}]'), '{schema}', {STRICT})""")
+
+
+def object_in(items: str, line: str) -> Column:
+    """The object of a :func:`wrapped` line; null when the line is not valid JSON or
+    not an object (:func:`reject_reason` tells the two apart)."""
     return F.expr(
         f"CASE WHEN size({items}) = 2 AND element_at({items}, -1).`{END}` AND NOT {_odd_infinity(line)} "
         f"THEN element_at({items}, 1) END"

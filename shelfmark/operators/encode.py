@@ -14,14 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import to_lists, unit_rows
+from shelfmark.operators.once import evaluate_once
 
 # Fixed value: texts given to the encoder at a time.
 BATCH_SIZE = 64
 
 Encoder = Callable[[list[str]], np.ndarray]
 
-_SPACES = str.maketrans("\n\t", "  ")
-
 
 def encode(
     df: DataFrame,
@@ -47,7 +46,7 @@ def encode(
             matrix = np.vstack(chunks) if chunks else np.zeros((0, 0))
             yield to_lists(unit_rows(matrix) if normalize else matrix)
 
-    return df.withColumn(vector, embed(F.col(text)))
+    return evaluate_once(df, **{vector: embed(F.col(text))})
 
 
 def hashed_words(dim: int = 64, cache_size: int = 200_000) -> Callable[[], Encoder]:
@@ -66,7 +65,7 @@ def hashed_words(dim: int = 64, cache_size: int = 200_000) -> Callable[[], Encod
             return int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % dim
 
         def encoder(texts: list[str]) -> np.ndarray:
-            words = pc.split_pattern(pa.array([t.translate(_SPACES) for t in texts]), " ")
+            words = pc.split_pattern(pa.array([t.replace("\n", " ").replace("\t", " ") for t in texts]), " ")
             coded = words.flatten().dictionary_encode()
             buckets = np.fromiter(map(bucket, coded.dictionary.to_pylist()), np.int64)
             rows = np.repeat(np.arange(len(texts)), words.value_lengths().to_numpy())

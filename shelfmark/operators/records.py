@@ -9,10 +9,11 @@ from shelfmark.functions.json import (
     STRICT,
     described,
     filled_text,
-    parse_object,
+    object_in,
     reject_reason,
     truthy,
     unexpected,
+    wrapped,
 )
 from shelfmark.functions.text import label_with_definition
 from shelfmark.operators.once import evaluate_once
@@ -24,6 +25,13 @@ SUBJECT_FIELDS = "Code variant, `Classification Name` variant, Definition varian
 SKIP, FAILFAST = "skip", "failfast"
 
 
+def with_object(df: DataFrame, fields: str, name: str, line: str = "line") -> DataFrame:
+    """Add ``name``: the line's JSON object as ``struct<fields>``, parsed once; null
+    when the line is not valid JSON or not an object."""
+    items = evaluate_once(df, __items=wrapped(line, fields))
+    return evaluate_once(items, **{name: object_in("__items", line)}).drop("__items")
+
+
 def parse_papers(lines: DataFrame, line: str = "line") -> DataFrame:
     """Read paper lines into ``(…, paper_id, text, reason)``.
 
@@ -31,7 +39,7 @@ def parse_papers(lines: DataFrame, line: str = "line") -> DataFrame:
     counts as absent. ``reason`` is null for a usable line, even one whose id
     or text is missing; those are :func:`incomplete`.
     """
-    parsed = evaluate_once(lines, __rec=parse_object(line, PAPER_FIELDS))
+    parsed = with_object(lines, PAPER_FIELDS, "__rec", line)
     # A null struct is either a missing field (an empty object, by default) or
     # something that is not an object; only then is the line looked at again.
     bad_content = (
@@ -61,7 +69,7 @@ def parse_subjects(lines: DataFrame, line: str = "line") -> DataFrame:
 
     Missing, null and empty labels and definitions become ``""``.
     """
-    parsed = evaluate_once(lines, __rec=parse_object(line, SUBJECT_FIELDS))
+    parsed = with_object(lines, SUBJECT_FIELDS, "__rec", line)
     fields = evaluate_once(
         parsed,
         __code=described("__rec.Code"),

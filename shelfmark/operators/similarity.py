@@ -19,16 +19,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import TIE_DECIMALS, as_matrix, cosine_to, unit_rows
+from shelfmark.operators.once import evaluate_once
+from shelfmark.session import spread
 
 # Fixed value: how many neighbours a query asks for.
 TOP_K = 5
 
-# Query vectors are broadcast up to this many bytes of float64; past it both
-# sides are cut into blocks of at most this size and meet through a shuffle.
+# A side is broadcast up to this many bytes of float64; where neither fits, both
+# are cut into blocks of at most this size and meet through a shuffle.
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 64 << 20
 
-_HITS = "query_id long, row_id long, sim double"
+_HITS = "query_id long, row_id long, sim double, rank int"
 
 
 def pick_vector(table: DataFrame, row_id: int) -> np.ndarray:
@@ -87,26 +89,25 @@ def with_records(hits: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
 class _Best:
     """The best ``k`` rows of every query among the blocks seen so far."""
 
-    def __init__(self, query_ids: np.ndarray, units: np.ndarray, k: int, chunk: int = 256):
+    def __init__(self, query_ids: np.ndarray, units: np.ndarray, k: int, chunk: int = 128):
         self.query_ids, self.units, self.k, self.chunk = query_ids, units, k, chunk
         self.query = np.zeros(0, np.int64)
         self.row = np.zeros(0, np.int64)
-        self.key = np.zeros(0)
+        self.key = np.zeros(0)  # rounded similarity, -inf for NaN
         self.floor = np.full(len(query_ids), -np.inf)  # each query's k-th best key
 
     def add(self, row_ids: np.ndarray, units: np.ndarray) -> None:
-        order = np.argsort(row_ids, kind="stable")  # ties then resolve left to right
-        row_ids, units = row_ids[order], units[order]
+        """Take in a block of corpus rows, in ascending ``row_ids``."""
         found = [(self.query, self.row, self.key)]
         for start in range(0, len(self.units), self.chunk):
             stop = start + self.chunk
-            key = np.round(self.units[start:stop] @ units.T, TIE_DECIMALS)
-            key[np.isnan(key)] = -np.inf
-            live = (key >= self.floor[start:stop, None]).any(axis=0)
-            rows, key = row_ids[live], key[:, live]
-            keep = self._top_of_each(key)
+            sims = self.units[start:stop] @ units.T
+            # One place of slack for the rounding; comparisons leave NaN in.
+            keep = ~(sims < self.floor[start:stop, None] - 10.0**-TIE_DECIMALS)
+            if np.count_nonzero(keep) > 4 * self.k * len(sims):
+                keep = self._top_of_each(_key(sims))
             q, r = np.nonzero(keep)
-            found.append((q + start, rows[r], key[q, r]))
+            found.append((q + start, row_ids[r], _key(sims[q, r])))
         self.query, self.row, self.key = (np.concatenate(part) for part in zip(*found))
         self._cut()
 
@@ -121,20 +122,49 @@ class _Best:
 
     def _cut(self) -> None:
         order = np.lexsort((self.row, -self.key, self.query))
-        query = self.query[order]
-        place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
-        keep = order[place < self.k]
-        self.query, self.row, self.key = self.query[keep], self.row[keep], self.key[keep]
-        last = place[place < self.k] == self.k - 1
+        place = _place_in_run(self.query[order])
+        order, place = order[place < self.k], place[place < self.k]
+        self.query, self.row, self.key = self.query[order], self.row[order], self.key[order]
+        last = place == self.k - 1
         self.floor[self.query[last]] = self.key[last]
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        sim = np.where(np.isneginf(self.key), np.nan, self.key)
-        table = pa.table({"query_id": self.query_ids[self.query], "row_id": self.row, "sim": sim})
+        table = pa.table(
+            {
+                "query_id": self.query_ids[self.query],
+                "row_id": self.row,
+                "sim": np.where(np.isneginf(self.key), np.nan, self.key),
+                "rank": (_place_in_run(self.query) + 1).astype(np.int32),
+            }
+        )
         yield from table.to_batches(max_chunksize=65_536)
 
 
-def _ids_and_units(ids: pa.Array, vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _key(sims: np.ndarray) -> np.ndarray:
+    key = np.round(sims, TIE_DECIMALS)
+    key[np.isnan(key)] = -np.inf
+    return key
+
+
+def _place_in_run(sorted_values: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... within each run of equal values."""
+    return np.arange(len(sorted_values)) - np.searchsorted(sorted_values, sorted_values, side="left")
+
+
+Block = tuple[np.ndarray, np.ndarray]  # ids, unit vectors
+
+
+def _search(queries: Block, corpus: Iterator[Block], k: int) -> Iterator[pa.RecordBatch]:
+    best = _Best(*queries, k)
+    for row_ids, units in corpus:
+        order = np.argsort(row_ids, kind="stable")
+        row_ids, units = row_ids[order], units[order]
+        for start in range(0, len(row_ids), 8_192):
+            best.add(row_ids[start : start + 8_192], units[start : start + 8_192])
+    yield from best.batches()
+
+
+def _block(ids: pa.Array, vectors: pa.Array) -> Block:
     return np.asarray(ids.to_numpy(zero_copy_only=False), np.int64), unit_rows(as_matrix(vectors))
 
 
@@ -151,49 +181,60 @@ def knn(
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The exact ``k`` nearest corpus rows of every query.
-
-    Few queries (their size is counted first) are broadcast and the corpus stays
-    where it is. More than that, and both sides are cut into blocks by a hash of
-    ``row_id``, every pair of blocks meeting in one task. Either way a task hands
-    on at most ``k`` rows per query, and Spark ranks those. Both sides are read
-    more than once: store what an encoder made before searching it.
+    """The exact ``k`` nearest corpus rows of every query:
+    ``(query_id, row_id, sim, rank)``.
+
+    Both sides are counted first. A small corpus is broadcast, and every query is
+    answered where it lies, with no shuffle. Few queries are broadcast, and each
+    task of the corpus hands on its best ``k`` for Spark to rank. Where neither
+    fits, both are cut into blocks by a hash of ``row_id`` and every pair of
+    blocks meets in one task, which again hands on ``k`` rows per query. Both
+    sides are read more than once: store what an encoder made before searching it.
     """
     n_queries, dim = _size_of(queries)
+    n_corpus = corpus.count()
+    if n_corpus * dim * 8 <= broadcast_bytes:
+        return _knn_broadcast_corpus(queries, corpus, k)
     if n_queries * dim * 8 <= broadcast_bytes:
-        hits = _knn_broadcast(queries, corpus, k)
-    else:
-        per_block = max(block_bytes // (dim * 8), 1)
-        n_q = math.ceil(n_queries / per_block)
-        n_c = max(math.ceil(corpus.count() / per_block), 1)
-        hits = _knn_cells(
-            queries.withColumns({"n_q": F.lit(n_q), "n_c": F.lit(n_c)}),
-            corpus.withColumns({"n_q": F.lit(n_q), "n_c": F.lit(n_c)}),
-            [],
-            k,
-            n_q * n_c,
-        )
+        return _ranked_hits(_knn_broadcast_queries(queries, corpus, k), k)
+    # Blocks of equal size, small enough for memory and enough of them for all cores.
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    per_block = max(min(block_bytes // (dim * 8), math.ceil(math.sqrt(n_queries * n_corpus / cores))), 1)
+    n_q, n_c = math.ceil(n_queries / per_block), math.ceil(n_corpus / per_block)
+    # A partition per pair of blocks, which is the unit of work.
+    counts = {"n_q": F.lit(n_q), "n_c": F.lit(n_c)}
+    hits = _knn_cells(queries.withColumns(counts), corpus.withColumns(counts), [], k, n_q * n_c)
     return _ranked_hits(hits, k)
 
 
-def _knn_broadcast(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    held = queries.select("row_id", "embedding").toArrow().combine_chunks()
-    shared = queries.sparkSession.sparkContext.broadcast(
-        _ids_and_units(held["row_id"], held["embedding"])
-    )
+def _shared(table: DataFrame):
+    """A counted, small table as a broadcast block."""
+    held = table.select("row_id", "embedding").toArrow().combine_chunks()
+    return table.sparkSession.sparkContext.broadcast(_block(held["row_id"], held["embedding"]))
+
+
+def _knn_broadcast_corpus(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    shared = _shared(corpus)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(*shared.value, k)
         for batch in batches:
-            if batch.num_rows:
-                best.add(*_ids_and_units(batch.column(0), batch.column(1)))
-        yield from best.batches()
+            yield from _search(_block(batch.column(0), batch.column(1)), iter([shared.value]), k)
+
+    return spread(queries.select("row_id", "embedding")).mapInArrow(search, _HITS)
+
+
+def _knn_broadcast_queries(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    shared = _shared(queries)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = (_block(b.column(0), b.column(1)) for b in batches if b.num_rows)
+        yield from _search(shared.value, blocks, k)
 
     return corpus.select("row_id", "embedding").mapInArrow(search, _HITS)
 
 
 def _knn_cells(
-    queries: DataFrame, corpus: DataFrame, keys: list[str], k: int, cells: int
+    queries: DataFrame, corpus: DataFrame, keys: list[str], k: int, partitions: int
 ) -> DataFrame:
     """Search block against block. Rows carry ``n_q`` and ``n_c``, the number of
     blocks each side of their group is cut into; a query goes to every corpus
@@ -215,21 +256,19 @@ def _knn_cells(
             "row_id", "embedding", F.lit(False).alias("asks"),
         )
     )
-    schema = pa.schema({"query_id": pa.int64(), "row_id": pa.int64(), "sim": pa.float64()})
 
     def search(table: pa.Table) -> pa.Table:
-        left = table.filter(table["asks"]).combine_chunks()
-        right = table.filter(pc.invert(table["asks"]))
-        if not left.num_rows or not right.num_rows:
-            return schema.empty_table()
-        best = _Best(*_ids_and_units(left["row_id"], left["embedding"]), k)
-        for batch in right.to_batches(max_chunksize=8_192):
-            best.add(*_ids_and_units(batch["row_id"], batch["embedding"]))
-        return pa.Table.from_batches(best.batches(), schema)
+        left, right = table.filter(table["asks"]), table.filter(pc.invert(table["asks"]))
+        asked, held = (
+            _block(side["row_id"].combine_chunks(), side["embedding"].combine_chunks())
+            for side in (left, right)
+        )
+        return pa.Table.from_batches(_search(asked, iter([held]), k), schema)
 
-    # One partition per cell as far as that is sensible: a cell is the unit of work.
-    partitions = min(max(cells, 1), 10_000)
-    return rows.repartition(partitions, *cell).groupBy(*cell).applyInArrow(search, _HITS)
+    schema = pa.schema(
+        {"query_id": pa.int64(), "row_id": pa.int64(), "sim": pa.float64(), "rank": pa.int32()}
+    )
+    return rows.repartition(min(partitions, 10_000), *cell).groupBy(*cell).applyInArrow(search, _HITS)
 
 
 # --- approximate ------------------------------------------------------------
@@ -251,7 +290,7 @@ def approximate_knn(
     exact. A bucket that holds much of the corpus is cut into blocks like an
     exact search, so no task gets a whole one and none is dropped.
     """
-    _, dim = _size_of(corpus)
+    n_corpus, dim = _size_of(corpus)
     planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
     per_block = max(block_bytes // (dim * 8), 1)
 
@@ -263,7 +302,7 @@ def approximate_knn(
         return pa.ListArray.from_arrays(offsets, pa.array(codes.ravel()))
 
     def bucketed(table: DataFrame) -> DataFrame:
-        signed = table.select("row_id", "embedding", signature("embedding").alias("codes"))
+        signed = evaluate_once(table.select("row_id", "embedding"), codes=signature("embedding"))
         return signed.select("row_id", "embedding", F.posexplode("codes").alias("table_no", "bucket"))
 
     keys = ["table_no", "bucket"]
@@ -275,7 +314,9 @@ def approximate_knn(
 
     # At most tables * 2^bits rows, fixed by the arguments.
     sizes = F.broadcast(blocks(q, "n_q").join(blocks(c, "n_c"), keys))
-    found = _knn_cells(q.join(sizes, keys), c.join(sizes, keys), keys, k, tables << bits)
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    parts = max(math.ceil(tables * (n_corpus + queries.count()) / per_block), cores)
+    found = _knn_cells(q.join(sizes, keys), c.join(sizes, keys), keys, k, parts)
     return _ranked_hits(found.groupBy("query_id", "row_id").agg(F.max("sim").alias("sim")), k)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.operators.once import evaluate_once
 from shelfmark.session import spread
 
 SOURCES = tuple(f"src{i}" for i in range(20))
@@ -70,8 +71,8 @@ def paper_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("")),
         F.lit("}"),
     )
-    return spread(table(spark, sf_dir, "documents")).select(
-        "doc_id", split_of(F.col("source")).alias("split"), line.alias("line")
+    return evaluate_once(spread(table(spark, sf_dir, "documents")), line=line).select(
+        "doc_id", split_of(F.col("source")).alias("split"), "line"
     )
 
 
@@ -92,7 +93,7 @@ def subject_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             definition.alias("Definition"),
         )
     )
-    return spread(table(spark, sf_dir, "part")).select("p_partkey", line.alias("line"))
+    return evaluate_once(spread(table(spark, sf_dir, "part")), line=line).select("p_partkey", "line")
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +107,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "signup", F.concat(F.lit("["), props, F.lit("]")))
         .otherwise(props)
     )
-    return spread(table(spark, sf_dir, "events")).select("event_id", "event_type", line.alias("line"))
+    return evaluate_once(spread(table(spark, sf_dir, "events")), line=line).select("event_id", "line")
 
 
 def truth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +124,7 @@ def truth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         for priority, value in zip(priorities, column):
             here = (F.col("o_orderstatus") == status) & (F.col("o_orderpriority") == priority)
             line = F.when(here, F.lit("{}" if value is None else f'{{"v":{value}}}')).otherwise(line)
-    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", line.alias("line"))
+    return evaluate_once(spread(table(spark, sf_dir, "orders")), line=line).select("o_orderkey", "line")
 
 
 def _quoted(value: str) -> str:
@@ -217,4 +218,6 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         """'"@id":"urn:example:graph"'""",
         _member("@context", context),
     )
-    return rows.selectExpr("key AS file", "if(y >= 2000, 'dev', 'train') AS split", f"{document} AS value")
+    return evaluate_once(rows, value=F.expr(document)).selectExpr(
+        "key AS file", "if(y >= 2000, 'dev', 'train') AS split", "value"
+    )

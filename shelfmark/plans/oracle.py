@@ -144,7 +144,7 @@ def _expanded(name: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "topk_similar": f"WITH {_FIRST} SELECT query_id, row_id, rank, round(sim, 6) AS sim, "
+    "topk_similar": f"WITH {_FIRST} SELECT query_id, row_id, CAST(rank AS INTEGER) AS rank, round(sim, 6) AS sim, "
     "printf('%.4f', sim) AS sim_text FROM top",
     "similarity_vector": f"WITH {_SIMS.replace('FROM unit u, unit q', 'FROM unit u, (SELECT * FROM unit WHERE row_id = 0) q')} "
     "SELECT row_id, round(sim, 6) AS sim FROM sims",
@@ -153,8 +153,8 @@ ORACLE: dict[str, str] = {
     "normalized_vectors": f"WITH {_UNIT} SELECT row_id, CAST(pos AS INTEGER) AS pos, "
     "round(CAST(CAST(e[pos + 1] AS FLOAT) AS DOUBLE), 6) AS v FROM unit, range(64) p(pos)",
     "embedding_shape": "SELECT count(*) AS n_rows, CAST(max(len(embedding)) AS INTEGER) AS dim FROM embeddings",
-    "batch_knn": f"WITH {_TOP} SELECT query_id, row_id, round(sim, 6) AS sim, rank FROM top",
-    "knn_with_text": f"WITH {_FIRST} SELECT row_id, query_id, round(sim, 6) AS sim, rank, lang, text "
+    "batch_knn": f"WITH {_TOP} SELECT query_id, row_id, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank FROM top",
+    "knn_with_text": f"WITH {_FIRST} SELECT row_id, query_id, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank, lang, text "
     "FROM top JOIN documents ON doc_id = row_id",
     "subject_text": f"WITH {_SUBJECTS} SELECT id, text FROM subject",
     "paper_text": f"SELECT {_SPLIT} AS split, 'doc-' || doc_id AS id, text FROM documents "
@@ -228,5 +228,5 @@ pair AS (
 best AS (
   SELECT query_id, n, sim, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, n) AS rank
   FROM pair QUALIFY rank <= 5)
-SELECT query_id, rank, entity_id AS subject_id, round(sim, 6) AS sim FROM best JOIN subj USING (n)""",
+SELECT query_id, CAST(rank AS INTEGER) AS rank, entity_id AS subject_id, round(sim, 6) AS sim FROM best JOIN subj USING (n)""",
 }

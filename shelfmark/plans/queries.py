@@ -105,7 +105,7 @@ def paper_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def strict_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = jsonl.non_blank(I.event_lines(spark, sf_dir))
-    parsed = evaluate_once(lines, rec=J.parse_object("line", "k variant"))
+    parsed = R.with_object(lines, "k variant", "rec")
     verdict = F.coalesce(J.reject_reason("line", "rec"), F.lit("ok"))
     return parsed.select("event_id", verdict.alias("verdict"), J.is_json("line").alias("is_json"))
 
@@ -116,7 +116,7 @@ def skipped_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truthy_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = evaluate_once(I.truth_lines(spark, sf_dir), rec=J.parse_object("line", "v variant"))
+    parsed = R.with_object(I.truth_lines(spark, sf_dir), "v variant", "rec")
     kept = evaluate_once(parsed, v=J.described("rec.v")).where(J.truthy("v"))
     return kept.select("o_orderkey", F.expr(J.filled_text("v")).alias("v_text"))
 
