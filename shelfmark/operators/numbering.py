@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.session import broadcast_if_small, materialize
+from shelfmark.session import broadcast_if_small, materialize, range_partitions
 
 
 def number_lines(df: DataFrame, by: str | None = None, name: str = "row_id") -> DataFrame:
@@ -40,7 +40,7 @@ def number_rows(
     sample the ranges: number before an expensive step, not after it.
     """
     keys = [by, *order_by] if by else order_by
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ranged = df.repartitionByRange(partitions or range_partitions(df), *keys)
     placed = materialize(
         ranged.sortWithinPartitions(*keys)
         .withColumn("__part", F.spark_partition_id())

@@ -95,17 +95,23 @@ class _Best:
         self.row = np.zeros(0, np.int64)
         self.key = np.zeros(0)  # rounded similarity, -inf for NaN
         self.floor = np.full(len(query_ids), -np.inf)  # each query's k-th best key
+        self.highest = -np.inf  # row id so far
 
     def add(self, row_ids: np.ndarray, units: np.ndarray) -> None:
         """Take in a block of corpus rows, in ascending ``row_ids``."""
+        # Rows past all earlier ones lose every tie, so only a clearly better key
+        # counts; others may win one. The margins allow for the rounding.
+        step = 10.0**-TIE_DECIMALS
+        bar = self.floor + (0.4 * step if row_ids[0] > self.highest else -step)
+        self.highest = max(self.highest, row_ids[-1])
         found = [(self.query, self.row, self.key)]
         for start in range(0, len(self.units), self.chunk):
             stop = start + self.chunk
             sims = self.units[start:stop] @ units.T
-            # One place of slack for the rounding; comparisons leave NaN in.
-            keep = ~(sims < self.floor[start:stop, None] - 10.0**-TIE_DECIMALS)
-            if np.count_nonzero(keep) > 4 * self.k * len(sims):
-                keep = self._top_of_each(_key(sims))
+            keep = ~(sims < bar[start:stop, None])  # NaN stays in
+            many = np.count_nonzero(keep, axis=1) > 4 * self.k
+            if many.any():
+                keep[many] = self._top_of_each(_key(sims[many]))
             q, r = np.nonzero(keep)
             found.append((q + start, row_ids[r], _key(sims[q, r])))
         self.query, self.row, self.key = (np.concatenate(part) for part in zip(*found))
@@ -116,9 +122,12 @@ class _Best:
         if n <= self.k:
             return np.ones(key.shape, dtype=bool)
         bar = np.partition(key, n - self.k, axis=1)[:, n - self.k, None]
-        above, level = key > bar, key == bar
-        room = self.k - above.sum(axis=1, keepdims=True)
-        return above | (level & (np.cumsum(level, axis=1) <= room))
+        keep = key >= bar
+        over = np.count_nonzero(keep, axis=1) > self.k  # ties at the bar: the first ones stay
+        above, level = key[over] > bar[over], key[over] == bar[over]
+        room = self.k - np.count_nonzero(above, axis=1)[:, None]
+        keep[over] = above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= room))
+        return keep
 
     def _cut(self) -> None:
         order = np.lexsort((self.row, -self.key, self.query))
@@ -159,8 +168,10 @@ def _search(queries: Block, corpus: Iterator[Block], k: int) -> Iterator[pa.Reco
     for row_ids, units in corpus:
         order = np.argsort(row_ids, kind="stable")
         row_ids, units = row_ids[order], units[order]
-        for start in range(0, len(row_ids), 8_192):
-            best.add(row_ids[start : start + 8_192], units[start : start + 8_192])
+        # A short first piece sets a bar that most of the rest fails to reach.
+        cuts = [0, *range(512, len(row_ids), 8_192), len(row_ids)] if len(row_ids) else [0]
+        for start, stop in zip(cuts, cuts[1:]):
+            best.add(row_ids[start:stop], units[start:stop])
     yield from best.batches()
 
 
@@ -312,8 +323,9 @@ def approximate_knn(
         n = F.ceil(F.count(F.lit(1)) / per_block).cast("int")
         return table.groupBy(*keys).agg(n.alias(name))
 
-    # At most tables * 2^bits rows, fixed by the arguments.
-    sizes = F.broadcast(blocks(q, "n_q").join(blocks(c, "n_c"), keys))
+    sizes = blocks(q, "n_q").join(blocks(c, "n_c"), keys)
+    if tables << bits <= 200_000:  # the most rows it can have
+        sizes = F.broadcast(sizes)
     cores = corpus.sparkSession.sparkContext.defaultParallelism
     parts = max(math.ceil(tables * (n_corpus + queries.count()) / per_block), cores)
     found = _knn_cells(q.join(sizes, keys), c.join(sizes, keys), keys, k, parts)

@@ -20,7 +20,7 @@ from shelfmark.operators.records import (
     subject_texts,
 )
 from shelfmark.operators.similarity import TOP_K, knn, top_k, with_records
-from shelfmark.session import materialize
+from shelfmark.session import materialize, scratch
 from shelfmark.sources.jsonl import (
     DOC_TYPES,
     LANGS,
@@ -54,14 +54,16 @@ def merge_collection(
     lines = read_collection(spark, root, doc_types, langs)
     if splits is not None:
         lines = lines.where(F.col("split").isin(*splits))
-    # Written before it is sorted: the sort samples its input first.
-    if table_out:
-        write_merged_table(merge(lines), table_out)
-        merged = spark.read.parquet(table_out)
-    else:
-        merged = materialize(merge(lines), "merged")
-    write_merged_lines(merged, out)
-    return count_by(merged, "split")
+    with scratch(spark):
+        # Written before it is sorted: the sort samples its input first.
+        if table_out:
+            write_merged_table(merge(lines), table_out)
+            merged = spark.read.parquet(table_out)
+        else:
+            merged = materialize(merge(lines), "merged")
+        write_merged_lines(merged, out)
+        counts = count_by(merged, "split")
+        return spark.createDataFrame(counts.collect(), counts.schema)  # a row per split
 
 
 def embed_papers(
@@ -73,8 +75,9 @@ def embed_papers(
 ) -> DataFrame:
     """Embed the papers of merged text, numbered per split in merge order."""
     lines = read_lines(spark, merged).withColumn("split", F.col("split").cast("string"))
-    texts = number_lines(paper_texts(parse_papers(lines), mode), by="split")
-    write_embeddings(encode(texts, make_encoder), out, by="split")
+    with scratch(spark):
+        texts = number_lines(paper_texts(parse_papers(lines), mode), by="split")
+        write_embeddings(encode(texts, make_encoder), out, by="split")
     return read_embeddings(spark, out, by="split")
 
 
@@ -86,8 +89,9 @@ def embed_subjects(
     mode: str = FAILFAST,
 ) -> DataFrame:
     """Embed files of subject lines, numbered in line order."""
-    texts = number_lines(subject_texts(parse_subjects(read_lines(spark, path)), mode))
-    write_embeddings(encode(texts, make_encoder), out)
+    with scratch(spark):
+        texts = number_lines(subject_texts(parse_subjects(read_lines(spark, path)), mode))
+        write_embeddings(encode(texts, make_encoder), out)
     return read_embeddings(spark, out)
 
 
@@ -115,9 +119,10 @@ def flatten_documents(spark: SparkSession, root: str, out: str, pattern: str = "
         df.write.mode("overwrite").partitionBy(*partition).parquet(f"{out}/{name}")
         return spark.read.parquet(f"{out}/{name}")
 
-    parsed = materialize(graph.parse_documents(read_documents(spark, root, pattern)), "documents")
-    store(graph.unreadable(parsed), "unreadable")
-    nodes = store(graph.nodes(parsed), "nodes", "split")
+    with scratch(spark):
+        parsed = materialize(graph.parse_documents(read_documents(spark, root, pattern)), "documents")
+        store(graph.unreadable(parsed), "unreadable")
+        nodes = store(graph.nodes(parsed), "nodes", "split")
     recs = graph.records(nodes)
     store(graph.papers(recs), "papers", "split")
     store(graph.identifiers(recs), "identifiers")

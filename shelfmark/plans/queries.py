@@ -266,7 +266,8 @@ def suggested_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = graph.canonical_labels(graph.label_counts(graph.entities(nodes)))
     encoder = hashed_words(DIM)
 
-    subject_lines = graph.subject_lines(graph.subjects(labels, graph.edges(recs)))
+    found = materialize(graph.subjects(labels, graph.edges(recs)), "found")
+    subject_lines = graph.subject_lines(found)
     subjects = number_rows(R.subject_texts(R.parse_subjects(subject_lines)), ["id"])
     subject_path = _fresh(spark, "subjects")
     tables.write_embeddings(encode(subjects, encoder), subject_path)

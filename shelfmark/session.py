@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +33,13 @@ DEFAULTS = {
 # Inputs below this size per core may be dealt out anew (see spread).
 SPREAD_BYTES = 32 << 20
 
+# Stored bytes a sorted partition is sized for (see range_partitions). Part files
+# are numbered with five digits; more would no longer sort by name.
+RANGE_BYTES = 64 << 20
+MAX_RANGES = 99_999
+
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 
 def build_session(
     app: str = "shelfmark", master: str | None = None, conf: dict[str, str] | None = None
@@ -65,11 +76,41 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     even when executors are lost.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables materialized inside this block are deleted at its end.
+
+    For jobs that leave their results in written tables of their own.
+    """
+    folder = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files and literal rows a frame is read from, as Spark knows it
+    without reading them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def range_partitions(df: DataFrame) -> int:
+    """How many ranges to sort a frame into: by its size on disk, and no fewer than
+    the session's shuffle partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(math.ceil(input_bytes(df) / RANGE_BYTES), least), MAX_RANGES)
+
+
 def spread(df: DataFrame, bytes_per_core: int = SPREAD_BYTES) -> DataFrame:
     """Deal a small file out over all cores ahead of work done row by row.
 
@@ -78,8 +119,7 @@ def spread(df: DataFrame, bytes_per_core: int = SPREAD_BYTES) -> DataFrame:
     the cluster is returned as is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) <= cores * bytes_per_core else df
+    return df.repartition(cores) if input_bytes(df) <= cores * bytes_per_core else df
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:

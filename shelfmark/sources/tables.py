@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.session import range_partitions
 from shelfmark.sources.jsonl import LINE_KEY
 
 MERGE_KEY = ("split", "doc_type_ord", "lang_ord", *LINE_KEY)
@@ -27,7 +28,8 @@ def write_merged_lines(merged: DataFrame, path: str, partitions: int | None = No
     files in order by name, so reading them in turn gives the merged sequence.
     The key is unique per line, so no range can outgrow the others.
     """
-    _in_merge_order(merged, partitions).select(
+    ranged = merged.repartitionByRange(partitions or range_partitions(merged), *MERGE_KEY)
+    ranged.sortWithinPartitions(*MERGE_KEY).select(
         "split", F.col("json").alias("value")
     ).write.mode("overwrite").partitionBy("split").text(path)
 
@@ -41,15 +43,6 @@ def write_merged_table(merged: DataFrame, path: str) -> None:
     merged.write.mode("overwrite").partitionBy("split", "doc_type", "lang").parquet(path)
 
 
-def _in_merge_order(merged: DataFrame, partitions: int | None) -> DataFrame:
-    ranged = (
-        merged.repartitionByRange(partitions, *MERGE_KEY)
-        if partitions
-        else merged.repartitionByRange(*MERGE_KEY)
-    )
-    return ranged.sortWithinPartitions(*MERGE_KEY)
-
-
 def write_embeddings(df: DataFrame, path: str, by: str | None = None) -> None:
     """Store ids, texts and vectors row by row with their position, replacing what
     is there. ``df`` holds ``row_id``, ``id``, ``embedding`` and, unless texts are

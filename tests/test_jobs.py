@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 
 from shelfmark.__main__ import encoder, main
 from shelfmark.operators.encode import hashed_words
 from shelfmark.plans import jobs
+from shelfmark.session import shared_dir
 from shelfmark.sources.tables import read_embeddings
 
 
@@ -41,6 +43,13 @@ def test_papers_end_to_end(spark, collection):
     assert {r.text for r in hits[:3]} == {hits[0].text} and hits[0].sim == pytest.approx(1.0)
 
 
+def test_scratch_tables_are_gone_after_a_job(spark, collection):
+    before = set(Path(shared_dir(spark)).iterdir())
+    jobs.merge_collection(spark, str(collection / "in"), str(collection / "m"))
+    jobs.embed_papers(spark, str(collection / "m"), str(collection / "e"), hashed_words(8))
+    assert set(Path(shared_dir(spark)).iterdir()) == before
+
+
 def test_subjects_by_command_line(spark, collection, capsys):
     lines = [json.dumps({"Code": f"c{i}", "Classification Name": f"alpha w{i % 4}", "Definition": None}) for i in range(9)]
     path, out = collection / "subjects.jsonl", str(collection / "subjects")
