@@ -7,22 +7,35 @@ which are few, pass through a window.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.session import broadcast_if_small, materialize, range_partitions
 
 
-def number_lines(df: DataFrame, by: str | None = None, name: str = "row_id") -> DataFrame:
-    """Add ``name``: 0, 1, 2, ... in the order of files, blocks and lines, restarting
-    per ``by``. No row is shuffled.
+def number_lines(
+    df: DataFrame,
+    order: Sequence[str] = ("file", "block"),
+    line: str = "line_no",
+    by: str | None = None,
+    name: str = "row_id",
+) -> DataFrame:
+    """Add ``name``: 0, 1, 2, ... by ``order`` and then ``line``, restarting per ``by``.
+    No row is shuffled.
 
-    ``df`` comes from ``read_lines`` through filters and projections only, so
-    every block's rows still lie together in one task, in line order. That they
-    do is checked.
+    ``df`` comes from ``read_lines`` or a merged table through filters and
+    projections only. There every task reads runs of rows that share ``order`` and
+    ascend in ``line``; that this holds, and that no two runs overlap, is checked.
+    Use :func:`number_rows` for frames in any other order.
     """
-    placed = materialize(df.withColumn("__place", F.monotonically_increasing_id()), "lines")
-    return _numbered(placed, [by] if by else [], ["file", "block"], name).select(name, *df.columns)
+    place = F.monotonically_increasing_id()
+    placed = materialize(
+        df.withColumn("__place", place).withColumn("__task", F.shiftrightunsigned("__place", 33)),
+        "lines",
+    )
+    return _numbered(placed, [by] if by else [], [*order], "__task", line, name).select(name, *df.columns)
 
 
 def number_rows(
@@ -47,22 +60,37 @@ def number_rows(
         .withColumn("__place", F.monotonically_increasing_id()),
         "ranges",
     )
-    return _numbered(placed, [by] if by else [], ["__part"], name).select(name, *df.columns)
+    placed = placed.withColumn("__line", F.col("__place"))
+    return _numbered(placed, [by] if by else [], [], "__part", "__line", name).select(name, *df.columns)
 
 
-def _numbered(placed: DataFrame, by: list[str], run: list[str], name: str) -> DataFrame:
-    keys = [*by, *run]
+def _numbered(
+    placed: DataFrame, by: list[str], order: list[str], task: str, line: str, name: str
+) -> DataFrame:
+    """Number rows that lie in runs of one ``by``, ``order`` and ``task``."""
+    keys = [*by, *order, task]
     runs = placed.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"),
         F.min("__place").alias("__first"),
         F.max("__place").alias("__last"),
+        F.min(line).alias("__low"),
+        F.max(line).alias("__high"),
+        F.min_by(line, "__place").alias("__low_placed"),
+        F.max_by(line, "__place").alias("__high_placed"),
+    )
+    in_order = Window.partitionBy(*by).orderBy(*order, "__low")
+    in_block = Window.partitionBy(*by, *order).orderBy("__low")
+    sound = (
+        (F.col("__last") - F.col("__first") + 1 == F.col("__n"))
+        & (F.col("__low") == F.col("__low_placed"))
+        & (F.col("__high") == F.col("__high_placed"))
+        & (F.col("__low") > F.coalesce(F.lag("__high").over(in_block), F.col("__low") - 1))
     )
-    whole = F.col("__last") - F.col("__first") + 1 == F.col("__n")
-    before = Window.partitionBy(*by).orderBy(*run).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.sum("__n").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     starts = runs.select(
         *[F.col(k).alias(f"__run_{k}") for k in keys],
         "__first",
-        F.when(whole, F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        F.when(sound, F.coalesce(before, F.lit(0)))
         .otherwise(F.raise_error(F.lit("rows of one block are not contiguous")).cast("long"))
         .alias("__start"),
     )

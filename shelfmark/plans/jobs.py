@@ -29,7 +29,9 @@ from shelfmark.sources.jsonl import (
 )
 from shelfmark.sources.jsonld import read_documents
 from shelfmark.sources.tables import (
+    MERGE_KEY,
     read_embeddings,
+    read_merged_table,
     write_embeddings,
     write_merged_lines,
     write_merged_table,
@@ -43,27 +45,23 @@ def merge_collection(
     splits: Sequence[str] | None = None,
     doc_types: Sequence[str] = DOC_TYPES,
     langs: Sequence[str] = LANGS,
-    table_out: str | None = None,
+    lines_out: str | None = None,
 ) -> DataFrame:
-    """Merge ``{root}/{split}/{type}_{lang}.jsonl`` into ordered text at ``out``, one
-    folder per split; returns the records per split.
+    """Merge ``{root}/{split}/{type}_{lang}.jsonl`` into a table at ``out``; returns
+    the records per split.
 
-    All splits found are merged in one job unless some are named. ``table_out``
-    keeps the merged records, with their provenance, as a Parquet table too.
+    All splits found are merged in one job, with no shuffle, unless some are
+    named. ``lines_out`` also writes the records as ordered text, one folder per
+    split, which takes a range shuffle.
     """
     lines = read_collection(spark, root, doc_types, langs)
     if splits is not None:
         lines = lines.where(F.col("split").isin(*splits))
-    with scratch(spark):
-        # Written before it is sorted: the sort samples its input first.
-        if table_out:
-            write_merged_table(merge(lines), table_out)
-            merged = spark.read.parquet(table_out)
-        else:
-            merged = materialize(merge(lines), "merged")
-        write_merged_lines(merged, out)
-        counts = count_by(merged, "split")
-        return spark.createDataFrame(counts.collect(), counts.schema)  # a row per split
+    write_merged_table(merge(lines), out)
+    merged = spark.read.parquet(out)
+    if lines_out:
+        write_merged_lines(merged, lines_out)
+    return count_by(merged, "split")
 
 
 def embed_papers(
@@ -73,11 +71,12 @@ def embed_papers(
     make_encoder: Callable[[], Encoder],
     mode: str = SKIP,
 ) -> DataFrame:
-    """Embed the papers of merged text, numbered per split in merge order."""
-    lines = read_lines(spark, merged).withColumn("split", F.col("split").cast("string"))
+    """Embed the papers of a merged table, numbered per split in merge order."""
+    texts = paper_texts(parse_papers(read_merged_table(spark, merged)), mode)
+    order = [c for c in MERGE_KEY if c not in ("split", "line_no")]
     with scratch(spark):
-        texts = number_lines(paper_texts(parse_papers(lines), mode), by="split")
-        write_embeddings(encode(texts, make_encoder), out, by="split")
+        numbered = number_lines(texts, order, by="split")
+        write_embeddings(encode(numbered, make_encoder), out, by="split")
     return read_embeddings(spark, out, by="split")
 
 

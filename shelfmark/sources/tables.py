@@ -35,12 +35,22 @@ def write_merged_lines(merged: DataFrame, path: str, partitions: int | None = No
 
 
 def write_merged_table(merged: DataFrame, path: str) -> None:
-    """Write merged records as Parquet with their provenance, no shuffle.
+    """Write merged records as Parquet with their provenance and order, no shuffle.
 
-    Partitioned by split, type and language, so that a reader of one split
-    lists only its folders.
+    Partitioned by split, type and language, so that a reader of one split lists
+    only its folders. Each task sorts its own rows, which keeps every file in line
+    order; merge order is the columns of ``MERGE_KEY``.
     """
-    merged.write.mode("overwrite").partitionBy("split", "doc_type", "lang").parquet(path)
+    folders = ["split", "doc_type", "lang"]
+    merged.sortWithinPartitions(*folders, *LINE_KEY).write.mode("overwrite").partitionBy(
+        *folders
+    ).parquet(path)
+
+
+def read_merged_table(spark: SparkSession, path: str) -> DataFrame:
+    """A merged table as lines: what the record readers take."""
+    stored = spark.read.parquet(path).withColumnRenamed("json", "line")
+    return stored.withColumn("split", F.col("split").cast("string"))
 
 
 def write_embeddings(df: DataFrame, path: str, by: str | None = None) -> None:

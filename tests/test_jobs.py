@@ -68,7 +68,7 @@ def test_subjects_by_command_line(spark, collection, capsys):
 
 def test_suggestions_and_other_commands(spark, collection, capsys):
     merged, emb = str(collection / "m"), str(collection / "e")
-    main(["merge", str(collection / "in"), merged, "--splits", "train", "--table-out", str(collection / "t")])
+    main(["merge", str(collection / "in"), merged, "--splits", "train", "--lines-out", str(collection / "t")])
     assert "train" in capsys.readouterr().out
     main(["embed-papers", merged, emb, "--encoder", "hashed:16"])
     papers = read_embeddings(spark, emb, by="split")

@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 from shelfmark.operators import merge as M
+from shelfmark.operators.numbering import number_lines
 from shelfmark.plans.jobs import merge_collection
 from shelfmark.sources import jsonl, tables
 
@@ -41,16 +42,38 @@ def ordered_text(path: str, split: str) -> list[str]:
 
 
 def test_merge_order_and_counts(spark, root, tmp_path):
-    out = str(tmp_path / "out")
-    counts = {r.split: r.n_records for r in merge_collection(spark, root, out).collect()}
+    out, text = str(tmp_path / "out"), str(tmp_path / "text")
+    counts = {r.split: r.n_records for r in merge_collection(spark, root, out, lines_out=text).collect()}
     assert counts == {"train": len(TRAIN), "test": 1}
-    assert ordered_text(out, "train") == TRAIN
+    assert ordered_text(text, "train") == TRAIN
+    stored = spark.read.parquet(out).where("split = 'train'").orderBy(*tables.MERGE_KEY)
+    assert [r.json for r in stored.collect()] == TRAIN
     # A second run replaces the first.
-    table = str(tmp_path / "table")
-    merge_collection(spark, root, out, splits=["test"], table_out=table)
-    assert not Path(out, "split=train").exists() and ordered_text(out, "test") == ['{"n": 1}']
-    kept = spark.read.parquet(table).first()
-    assert (kept.split, kept.doc_type, kept.lang) == ("test", "Thesis", "en")
+    merge_collection(spark, root, out, splits=["test"], lines_out=text)
+    assert not Path(text, "split=train").exists() and ordered_text(text, "test") == ['{"n": 1}']
+    kept = spark.read.parquet(out).collect()
+    assert [(r.split, r.doc_type, r.lang) for r in kept] == [("test", "Thesis", "en")]
+
+
+def test_numbering_of_a_merged_table_needs_no_shuffle(spark, tmp_path):
+    folder = tmp_path / "big" / "train"
+    folder.mkdir(parents=True)
+    names = ["Thesis_de", "Book_en", "Article_en", "Book_de"]
+    for name in names:
+        lines = [json.dumps({"f": name, "n": i, "pad": "x" * 40}) for i in range(2000)]
+        (folder / f"{name}.jsonl").write_text("\n".join(lines))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "15000")
+    try:
+        merge_collection(spark, str(tmp_path / "big"), str(tmp_path / "t"))
+        lines = tables.read_merged_table(spark, str(tmp_path / "t"))
+        order = [c for c in tables.MERGE_KEY if c not in ("split", "line_no")]
+        got = number_lines(lines.where("line not like '%7,%'"), order, by="split").orderBy("row_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = [(f, i) for f in ("Article_en", "Book_de", "Book_en", "Thesis_de") for i in range(2000) if i % 10 != 7]
+    assert [(r.line.split('"')[3], int(r.line.split('"n": ')[1].split(",")[0])) for r in got] == want
+    assert [r.row_id for r in got] == list(range(len(want)))
 
 
 def test_many_ranges_keep_the_order(spark, root, tmp_path):
