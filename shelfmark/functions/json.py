@@ -108,9 +108,10 @@ def unexpected(field: str) -> str:
 def _canonical(lines: pa.Array) -> pa.Array:
     def rewrite(line):
         try:
-            return _json.dumps(_json.loads(line), ensure_ascii=False)
-        except _json.JSONDecodeError:
+            text = _json.dumps(_json.loads(line), ensure_ascii=False)
+        except (ValueError, RecursionError):  # also numbers and nesting past Python's limits
             return None
+        return text.encode("utf-8", "replace")  # a lone surrogate has no UTF-8 form
 
     return pa.array([None if x is None else rewrite(x) for x in lines.to_pylist()], pa.string())
 

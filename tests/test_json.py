@@ -109,3 +109,10 @@ def test_truth_of_values(spark):
 def test_repeated_keys_last_wins(spark):
     df = spark.createDataFrame([('{"a":1,"a":"z"}',)], "line string")
     assert with_object(df, "a variant", "rec").select(F.expr("rec.a::string")).first()[0] == "z"
+
+
+def test_lines_python_cannot_write_or_read(spark):
+    lines = ['{"a":"\\ud800é"}', '{"a":' + "9" * 5000 + "}", "[" * 200_000]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    got = df.select("i", J.canonical_json(F.col("line")).alias("c")).orderBy("i").collect()
+    assert [r.c for r in got] == ['{"a": "?é"}', None, None]
