@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import decontaminate, toxicity
+from shelfmark.llm import decontaminate, extract, pieces, tokencount, toxicity
 from shelfmark.llm.common import table
 
 
+def op2_html_extraction(spark, sf_dir):
+    return extract.digest(table(spark, sf_dir, "pages"))
+
+
+def op4_sentencepiece(spark, sf_dir):
+    return pieces.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark, sf_dir):
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_token_counts(spark, sf_dir):
+    return tokencount.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op6_toxicity, op10_decontamination)}
+QUERIES = {
+    f.__name__: f for f in (op2_html_extraction, op4_sentencepiece, op6_toxicity, op9_token_counts, op10_decontamination)
+}
 
 ORACLE = {"op10_decontamination": decontaminate.SQL}
