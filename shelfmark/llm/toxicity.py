@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import map_texts, mix, random_words, remainder
 
+# Bytes of text at a time: a letter takes some 60 bytes of arrays here.
+PORTION = 1 << 20
+
 #: Hashed n-grams are numbers of so many bits.
 BITS = 20
 LENGTHS = (3, 4, 5)
@@ -134,7 +137,7 @@ def train(
     drawn = (
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.max(label).alias("__label"))
+        .agg(F.max((F.col(label) > 0).cast("int")).alias("__label"))
         .orderBy(F.xxhash64(key), key)
         .limit(sample_rows)
     )
@@ -145,13 +148,14 @@ def train(
         [("__grams", "array<int>", pa.list_(pa.int32()))],
         text,
         keep=["__label"],
+        limit=PORTION,
     )
     counts = {r[0]: r[1] for r in texts.groupBy("__label").count().collect()}
     share = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
     if len([c for c in counts.values() if c]) < 2:
         edge = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(edge / (1 - edge))))
-    held = _ratios(sets, min_docs, min_ratio)
+    held = _ratios(sets, counts[0], counts[1], min_docs, min_ratio)
     chosen = held.features
     ratio = held.weights
     spot = texts.sparkSession.sparkContext.broadcast(chosen)
@@ -169,7 +173,7 @@ def train(
 
         return step
 
-    reduced = map_texts(texts, small, [("f", "array<int>", pa.list_(pa.int32()))], text, keep=["__label"])
+    reduced = map_texts(texts, small, [("f", "array<int>", pa.list_(pa.int32()))], text, keep=["__label"], limit=PORTION)
     # At most sample_rows short lists; repeated keys among the documents may exceed the
     # bound, hence the limit.
     rows = reduced.limit(2 * sample_rows).toPandas()
@@ -185,7 +189,7 @@ def _listed(texts: pa.LargeBinaryArray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(what.astype(np.int32)))
 
 
-def _ratios(sets: DataFrame, min_docs: int, min_ratio: float) -> Model:
+def _ratios(sets: DataFrame, n_other: int, n_toxic: int, min_docs: int, min_ratio: float) -> Model:
     """n-grams that tell the classes apart, and their log-count ratios."""
 
     def count(batches):
@@ -205,13 +209,11 @@ def _ratios(sets: DataFrame, min_docs: int, min_ratio: float) -> Model:
     table = sets.mapInArrow(count, "gram int, other long, toxic long").groupBy("gram").agg(
         F.sum("other").alias("other"), F.sum("toxic").alias("toxic")
     )
-    totals = table.agg(F.sum(F.col("other") + 1), F.sum(F.col("toxic") + 1))
     told = (
-        table.crossJoin(F.broadcast(totals.toDF("__other", "__toxic")))  # one row
-        .select(
+        table.select(
             "gram",
             (F.col("other") + F.col("toxic")).alias("n"),
-            F.log(((F.col("toxic") + 1) / F.col("__toxic")) / ((F.col("other") + 1) / F.col("__other"))).alias("ratio"),
+            F.log(((F.col("toxic") + 1) / (n_toxic + 1)) / ((F.col("other") + 1) / (n_other + 1))).alias("ratio"),
         )
         .where((F.col("n") >= min_docs) & (F.abs("ratio") >= min_ratio))
         .toPandas()  # at most 2**BITS rows
@@ -229,7 +231,7 @@ def add_scores(docs: DataFrame, model: Model, text: str = "text", out: str = "sc
         weights = found.dense()
         return lambda texts: [score(texts, weights, found.intercept)]
 
-    return map_texts(docs, start, [(out, "double", pa.float64())], text, keep)
+    return map_texts(docs, start, [(out, "double", pa.float64())], text, keep, PORTION)
 
 
 def with_toxicity(
