@@ -142,3 +142,25 @@ class Rolling:
         h = sums[stop] - sums[start]
         h *= self.down[start]
         return mix(h)
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+_LOWER = np.frombuffer(LOWER, np.uint8)
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and stops of the words (runs without ASCII white space) of joined texts, and
+    where each text's words begin among them, with the total at the end."""
+    word = ~_SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    before = np.concatenate([[False], word[:-1]]) if len(data) else word
+    starts = np.flatnonzero(word & (~before | edge[:-1]))
+    after = np.concatenate([word[1:], [False]]) if len(data) else word
+    stops = np.flatnonzero(word & (~after | edge[1:])) + 1
+    return starts, stops, np.searchsorted(starts, offsets)
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import decontaminate, extract, fingerprint, pieces, tokencount, toxicity
+from shelfmark.llm import classlm, decontaminate, extract, fingerprint, pieces, tokencount, toxicity
 from shelfmark.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op2_html_extraction(spark, sf_dir):
     return extract.digest(table(spark, sf_dir, "pages"))
 
 
+def op3_class_lm(spark, sf_dir):
+    return classlm.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark, sf_dir):
     return pieces.digest(table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (op2_html_extraction, op4_sentencepiece, op6_toxicity, op8_fingerprints, op9_token_counts, op10_decontamination)
+    f.__name__: f for f in (op2_html_extraction, op3_class_lm, op4_sentencepiece, op6_toxicity, op8_fingerprints, op9_token_counts, op10_decontamination)
 }
 
 ORACLE = {"op10_decontamination": decontaminate.SQL}
