@@ -7,10 +7,11 @@ that end alike, so that every word has a class. A text's probability is the prod
 class transitions, of the units within their classes and of the words within their
 units; all three are smoothed and sum to one over known words and one unknown.
 
-What grows with the corpus stays in tables: word counts, bigrams of units, and the rare
-words of each text, which are joined with their counts. Sent to tasks are only the words
-with a share of ``lookup_share`` of all tokens, of which there are ``1 / lookup_share`` at
-most, and the model of units and classes.
+What grows with the corpus stays in tables: word counts, and the rare words of each text,
+which are joined with their counts. Sent to tasks are only the words with a share of
+``lookup_share`` of all tokens, of which there are ``1 / lookup_share`` at most, and the
+model of units and classes. Bigrams of units are counted in tasks and summed by Spark;
+the sums, bounded by the number of units, are what exchange clustering runs on.
 """
 
 from __future__ import annotations
@@ -183,68 +184,46 @@ def best_class(matrix: np.ndarray, own: int, left: np.ndarray, right: np.ndarray
     return (to, float(gain[to] - gain[own])) if gain[to] > gain[own] + 1e-6 else (own, 0.0)
 
 
-def exchange(bigrams: DataFrame, n_units: int, n_classes: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the units and the bigrams of classes, by exchange.
+def exchange(first: np.ndarray, second: np.ndarray, n: np.ndarray, n_units: int, n_classes: int, sweeps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the units and the bigrams of classes.
 
-    All units look for their best class at once, over tables; in each round one half of
-    them, by turns, moves. The table of classes has a row per unit and is bounded as
-    units are. Units that never occur stay where they began.
+    Units begin in classes dealt out by frequency. In order of frequency, each moves to
+    its best class at once, for at most ``sweeps`` sweeps or until none moves. Units
+    that never occur stay where they began.
     """
-    spark = bigrams.sparkSession
-    totals = np.zeros(n_units)
-    for r in bigrams.groupBy("second").agg(F.sum("n").alias("n")).collect():  # a row per unit
-        totals[r[0]] = r[1]
+    totals = np.bincount(second, n, n_units)
     order = np.argsort(-totals, kind="stable")
     classes = np.zeros(n_units, np.int64)
     classes[order] = np.arange(n_units) % n_classes
-
-    def matrix_of() -> tuple[np.ndarray, DataFrame]:
-        table = spark.createDataFrame(
-            pa.table({"unit": pa.array(np.arange(n_units, dtype=np.int32)), "class": pa.array(classes.astype(np.int32))})
-        )
-        classed = bigrams.join(F.broadcast(table.toDF("first", "c1")), "first").join(F.broadcast(table.toDF("second", "c2")), "second")
-        matrix = np.zeros((n_classes, n_classes))
-        for a, b, n in classed.groupBy("c1", "c2").agg(F.sum("n")).collect():
-            matrix[a, b] = n
-        return matrix, classed
-
-    for turn in range(rounds):
-        matrix, classed = matrix_of()
-        sides = classed.select(F.col("first").alias("unit"), F.lit(0).alias("side"), F.col("c2").alias("c"), "n").unionByName(
-            classed.select(F.col("second").alias("unit"), F.lit(1).alias("side"), F.col("c1").alias("c"), "n")
-        ).unionByName(
-            classed.where("first = second").select(F.col("first").alias("unit"), F.lit(2).alias("side"), F.lit(0).alias("c"), "n")
-        )
-        # Two classes' worth of counts for each unit at most.
-        seen = (
-            sides.where(F.col("unit") % 2 == turn % 2)
-            .groupBy("unit", "side", "c")
-            .agg(F.sum("n").alias("n"))
-            .groupBy("unit")
-            .agg(F.collect_list(F.struct("side", "c", "n")).alias("seen"))
-        )
-        shared = spark.sparkContext.broadcast((matrix, classes))
-
-        def move(batches, shared=shared):
-            matrix, classes = shared.value
-            for batch in batches:
-                units, to = [], []
-                for unit, rows in zip(batch.column("unit").to_pylist(), batch.column("seen").to_pylist(), strict=True):
-                    counts = np.zeros((3, n_classes))
-                    for r in rows:
-                        counts[r["side"], r["c"]] = r["n"]
-                    best, gain = best_class(matrix, int(classes[unit]), counts[1], counts[0], counts[2, 0])
-                    if gain > 0:
-                        units.append(unit)
-                        to.append(best)
-                yield pa.RecordBatch.from_arrays([pa.array(units, pa.int32()), pa.array(to, pa.int32())], names=["unit", "to"])
-
-        moved = seen.mapInArrow(move, "unit int, to int").collect()  # a row per unit
-        for unit, to in moved:
+    matrix = np.bincount(classes[first] * n_classes + classes[second], n, n_classes**2).reshape(n_classes, n_classes)
+    by_first, by_second = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
+    places = np.arange(n_units + 1)
+    row, column = np.searchsorted(first[by_first], places), np.searchsorted(second[by_second], places)
+    for _ in range(sweeps):
+        moved = 0
+        for unit in order[totals[order] > 0]:
+            after = by_first[row[unit] : row[unit + 1]]
+            before = by_second[column[unit] : column[unit + 1]]
+            right = np.bincount(classes[second[after]], n[after], n_classes)
+            left = np.bincount(classes[first[before]], n[before], n_classes)
+            same = float(n[after[second[after] == unit]].sum())
+            own = int(classes[unit])
+            to, gain = best_class(matrix, own, left, right, same)
+            if gain <= 0:
+                continue
+            left[own] -= same
+            right[own] -= same
+            matrix[own] -= right
+            matrix[:, own] -= left
+            matrix[to] += right
+            matrix[:, to] += left
+            matrix[own, own] -= same
+            matrix[to, to] += same
             classes[unit] = to
-        if len(moved) <= n_units // 1000 and turn:
+            moved += 1
+        if not moved:
             break
-    return classes, matrix_of()[0]
+    return classes, matrix
 
 
 @dataclass
@@ -264,10 +243,10 @@ class Model:
 
 def fit(
     docs: DataFrame,
-    unit_share: float = 1e-4,
+    unit_share: float = 2e-4,
     lookup_share: float = 1e-6,
     n_classes: int = 64,
-    rounds: int = 8,
+    sweeps: int = 10,
 ) -> tuple[Model, DataFrame]:
     """The model of the rows with ``train`` set, and the table of word counts."""
     words = materialize(word_counts(docs), "words")
@@ -277,12 +256,12 @@ def fit(
     # At most 1 / lookup_share rows.
     often = words.where(F.col("n_all") >= max(1.0, lookup_share * n_all)).toPandas().sort_values("hash")
     units = Units(often.loc[often["n_all"] >= max(1.0, unit_share * n_all), "hash"].to_numpy(np.int64))
-    bigrams = materialize(unit_bigrams(docs, units), "bigrams")
-    classes, matrix = exchange(bigrams, units.count, n_classes, rounds)
-
-    n_unit = np.zeros(units.count)
-    for r in bigrams.groupBy("second").agg(F.sum("n")).collect():  # a row per unit
-        n_unit[r[0]] = r[1]
+    # A row for each pair of units that occurs: (1 / unit_share + ENDINGS + 1) ** 2 at most,
+    # whatever the size of the corpus.
+    bigrams = unit_bigrams(docs, units).toPandas().sort_values(["first", "second"])
+    first, second, n = (bigrams[c].to_numpy(np.int64) for c in ("first", "second", "n"))
+    classes, matrix = exchange(first, second, n, units.count, n_classes, sweeps)
+    n_unit = np.bincount(second, n, units.count)
     kinds = np.zeros(ENDINGS)
     rare = words.where((F.col("n_train") > 0) & (F.col("n_all") < max(1.0, unit_share * n_all)))
     for r in rare.groupBy("ending").count().collect():  # ENDINGS rows at most
