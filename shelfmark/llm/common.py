@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.session import input_bytes, materialize
+
 # Bytes of text that NumPy code handles at once. A longer text is a batch alone.
 BATCH_BYTES = 4 << 20
 
@@ -164,3 +166,29 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
+
+
+class Store:
+    """Intermediate tables of one operator in the shared folder, dropped when no longer
+    of use. What is left goes when the session ends (see ``session.materialize``)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, str] = {}
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        out = materialize(df, name)
+        self.paths[id(out)] = out.inputFiles()[0].rpartition("/")[0] if out.inputFiles() else ""
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for df in tables:
+            if path := self.paths.pop(id(df), ""):
+                place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def sendable(df: DataFrame, most: int = 16 << 20) -> DataFrame:
+    """A stored table marked for broadcast if its files hold ``most`` bytes at most; as it
+    is otherwise, for a join by shuffle."""
+    return F.broadcast(df) if input_bytes(df) <= most else df

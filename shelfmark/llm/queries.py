@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import classlm, decontaminate, extract, fingerprint, pieces, tokencount, toxicity
+from shelfmark.llm import classlm, decontaminate, extract, fingerprint, pieces, suffixdedup, tokencount, toxicity
 from shelfmark.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    return suffixdedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark, sf_dir):
     return fingerprint.digest(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (op2_html_extraction, op3_class_lm, op4_sentencepiece, op6_toxicity, op8_fingerprints, op9_token_counts, op10_decontamination)
+    f.__name__: f for f in (op2_html_extraction, op3_class_lm, op4_sentencepiece, op6_toxicity, op7_suffix_dedup, op8_fingerprints, op9_token_counts, op10_decontamination)
 }
 
 ORACLE = {"op10_decontamination": decontaminate.SQL}
