@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import classlm, decontaminate, extract, fingerprint, pieces, suffixdedup, tokencount, toxicity
+from shelfmark.llm import classlm, decontaminate, extract, fingerprint, neardup, pieces, suffixdedup, tokencount, toxicity
 from shelfmark.llm.common import table
 
 
+def op1_near_duplicates(spark, sf_dir):
+    return neardup.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_html_extraction(spark, sf_dir):
     return extract.digest(table(spark, sf_dir, "pages"))
 
@@ -39,7 +43,18 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (op2_html_extraction, op3_class_lm, op4_sentencepiece, op6_toxicity, op7_suffix_dedup, op8_fingerprints, op9_token_counts, op10_decontamination)
+    f.__name__: f
+    for f in (
+        op1_near_duplicates,
+        op2_html_extraction,
+        op3_class_lm,
+        op4_sentencepiece,
+        op6_toxicity,
+        op7_suffix_dedup,
+        op8_fingerprints,
+        op9_token_counts,
+        op10_decontamination,
+    )
 }
 
-ORACLE = {"op10_decontamination": decontaminate.SQL}
+ORACLE = {"op1_near_duplicates": neardup.SQL, "op10_decontamination": decontaminate.SQL}
