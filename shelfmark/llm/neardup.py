@@ -434,7 +434,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     groups = near_groups(docs, key, text, **options)
     stay = groups.where("first").select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"))
     named = docs.withColumn("__doc", F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63)))).withColumn("__mark", F.coalesce(F.hash(text), F.lit(0)))
-    out = named.join(stay, ["__doc", "__mark"], "left_semi")
+    out = named.join(sendable(stay), ["__doc", "__mark"], "left_semi")
     if groups.select("doc", "mark").distinct().count() < groups.count():
         out = out.dropDuplicates(["__doc", "__mark"])  # rows equal in both are repeated
     return out.drop("__doc", "__mark")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import classlm, decontaminate, extract, fingerprint, neardup, pieces, suffixdedup, tokencount, toxicity
+from shelfmark.llm import classlm, decontaminate, extract, fingerprint, licenses, neardup, pieces, suffixdedup, tokencount, toxicity
 from shelfmark.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op4_sentencepiece(spark, sf_dir):
     return pieces.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark, sf_dir):
+    return licenses.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark, sf_dir):
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,6 +53,7 @@ QUERIES = {
         op2_html_extraction,
         op3_class_lm,
         op4_sentencepiece,
+        op5_license_scan,
         op6_toxicity,
         op7_suffix_dedup,
         op8_fingerprints,

@@ -323,6 +323,7 @@ FIELDS = {
     "spans": ("array<struct<start:bigint,stop:bigint>>", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
     "kept_sha256": ("string", pa.string()),
     "kept": ("binary", pa.binary()),
+    "kept_text": ("string", pa.string()),
 }
 
 
@@ -337,8 +338,9 @@ def without_repeats(
 ) -> DataFrame:
     """Remove every byte that a string of ``length`` bytes covers which starts elsewhere too.
 
-    Adds n_bytes, n_removed, n_spans, spans (joined byte spans), kept_sha256 and kept
-    (the bytes that stay), or those named in ``outputs``. Strings are judged on the
+    Adds n_bytes, n_removed, n_spans, spans (joined byte spans), kept_sha256, kept (the
+    bytes that stay) and kept_text (the whole characters among them), or those named in
+    ``outputs``. Strings are judged on the
     input; matches never cross texts. A null text is an empty one; texts shorter than
     ``length`` stay whole. Rows with one key are told apart by their texts; rows equal
     in both lose the same bytes. Input columns named like an output are replaced.
@@ -379,6 +381,7 @@ def without_repeats(
                     out["spans"].append([{"start": a, "stop": b} for a, b in gone])
                     out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                     out["kept"].append(kept)
+                    out["kept_text"].append(kept.decode("utf-8", "ignore"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), *[pa.array(out[o], FIELDS[o][1]) for o in outputs]], names=["row", *outputs]
                 )
