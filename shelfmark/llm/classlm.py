@@ -178,7 +178,8 @@ def best_class(matrix: np.ndarray, own: int, left: np.ndarray, right: np.ndarray
     d = np.arange(len(m))
     gain = rows.sum(axis=1) - rows[d, d] + columns.sum(axis=0) - columns[d, d]
     gain += xlogx(m[d, d] + left + right + self_n) - base[d, d]
-    out, into = m.sum(axis=1), m.sum(axis=0)
+    # Wherever the unit goes, what stands beside it counts in the sums of the others.
+    out, into = m.sum(axis=1) + left, m.sum(axis=0) + right
     gain -= xlogx(out + n_out) - xlogx(out) + xlogx(into + n_in) - xlogx(into)
     to = int(np.argmax(gain))
     return (to, float(gain[to] - gain[own])) if gain[to] > gain[own] + 1e-6 else (own, 0.0)

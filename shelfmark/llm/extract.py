@@ -64,16 +64,16 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 #: Weights of the classifier: the log odds that a block is content.
 WEIGHTS = {
-    "bias": -1.0,
+    "bias": -0.8,
     "words": 2.5,  # times the share of 40 words that the block has
     "links": -4.0,  # times the share of its characters inside links
-    "stops": 0.5,  # it ends like a sentence
+    "stops": 0.9,  # it ends like a sentence
     "heading": 0.5,
     "main": 2.0,
     "outside": -2.5,  # the page has an article and this block is not in it
     "boiler": -9.0,  # an element around it is of a kind or a class that holds no content
 }
-SMOOTH, REACH = 0.8, 3.0
+SMOOTH, REACH = 1.2, 3.0
 
 
 @dataclass
