@@ -9,14 +9,22 @@ extra comma or unclosed bracket in the line can fake.
 from __future__ import annotations
 
 import json as _json
+import sys
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.operators.once import evaluate_once
+
 END = "shelfmark~end"
-STRICT = "map('allowSingleQuotes', 'false')"
+# Numbers may be as long as they are: the parser's own limit of 1,000 digits is lifted.
+STRICT = "map('allowSingleQuotes', 'false', 'maxNumLen', '2147483647')"
+
+# Verdicts on a line besides "ok".
+BAD_JSON, TOO_DEEP = "bad_json", "too_deep"
+MAX_DEPTH = 1_000  # the JVM parser's limit
 
 # Spark's parser also takes signed spellings of infinity that Python rejects.
 _ODD_INFINITY = r"r'\+Infinity|[+-]?\bINF\b'"
@@ -53,11 +61,53 @@ def object_in(items: str, line: str) -> Column:
     )
 
 
+def _loads(line: str):
+    # Python's own limit on digits would turn a valid number into an error.
+    sys.set_int_max_str_digits(0)
+    return _json.loads(line)
+
+
+@F.arrow_udf(T.StringType())
+def _second_look(lines: pa.Array) -> pa.Array:
+    def judge(line):
+        try:
+            _loads(line)
+        except RecursionError:
+            return TOO_DEEP
+        except ValueError:
+            return BAD_JSON
+        return "ok"
+
+    return pa.array([None if x is None else judge(x) for x in lines.to_pylist()], pa.string())
+
+
+def with_verdict(df: DataFrame, line: str = "line", name: str = "verdict") -> DataFrame:
+    """Add ``ok``, ``bad_json`` or ``too_deep`` for a line: the one verdict that merging,
+    the report of skipped lines and the readers share.
+
+    The JVM's parser decides for all lines it accepts. It stops at 1,000 levels of
+    nesting, so a line that it rejects is shown to Python's parser, and only such a line
+    is sent there. ``too_deep`` is what neither of them can read to its end.
+    """
+    seen = evaluate_once(df, __fine=is_json(line))
+    rest = _second_look(F.when(~F.col("__fine"), F.col(line)))
+    judged = evaluate_once(seen, **{name: F.coalesce(rest, F.lit("ok"))})
+    return judged.drop("__fine")
+
+
 def reject_reason(line: str, parsed: str) -> Column:
-    """Null for a parsed object, else ``not_object`` or ``bad_json``."""
+    """Null for a parsed object, else ``not_object``, ``bad_json`` or ``too_deep``.
+
+    Readers stay inside the JVM, whose parser stops at 1,000 levels of nesting: a line
+    that it rejects and that opens more brackets than that is ``too_deep`` for a reader,
+    whether or not it is valid.
+    """
+    openers = F.length(line) - F.length(F.translate(F.col(line), "[{", ""))
     return F.when(
         F.col(parsed).isNull(),
-        F.when(is_json(line), F.lit("not_object")).otherwise(F.lit("bad_json")),
+        F.when(is_json(line), F.lit("not_object"))
+        .when(openers > MAX_DEPTH, F.lit(TOO_DEEP))
+        .otherwise(F.lit(BAD_JSON)),
     )
 
 
@@ -108,8 +158,10 @@ def unexpected(field: str) -> str:
 def _canonical(lines: pa.Array) -> pa.Array:
     def rewrite(line):
         try:
-            text = _json.dumps(_json.loads(line), ensure_ascii=False)
-        except (ValueError, RecursionError):  # also numbers and nesting past Python's limits
+            text = _json.dumps(_loads(line), ensure_ascii=False)
+        except RecursionError:  # valid, but nested past what Python can write
+            text = line
+        except ValueError:
             return None
         return text.encode("utf-8", "replace")  # a lone surrogate has no UTF-8 form
 
@@ -121,6 +173,7 @@ def canonical_json(line: Column) -> Column:
 
     Null for a malformed line. Key order, repeated keys (last one wins) and
     number spelling follow Python's own serialiser, which no built-in function
-    reproduces; it is meant for the text sink only.
+    reproduces; it is meant for the text sink only. A line nested too deep for
+    that serialiser stays as it is.
     """
     return _canonical(line)

@@ -5,24 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.json import canonical_json, is_json
-from shelfmark.operators.once import evaluate_once
+from shelfmark.functions.json import with_verdict
 
 
 def merge(lines: DataFrame) -> DataFrame:
-    """Keep every well-formed line, re-serialised as ``json``; duplicates stay.
+    """Keep every well-formed line as ``json``, as it is written; duplicates stay.
 
     ``lines`` comes from ``read_collection`` (or carries a ``line`` column
     already trimmed). Any JSON value is kept, objects or not. Provenance and
-    order columns pass through; nothing is shuffled.
+    order columns pass through; nothing is shuffled, and good lines do not leave
+    the JVM. The text sink re-serialises what it writes.
     """
-    rewritten = evaluate_once(lines, json=canonical_json(F.col("line")))
-    return rewritten.where(F.col("json").isNotNull()).drop("line")
+    kept = with_verdict(lines).where(F.col("verdict") == "ok")
+    return kept.withColumn("json", F.col("line")).drop("line", "verdict")
 
 
 def malformed(lines: DataFrame) -> DataFrame:
-    """The lines :func:`merge` leaves out, with all their columns."""
-    return lines.where(~is_json("line"))
+    """The lines :func:`merge` leaves out, with all their columns and a ``reason``."""
+    return with_verdict(lines, name="reason").where(F.col("reason") != "ok")
 
 
 def count_by(df: DataFrame, *columns: str, name: str = "n_records") -> DataFrame:

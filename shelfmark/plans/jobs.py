@@ -30,6 +30,7 @@ from shelfmark.sources.jsonl import (
 from shelfmark.sources.jsonld import read_documents
 from shelfmark.sources.tables import (
     MERGE_KEY,
+    merged_table,
     read_embeddings,
     read_merged_table,
     write_embeddings,
@@ -54,11 +55,9 @@ def merge_collection(
     named. ``lines_out`` also writes the records as ordered text, one folder per
     split, which takes a range shuffle.
     """
-    lines = read_collection(spark, root, doc_types, langs)
-    if splits is not None:
-        lines = lines.where(F.col("split").isin(*splits))
+    lines = read_collection(spark, root, doc_types, langs, splits)
     write_merged_table(merge(lines), out)
-    merged = spark.read.parquet(out)
+    merged = merged_table(spark, out)
     if lines_out:
         write_merged_lines(merged, lines_out)
     return count_by(merged, "split")

@@ -134,7 +134,7 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [c for c in tables.MERGE_KEY if c != "split"]
     numbered = number_rows(materialize(_merged(spark, sf_dir), "merged"), order, by="split")
-    return numbered.select("split", "doc_type", "lang", "row_id", "json")
+    return numbered.select("split", "doc_type", "lang", "row_id", J.canonical_json(F.col("json")).alias("json"))
 
 
 def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,11 +51,20 @@ def position_in(value: Column, order: Sequence[str]) -> Column:
     return case
 
 
-def _collection_options(doc_types: Sequence[str], langs: Sequence[str]) -> dict[str, str]:
-    return {
-        "recursiveFileLookup": "true",
-        "pathGlobFilter": "{%s}_{%s}.jsonl" % (",".join(doc_types), ",".join(langs)),
-    }
+def _collection_paths(
+    root: str, splits: Sequence[str] | None, doc_types: Sequence[str], langs: Sequence[str]
+) -> str:
+    """``{root}/{split}/{type}_{lang}.jsonl`` as one pattern: no other file is listed, and
+    no folder of a split that is not asked for."""
+    folder = "*" if splits is None else "{%s}" % ",".join(splits)
+    return f"{root.rstrip('/')}/{folder}/{{{','.join(doc_types)}}}_{{{','.join(langs)}}}.jsonl"
+
+
+def _matching(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file fits; Spark takes a pattern that fits none for an error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
 
 
 def _path_parts(file: Column) -> list[Column]:
@@ -83,13 +92,19 @@ def read_collection(
     root: str,
     doc_types: Sequence[str] = DOC_TYPES,
     langs: Sequence[str] = LANGS,
+    splits: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All ``{root}/{split}/{type}_{lang}.jsonl`` lines in one scan.
+    """All ``{root}/{split}/{type}_{lang}.jsonl`` lines in one scan, of the named splits
+    or of all. Files elsewhere under ``root`` are not part of the collection.
 
     Split, type and language come from the path; absent files are simply not
     there (see :func:`missing_inputs`).
     """
-    lines = read_lines(spark, root, **_collection_options(doc_types, langs))
+    pattern = _collection_paths(root, splits, doc_types, langs)
+    if _matching(spark, pattern):
+        lines = read_lines(spark, pattern)
+    else:
+        lines = spark.createDataFrame([], "file string, block long, line_no long, line string")
     tagged = lines.select(*_path_parts(F.col("file")), "*")
     return with_merge_order(tagged, doc_types, langs)
 
@@ -103,10 +118,11 @@ def missing_inputs(
 ) -> DataFrame:
     """Expected ``(split, doc_type, lang)`` combinations that have no file.
 
-    Taken from the file listing Spark plans a scan with; a scan itself would not
-    show empty files, which count as present.
+    Taken from the file listing Spark plans a scan with, of the expected files only; a
+    scan itself would not show empty files, which count as present.
     """
-    listed = spark.read.options(**_collection_options(doc_types, langs)).text(root).inputFiles()
+    pattern = _collection_paths(root, splits, doc_types, langs)
+    listed = spark.read.text(pattern).inputFiles() if _matching(spark, pattern) else []
     files = spark.createDataFrame([(f,) for f in listed], "path string")
     found = files.select(*_path_parts(F.col("path")))
     return absent_from(expected_inputs(spark, splits, doc_types, langs), found)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.functions.json import canonical_json
 from shelfmark.session import range_partitions
 from shelfmark.sources.jsonl import LINE_KEY
 
@@ -20,9 +21,25 @@ EMBEDDINGS = T.StructType(
     ]
 )
 
+MERGED = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("line_no", T.LongType()),
+        T.StructField("doc_type_ord", T.IntegerType()),
+        T.StructField("lang_ord", T.IntegerType()),
+        T.StructField("json", T.StringType()),
+        # Folders; as partition columns they come last.
+        T.StructField("split", T.StringType()),
+        T.StructField("doc_type", T.StringType()),
+        T.StructField("lang", T.StringType()),
+    ]
+)
+
 
 def write_merged_lines(merged: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Write merged lines as text, one folder per split, replacing what is there.
+    """Write merged lines as text, re-serialised, one folder per split, replacing what is
+    there.
 
     A range shuffle on the merge order leaves each part file sorted and the part
     files in order by name, so reading them in turn gives the merged sequence.
@@ -30,7 +47,7 @@ def write_merged_lines(merged: DataFrame, path: str, partitions: int | None = No
     """
     ranged = merged.repartitionByRange(partitions or range_partitions(merged), *MERGE_KEY)
     ranged.sortWithinPartitions(*MERGE_KEY).select(
-        "split", F.col("json").alias("value")
+        "split", canonical_json(F.col("json")).alias("value")
     ).write.mode("overwrite").partitionBy("split").text(path)
 
 
@@ -47,10 +64,14 @@ def write_merged_table(merged: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+def merged_table(spark: SparkSession, path: str) -> DataFrame:
+    """A merged table with its declared schema: a split named ``01`` stays ``01``."""
+    return spark.read.schema(MERGED).parquet(path)
+
+
 def read_merged_table(spark: SparkSession, path: str) -> DataFrame:
     """A merged table as lines: what the record readers take."""
-    stored = spark.read.parquet(path).withColumnRenamed("json", "line")
-    return stored.withColumn("split", F.col("split").cast("string"))
+    return merged_table(spark, path).withColumnRenamed("json", "line")
 
 
 def write_embeddings(df: DataFrame, path: str, by: str | None = None) -> None:

@@ -112,7 +112,8 @@ def test_repeated_keys_last_wins(spark):
 
 
 def test_lines_python_cannot_write_or_read(spark):
-    lines = ['{"a":"\\ud800é"}', '{"a":' + "9" * 5000 + "}", "[" * 200_000]
+    lines = ['{"a":"\\ud800é"}', '{"a":' + "9" * 5000 + "}", "[" * 200_000 + "]" * 200_000]
     df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
     got = df.select("i", J.canonical_json(F.col("line")).alias("c")).orderBy("i").collect()
-    assert [r.c for r in got] == ['{"a": "?é"}', None, None]
+    # Long numbers are numbers; what is nested too deep to write anew stays as it is.
+    assert [r.c for r in got] == ['{"a": "?é"}', '{"a": ' + "9" * 5000 + "}", lines[2]]

@@ -22,6 +22,9 @@ def root(tmp_path):
         "train/Novel_de.jsonl": '{"n": "not a known type"}\n',
         "test/Thesis_en.jsonl": '{"n": 1}\n',
         "train_all.jsonl": '{"n": "an old output"}\n',
+        # Not of the form split/type_lang.jsonl, although their names are.
+        "Book_en.jsonl": '{"n": "at the root"}\n',
+        "old/train/Book_de.jsonl": '{"n": "nested"}\n',
     }
     for name, text in files.items():
         path = tmp_path / "in" / name
@@ -47,7 +50,8 @@ def test_merge_order_and_counts(spark, root, tmp_path):
     assert counts == {"train": len(TRAIN), "test": 1}
     assert ordered_text(text, "train") == TRAIN
     stored = spark.read.parquet(out).where("split = 'train'").orderBy(*tables.MERGE_KEY)
-    assert [r.json for r in stored.collect()] == TRAIN
+    # The table keeps lines as they were written; text is re-serialised.
+    assert [json.dumps(json.loads(r.json), ensure_ascii=False) for r in stored.collect()] == TRAIN
     # A second run replaces the first.
     merge_collection(spark, root, out, splits=["test"], lines_out=text)
     assert not Path(text, "split=train").exists() and ordered_text(text, "test") == ['{"n": 1}']
@@ -106,6 +110,37 @@ def test_malformed_and_totals(spark, root):
     assert M.merge(lines).count() + bad.count() == lines.count() == len(TRAIN) + 3
 
 
+def test_long_numbers_and_deep_nesting(spark):
+    """Kept and skipped lines make up all lines; the readers agree with both."""
+    from shelfmark.operators.records import parse_papers
+
+    lines = [
+        '{"paper_id":"a","content":{"text":"t"},"n":%s}' % ("9" * 1500),
+        '{"paper_id":"b","content":{"text":"t"},"n":%s}' % ("9" * 5000),
+        '{"paper_id":"c","n":%s}' % ("[" * 1500 + "]" * 1500),
+        '{"paper_id":"d","n":%s}' % ("[" * 200_000 + "]" * 200_000),
+        '{"paper_id":"e"', "[1] 2",
+    ]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    kept = {r.i for r in M.merge(df).collect()}
+    skipped = {r.i: r.reason for r in M.malformed(df).collect()}
+    assert kept == {0, 1, 2} and skipped == {3: "too_deep", 4: "bad_json", 5: "bad_json"}
+    reasons = {r.i: r.reason for r in parse_papers(df).collect()}
+    assert reasons == {0: None, 1: None, 2: "too_deep", 3: "too_deep", 4: "bad_json", 5: "bad_json"}
+
+
+def test_splits_are_names_and_prune_the_listing(spark, tmp_path):
+    for split in ("01", "1", "2"):
+        path = tmp_path / "in" / split / "Book_de.jsonl"
+        path.parent.mkdir(parents=True)
+        path.write_text('{"n": "%s"}' % split)
+    some = jsonl.read_collection(spark, str(tmp_path / "in"), splits=["01", "3"])
+    assert [r.split for r in some.collect()] == ["01"] and len(some.inputFiles()) == 1
+    counts = merge_collection(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert {r.split: r.n_records for r in counts.collect()} == {"01": 1, "1": 1, "2": 1}
+    assert {r.split for r in tables.read_merged_table(spark, str(tmp_path / "out")).collect()} == {"01", "1", "2"}
+
+
 def test_missing_inputs(spark, root):
     missing = {tuple(r) for r in jsonl.missing_inputs(spark, root, ["train", "test"]).collect()}
     present = {("train", "Book", "en"), ("train", "Book", "de"), ("train", "Article", "en"),
