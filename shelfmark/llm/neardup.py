@@ -15,9 +15,11 @@ x and the centre do not share. Then 100 |x & y| >= T |x | y| is the same as
     w(x) + w(y) <= 2 (100 + T) |D(x) & D(y)|,  w(x) = (100 + T) |D(x)| - (100 - T) |x|
 
 so that x is linked to the member y of least w if the left side is not positive, and
-otherwise has to share rare elements of D with whomever it is linked to; such pairs are
-found by joining on those elements, and confirmed on full sets. Groups of near copies
-thus cost about as many comparisons as they have members.
+otherwise has to share elements of D with whomever it is linked to. Groups of near copies
+thus cost about as many comparisons of full sets as they have members. For the members
+that are still apart, the inequality is evaluated against the rest of the family in
+blocks: from weights and the elements of D that are not one's own alone, which is exact
+and needs no further sets. No task makes pairs that are not links.
 """
 
 from __future__ import annotations
@@ -37,7 +39,10 @@ LONGS = SKETCH_BITS // 64
 #: Estimates below these are taken as surely below the threshold: for families, and for
 #: pairs. They lie eight and four standard errors under 0.8.
 FAMILY, PAIR = 0.2, 0.11
-BLOCK = 1024
+#: Rows of a block, and columns of the matrices that compare two blocks.
+BLOCK, COLUMNS = 1024, 4096
+#: Leaders of buckets are drawn anew for each of so many groups of bands.
+DRAWS = 4
 
 _words = Rolling(11)
 _steps = random_words(12, 64)
@@ -188,60 +193,122 @@ def components(edges: DataFrame, store: Store) -> DataFrame:
     return out
 
 
+def _blocked(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows dealt out so that every row with ``minor`` set meets all rows of its ``key``.
+
+    Both are cut into blocks (i, j) of about BLOCK rows; ``asks`` marks the rows that are
+    there as minor ones. Returned in the order of the blocks within each partition.
+    """
+    blocks = rows.groupBy(key).agg(
+        F.ceil(F.count_if("minor") / BLOCK).cast("int").alias("minors"), F.ceil(F.count("*") / BLOCK).cast("int").alias("alls")
+    )
+    placed = rows.join(blocks, key).withColumn("spot", F.xxhash64("node"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    met = placed.where("minors > 0").withColumn("i", every("minors")).withColumn("j", F.pmod("spot", "alls").cast("int"))
+    asks = placed.where("minor").withColumn("i", F.pmod("spot", "minors").cast("int")).withColumn("j", every("alls"))
+    order = [key, "i", "j"]
+    both = met.select(*order, *columns, F.lit(False).alias("asks")).unionByName(asks.select(*order, *columns, F.lit(True).alias("asks")))
+    return both.repartition(*order).sortWithinPartitions(*order)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, str, str]) -> Iterator[pa.RecordBatch]:
+    """Sorted batches as one batch per group; a group is a block and so of bounded size."""
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(c).to_numpy() for c in keys])
+        edges = np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1
+        starts = np.append(0, edges)
+        for x, y in zip(starts, edges, strict=False):
+            yield batch.slice(x, y - x)
+        held = batch.slice(starts[-1])  # the last one may go on in the next batch
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _sides(group: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    asks = group.column("asks").to_numpy(zero_copy_only=False)
+    return np.flatnonzero(asks), np.flatnonzero(~asks)
+
+
+PAIRS = "a long, b long"
+
+
+def _pair_batch(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def _across(rows: DataFrame, most: int) -> DataFrame:
     """Pairs (a, b) of different families of a bucket whose sketches are close.
 
-    ``rows``: h, node, label, sketch, minor, first and second number of block. The minor
-    families of a bucket are compared with all of it, block by block.
+    ``rows``: h, node, label, sketch and minor. The minor families of a bucket are
+    compared with all of it, block by block.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-
-        def judge(batch):
-            key = np.stack([batch.column(c).to_numpy() for c in ("h", "i", "j")])
-            edges = np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1
-            node, label = batch.column("node").to_numpy(), batch.column("label").to_numpy()
-            minor = batch.column("minor").to_numpy(zero_copy_only=False)
-            sketch = batch.column("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, LONGS)
+        for group in _groups(batches, ("h", "i", "j")):
+            node, label = group.column("node").to_numpy(), group.column("label").to_numpy()
+            sketch = group.column("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, LONGS)
+            asks, rest = _sides(group)
             a, b = [], []
-            for x, y in zip(np.append(0, edges), np.append(edges, batch.num_rows), strict=True):
-                all_ = x + np.flatnonzero(~minor[x:y])
-                for s in x + np.flatnonzero(minor[x:y]):
-                    other = all_[label[all_] != label[s]]
-                    close = other[np.bitwise_count(sketch[other] ^ sketch[s]).sum(axis=1) <= most]
-                    a += [node[s]] * len(close)
-                    b += node[close].tolist()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-        for batch in batches:
-            if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            if not batch.num_rows:
-                continue
-            # The last group may go on in the next batch.
-            last = [batch.column(c)[-1].as_py() for c in ("h", "i", "j")]
-            same = np.ones(batch.num_rows, bool)
-            for c, v in zip(("h", "i", "j"), last, strict=True):
-                same &= batch.column(c).to_numpy() == v
-            cut = batch.num_rows - int(same.sum())
-            if cut:
-                yield judge(batch.slice(0, cut))
-            held = batch.slice(cut)
-        if held is not None and held.num_rows:
-            yield judge(held)
-
-    order = ["h", "i", "j"]
-    return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
+            for s in asks:
+                other = rest[label[rest] != label[s]]
+                close = other[np.bitwise_count(sketch[other] ^ sketch[s]).sum(axis=1) <= most]
+                a += [node[s]] * len(close)
+                b += node[close].tolist()
+            yield _pair_batch(a, b)
+
+    pairs = _blocked(rows, "h", ["node", "label", "sketch"]).mapInArrow(run, PAIRS)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _rest(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that are left, from weights and common elements of D alone.
+
+    ``rows``: family, node, label, w, d and minor. For each minor row and block one link
+    to each other label is enough. Elements that no minor row of a block has cannot be
+    shared with one, so a block's matrices have a column for each that one has.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ("family", "i", "j")):
+            node, label, w = (group.column(c).to_numpy() for c in ("node", "label", "w"))
+            lists = group.column("d")
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            element = lists.flatten().to_numpy()
+            asks, rest = _sides(group)
+            known = np.unique(element[np.isin(owner, asks)])
+            at = np.searchsorted(known, element)
+            held = np.zeros(len(element), bool)
+            held[at < len(known)] = known[at[at < len(known)]] == element[at < len(known)]
+            common = np.zeros((len(asks), len(rest)), np.float32)
+            for start in range(0, len(known), COLUMNS):
+                now = held & (at >= start) & (at < start + COLUMNS)
+                matrix = np.zeros((len(lists), min(COLUMNS, len(known) - start)), np.float32)
+                matrix[owner[now], at[now] - start] = 1
+                common += matrix[asks] @ matrix[rest].T
+            a, b = [], []
+            for k, s in enumerate(asks):
+                fits = rest[(w[s] + w[rest] <= 2 * (100 + percent) * common[k]) & (label[rest] != label[s])]
+                _, first = np.unique(label[fits], return_index=True)
+                a += [node[s]] * len(first)
+                b += node[fits[first]].tolist()
+            yield _pair_batch(a, b)
+
+    return _blocked(rows, "family", ["node", "label", "w", "d"]).mapInArrow(run, PAIRS)
 
 
 def _families(nodes: DataFrame, store: Store, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs, and label of the family of each node that has any."""
     wide, narrow = most_apart(similarity - FAMILY), most_apart(similarity - PAIR)
-    bands = nodes.select("node", F.explode("bands").alias("h"))
-    buckets = bands.groupBy("h").agg(F.count("*").alias("size"), F.min_by("node", F.xxhash64("h", "node")).alias("leader")).where("size > 1")
+    bands = nodes.select("node", F.posexplode("bands").alias("band", "h"))
+    # Few draws, so that a group of near copies has few leaders and few pairs with them.
+    drawn = F.min_by("node", F.xxhash64(F.col("band") % DRAWS, "node"))
+    buckets = bands.groupBy("h").agg(F.count("*").alias("size"), drawn.alias("leader")).where("size > 1")
+    bands = bands.drop("band")
     members = store.put(bands.join(buckets, "h"), "members")
     pairs = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     sketches = nodes.select("node", "sketch")
@@ -258,19 +325,7 @@ def _families(nodes: DataFrame, store: Store, similarity: float) -> tuple[DataFr
     major = of.groupBy("h").agg(F.max_by("label", "members").alias("major"), F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = of.join(major.where("low <> high").select("h", "major"), "h").withColumn("minor", F.col("label") != F.col("major"))
     mixed = store.put(mixed.select("h", "node", "label", "minor"), "mixed")
-    blocks = mixed.groupBy("h").agg(
-        F.ceil(F.count_if("minor") / BLOCK).cast("int").alias("minors"), F.ceil(F.count("*") / BLOCK).cast("int").alias("alls")
-    )
-    placed = mixed.join(blocks, "h").join(sketches, "node").withColumn("spot", F.xxhash64("node"))
-    as_all = placed.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("minors") - 1))).withColumn("j", F.pmod("spot", "alls").cast("int"))
-    as_minor = placed.where("minor").withColumn("i", F.pmod("spot", "minors").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("alls") - 1)))
-    columns = ["h", "i", "j", "node", "label", "sketch"]
-    across = store.put(
-        _across(
-            as_all.select(*columns, F.lit(False).alias("minor")).unionByName(as_minor.select(*columns, F.lit(True).alias("minor"))), narrow
-        ),
-        "across",
-    )
+    across = store.put(_across(mixed.join(sketches, "node"), narrow), "across")
     store.drop(members, of, mixed)
     if across.head(1):
         family = components(near.select("a", "b").unionByName(across), store)
@@ -299,7 +354,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _links(pairs: DataFrame, family: DataFrame, sets: DataFrame, sketches: DataFrame, store: Store, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, family: DataFrame, sets: DataFrame, store: Store, percent: int) -> DataFrame:
     """Links (a, b) that join all nodes that links connect, within families."""
     first = family.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
     asked = pairs.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).unionByName(first).distinct()
@@ -345,33 +400,17 @@ def _links(pairs: DataFrame, family: DataFrame, sets: DataFrame, sketches: DataF
     own = left.join(centre, "family").where("node <> centre").join(side("node"), "node").join(side("centre"), "centre")
     own = own.withColumn("d", F.concat(F.array_except("set_node", "set_centre"), F.array_except("set_centre", "set_node")))
     elements = store.put(own.select("family", "node", "label", F.explode("d").alias("element")), "elements")
-    common = elements.groupBy("family", "element").agg(F.count("*").alias("owners"), F.min("label").alias("low"), F.max("label").alias("high"))
-    common = store.put(common, "common")
-    needed = F.ceil((F.col("w") + F.col("least")) / (2 * (100 + percent)))
-    ranked = (
-        elements.join(main, "family")
-        .where("label <> main")
-        .join(common, ["family", "element"])
-        .groupBy("family", "node", "label")
-        .agg(F.sort_array(F.collect_list(F.struct("owners", "element"))).alias("ranked"))
-        .join(placed.select(F.col("a").alias("node"), "w", "least"), "node")
-        .select("family", "node", "label", F.explode(F.slice("ranked", F.lit(1), F.greatest(F.size("ranked") - needed + 1, F.lit(0)).cast("int"))).alias("r"))
-        .select("family", "node", "label", F.col("r.element").alias("element"))
-    )
-    shared = common.where("low <> high").select("family", "element")
-    found = (
-        ranked.join(shared, ["family", "element"])
-        .withColumnRenamed("node", "a")
-        .withColumnRenamed("label", "label_a")
-        .join(elements.withColumnRenamed("node", "b"), ["family", "element"])
-        .where("label_a <> label")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    sketch = lambda s: sketches.select(F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"))
-    close = found.join(sketch("a"), "a").join(sketch("b"), "b").where(apart(F.col("sketch_a"), F.col("sketch_b")) <= most_apart(percent / 100 - PAIR))
-    more = _confirmed(close.select("a", "b"), sets).where(_linked(percent)).select("a", "b")
-    return store.put(links.unionByName(more), "links")
+    # Only elements of nodes of different labels can make a link.
+    common = elements.groupBy("family", "element").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    shared = elements.join(common.select("family", "element"), ["family", "element"])
+    shared = shared.groupBy("family", "node", "label").agg(F.collect_list("element").alias("d"))
+    weights = placed.select(F.col("a").alias("node"), "w", "least")
+    # With all of them shared, and the least weight of its family, a node must still reach
+    # the threshold.
+    able = shared.join(weights, "node").where(F.col("w") + F.col("least") <= 2 * (100 + percent) * F.size("d"))
+    able = able.join(main, "family").withColumn("minor", F.col("label") != F.col("main"))
+    able = store.put(able.select("family", "node", "label", "w", "d", "minor"), "able")
+    return store.put(links.unionByName(_rest(able, percent)), "links")
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -411,7 +450,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     asked = named.join(sendable(places), ["doc", "mark"])
     sets = map_texts(asked, lambda: hashes, [("hashes", "array<bigint>", pa.list_(pa.int64()))], keep=["node"])
     sets = store.put(sets.dropDuplicates(["node"]), "sets")
-    links = _links(pairs, family, sets, nodes.select("node", "sketch"), store, percent)
+    links = _links(pairs, family, sets, store, percent)
     label = components(links, store)
     store.drop(sets, nodes)
     grouped = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node", -1 - F.col("row")))
