@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import input_bytes, materialize
 
-# Bytes of text that NumPy code handles at once. A longer text is a batch alone.
-BATCH_BYTES = 4 << 20
+# Bytes of text that NumPy code handles at once; a byte may take a hundred bytes of arrays.
+# A longer text is a batch alone.
+BATCH_BYTES = 1 << 20
 
 #: A-Z to a-z, all other bytes as they are.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
