@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -22,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import map_texts
+from shelfmark.operators.once import once_per_worker
 
 #: Letters a-z after lower-casing, digits, and every byte beyond ASCII make words.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -56,31 +56,14 @@ def blocks(items, size: int, block_bytes: int) -> list[list[tuple[bytes, int, li
     return out
 
 
-@lru_cache(maxsize=1)
-def _automaton(key: tuple, load) -> ahocorasick.Automaton:
+def _automaton(windows: list[tuple[bytes, int, list[str]]]) -> ahocorasick.Automaton:
     machine = ahocorasick.Automaton()
-    for window, n, ids in load():
+    for window, n, ids in windows:
         machine.add_word(f" {window.decode('latin-1')} ", (n, ids))
     machine.make_automaton()
     return machine
 
 
-class _Block:
-    """Loads one block of a broadcast; all equal, so that the cache goes by its key."""
-
-    def __init__(self, shared, i: int):
-        self.shared, self.i = shared, i
-
-    def __call__(self):
-        return self.shared.value[self.i]
-
-    def __hash__(self):
-        return 0
-
-    def __eq__(self, other):
-        return isinstance(other, _Block)
-
-
 def haystack(text: bytes) -> str:
     return f" {b' '.join(words(text)).decode('latin-1')} "
 
@@ -147,7 +130,7 @@ def find_overlaps(
             values = [t.as_py() for t in texts]
             hits: list[list] = [[] for _ in values]
             for i in range(count):
-                machine = _automaton((name, i), _Block(shared, i))
+                machine = once_per_worker("automaton", (name, i), lambda i=i: _automaton(shared.value[i]), most=1)
                 for found, value in zip(hits, values, strict=True):
                     found += machine.iter(haystack(value))
             rows = [placed(v, found) for v, found in zip(values, hits, strict=True)]

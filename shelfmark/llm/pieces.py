@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import map_texts
+from shelfmark.operators.once import once_per_worker
 
 SPACE = "▁"
 NOTHING: dict = {}
@@ -257,10 +257,9 @@ class Vocabulary:
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.S)
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str, kind: str) -> Vocabulary:
     """One per Python worker, which Spark uses for many tasks."""
-    return Vocabulary(path, kind)
+    return once_per_worker("pieces", (path, kind), lambda: Vocabulary(path, kind))
 
 
 def default_model() -> str:

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import map_texts
+from shelfmark.operators.once import once_per_worker
 
 #: Unicode's white space.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -62,7 +62,6 @@ def _boundary_table() -> tuple[np.ndarray, np.ndarray]:
 NEXT, BEGINS = _boundary_table()
 
 
-@lru_cache(maxsize=1)
 def kinds() -> np.ndarray:
     """LETTER, NUMBER, OTHER or RUN (for any white space) of each code point."""
     first = np.array([ord(unicodedata.category(chr(i))[0]) for i in range(0x110000)], np.uint8)
@@ -75,7 +74,7 @@ def kinds() -> np.ndarray:
 
 def classes(code: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Classes of code points; ``ends`` are the places of the marks between texts."""
-    out = kinds()[code]
+    out = once_per_worker("kinds", "", kinds)[code]
     out[ends] = END
     after = np.append(out[1:], END)
     white = out == RUN
@@ -96,7 +95,6 @@ def classes(code: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-@lru_cache(maxsize=1)
 def monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All maps of states to states that some string of classes gives.
 
@@ -120,7 +118,7 @@ def monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 def boundaries(symbols: np.ndarray, width: int = 256) -> np.ndarray:
     """Where pre-tokens begin, by composing the state maps of chunks."""
-    maps, grown, composed, same = monoid()
+    maps, grown, composed, same = once_per_worker("monoid", "", monoid)
     n = len(symbols)
     chunks = max(1, -(-n // width))
     grid = np.full(chunks * width, END, np.uint8)
@@ -289,10 +287,9 @@ class Counter:
         return extra + np.bincount(np.asarray(owner)[of], np.array(found, np.int64), len(texts)).astype(np.int64)
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> Counter:
     """One per Python worker, which Spark uses for many tasks."""
-    return Counter(path)
+    return once_per_worker("counter", path, lambda: Counter(path))
 
 
 def default_tokenizer() -> str:
