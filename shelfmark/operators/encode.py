@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -14,9 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import to_lists, unit_rows
-from shelfmark.operators.once import evaluate_once
+from shelfmark.operators.once import evaluate_once, once_per_worker
 
-# Fixed value: texts given to the encoder at a time.
+# Fixed value: texts a neural model takes at a time.
 BATCH_SIZE = 64
 
 Encoder = Callable[[list[str]], np.ndarray]
@@ -27,23 +28,20 @@ def encode(
     make_encoder: Callable[[], Encoder],
     text: str = "text",
     vector: str = "embedding",
-    batch_size: int = BATCH_SIZE,
     normalize: bool = True,
 ) -> DataFrame:
-    """Add a vector column. ``make_encoder`` runs once per task, so a model is
-    loaded once however many batches the task gets. Only the text column is sent
-    to Python; filter before encoding, nothing is pushed below this stage."""
+    """Add a vector column. ``make_encoder`` runs once per Python worker and call of this
+    function, so a model is loaded once for all tasks of a worker. The encoder is given
+    whole Arrow batches and cuts them as it likes. Only the text column is sent to
+    Python; filter before encoding, nothing is pushed below this stage."""
+    key = uuid.uuid4().hex
 
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = make_encoder()
+        encoder = once_per_worker("encoder", key, make_encoder)
         for batch in batches:
             texts = [t or "" for t in batch.to_pylist()]
-            chunks = [
-                np.asarray(encoder(texts[i : i + batch_size]), dtype=np.float64)
-                for i in range(0, len(texts), batch_size)
-            ]
-            matrix = np.vstack(chunks) if chunks else np.zeros((0, 0))
+            matrix = np.asarray(encoder(texts), dtype=np.float64) if texts else np.zeros((0, 0))
             yield to_lists(unit_rows(matrix) if normalize else matrix)
 
     return evaluate_once(df, **{vector: embed(F.col(text))})
@@ -78,13 +76,14 @@ def hashed_words(dim: int = 64, cache_size: int = 200_000) -> Callable[[], Encod
     return make
 
 
-def sentence_transformer(model: str, **options) -> Callable[[], Encoder]:
-    """An encoder backed by the ``sentence_transformers`` package, if installed."""
+def sentence_transformer(model: str, batch_size: int = BATCH_SIZE, **options) -> Callable[[], Encoder]:
+    """An encoder backed by the ``sentence_transformers`` package, if installed. It is
+    given many texts, sorts them by length and runs ``batch_size`` at a time."""
 
     def make() -> Encoder:
         from sentence_transformers import SentenceTransformer
 
         loaded = SentenceTransformer(model, **options)
-        return lambda texts: loaded.encode(texts, convert_to_numpy=True)
+        return lambda texts: loaded.encode(texts, batch_size=batch_size, convert_to_numpy=True)
 
     return make
