@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import importlib
 
+from pyspark.sql import functions as F
+
 from shelfmark.operators.encode import hashed_words, sentence_transformer
 from shelfmark.operators.similarity import TOP_K
 from shelfmark.plans import jobs
@@ -45,6 +47,7 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("similar", help="rows most similar to one row of an embedding table")
     p.add_argument("table")
     p.add_argument("--row", type=int, default=0)
+    p.add_argument("--split", help="the split that the row is of, for a table of papers")
     p.add_argument("-k", type=int, default=TOP_K)
 
     p = sub.add_parser("flatten", help="turn a JSON-LD tree into tables")
@@ -61,7 +64,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "flatten":
         jobs.flatten_documents(spark, args.root, args.out)
     elif args.job == "similar":
-        jobs.similar_to(read_embeddings(spark, args.table), args.row, args.k).show(args.k, truncate=False)
+        table = read_embeddings(spark, args.table, by="split" if args.split else None)
+        if args.split:
+            table = table.where(F.col("split") == args.split)
+        jobs.similar_to(table, args.row, args.k).show(args.k, truncate=False)
     else:
         embed = jobs.embed_papers if args.job == "embed-papers" else jobs.embed_subjects
         mode = {"mode": args.mode} if args.mode else {}

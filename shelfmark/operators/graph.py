@@ -62,7 +62,12 @@ def items_at(node: Column, term: str) -> Column:
 
 
 def parse_documents(docs: DataFrame) -> DataFrame:
-    """Replace the ``value`` text by ``doc``, a VARIANT; null when it cannot be read."""
+    """Replace the ``value`` text by ``doc``, a VARIANT; null when it cannot be read.
+
+    Of a repeated key the last value counts. Spark takes such a document for malformed
+    unless the session says otherwise, so the session is told here.
+    """
+    docs.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     parsed = evaluate_once(docs, doc=F.try_parse_json(F.col("value")))
     return parsed.drop("value")
 
@@ -144,7 +149,9 @@ def with_labels(links: DataFrame, labels: DataFrame, how: str = "left") -> DataF
     """Links with the label of their subject.
 
     ``labels`` grows with the data, so the join strategy is left to Spark: it
-    broadcasts a small table, and splits a hot subject's partition otherwise.
+    broadcasts a small table, and otherwise splits a hot subject's partition. It can
+    split one only if both sides come straight from a shuffle: give it a stored table,
+    not an aggregate.
     """
     named = labels.select(F.col("entity_id").alias("subject_id"), F.col("label").alias("subject_label"))
     return links.join(named, "subject_id", how)

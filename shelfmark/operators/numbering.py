@@ -1,8 +1,8 @@
 """Dense row positions without a single-task window.
 
 Both functions write the rows once, each with the run it belongs to and its
-place there, then add up the run lengths and join the sums back. Only the runs,
-which are few, pass through a window.
+place there, then add up the run lengths and join the sums back. Only the runs pass
+through a window, and that by ranges of them.
 """
 
 from __future__ import annotations
@@ -78,25 +78,38 @@ def _numbered(
         F.min_by(line, "__place").alias("__low_placed"),
         F.max_by(line, "__place").alias("__high_placed"),
     )
-    in_order = Window.partitionBy(*by).orderBy(*order, "__low")
+    # Runs are stored in ranges of their order: sums within a range, then over the ranges.
+    runs = materialize(
+        runs.repartitionByRange(*by, *order, "__low").withColumn("__range", F.spark_partition_id()), "runs"
+    )
+    in_range = Window.partitionBy(*by, "__range").orderBy(*order, "__low")
     in_block = Window.partitionBy(*by, *order).orderBy("__low")
+    over_ranges = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before_range = F.coalesce(F.sum("__total").over(over_ranges), F.lit(0))
+    ranges = runs.groupBy(*by, "__range").agg(F.sum("__n").alias("__total")).select(
+        *[F.col(k).alias(f"__of_{k}") for k in by], F.col("__range").alias("__of_range"), before_range.alias("__before")
+    )
     sound = (
         (F.col("__last") - F.col("__first") + 1 == F.col("__n"))
         & (F.col("__low") == F.col("__low_placed"))
         & (F.col("__high") == F.col("__high_placed"))
         & (F.col("__low") > F.coalesce(F.lag("__high").over(in_block), F.col("__low") - 1))
     )
-    before = F.sum("__n").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    starts = runs.select(
+    within = F.coalesce(F.sum("__n").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed_runs = runs.select("*", sound.alias("__sound"), within.alias("__within"))
+    of_range = F.col("__range") == F.col("__of_range")
+    for k in by:
+        of_range = of_range & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+    starts = placed_runs.join(ranges, of_range).select(
         *[F.col(k).alias(f"__run_{k}") for k in keys],
         "__first",
-        F.when(sound, F.coalesce(before, F.lit(0)))
+        F.when(F.col("__sound"), F.col("__before") + F.col("__within"))
         .otherwise(F.raise_error(F.lit("rows of one block are not contiguous")).cast("long"))
         .alias("__start"),
     )
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__run_{k}"))
-    return placed.join(broadcast_if_small(starts), same).withColumn(
+    return placed.join(broadcast_if_small(starts, of=runs), same).withColumn(
         name, F.col("__start") + F.col("__place") - F.col("__first")
     )

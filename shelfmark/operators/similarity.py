@@ -1,7 +1,8 @@
 """Cosine similarity and exact or approximate top-k over embedding tables.
 
-Frames hold ``(row_id, embedding)``; ``row_id`` is unique. Results order by
-similarity, NaN last, then by ``row_id``. Similarities are rounded to
+Frames hold ``(row_id, embedding)``; ``row_id`` is unique, for queries within the
+values of an optional column ``by`` (positions restart per split). A corpus in which
+positions repeat is refused. Results order by similarity, NaN last, then by ``row_id``. Similarities are rounded to
 ``TIE_DECIMALS`` so that copies of a vector tie instead of being told apart by
 the last bits of a sum.
 """
@@ -68,12 +69,13 @@ def top_k(table: DataFrame, query_row: int = 0, k: int = TOP_K) -> DataFrame:
     return _ranked_hits(best, k)
 
 
-def _ranked_hits(hits: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(*best_first())
+def _ranked_hits(hits: DataFrame, k: int, by: str | None = None) -> DataFrame:
+    keys = [by] if by else []
+    order = Window.partitionBy(*keys, "query_id").orderBy(*best_first())
     return (
         hits.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "row_id", "sim", "rank")
+        .select(*keys, "query_id", "row_id", "sim", "rank")
     )
 
 
@@ -85,11 +87,15 @@ def with_records(hits: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
 
 # --- many queries -----------------------------------------------------------
 
+# Positions, or structs of a ``by`` value and a position.
+Ids = np.ndarray | pa.StructArray
+BY = "__by"
+
 
 class _Best:
     """The best ``k`` rows of every query among the blocks seen so far."""
 
-    def __init__(self, query_ids: np.ndarray, units: np.ndarray, k: int, chunk: int = 128):
+    def __init__(self, query_ids: Ids, units: np.ndarray, k: int, chunk: int = 128):
         self.query_ids, self.units, self.k, self.chunk = query_ids, units, k, chunk
         self.query = np.zeros(0, np.int64)
         self.row = np.zeros(0, np.int64)
@@ -138,9 +144,11 @@ class _Best:
         self.floor[self.query[last]] = self.key[last]
 
     def batches(self) -> Iterator[pa.RecordBatch]:
+        taken = self.query_ids[self.query] if isinstance(self.query_ids, np.ndarray) else self.query_ids.take(pa.array(self.query))
+        named = {"query_id": taken} if isinstance(taken, np.ndarray) else dict(zip((BY, "query_id"), taken.flatten(), strict=True))
         table = pa.table(
             {
-                "query_id": self.query_ids[self.query],
+                **named,
                 "row_id": self.row,
                 "sim": np.where(np.isneginf(self.key), np.nan, self.key),
                 "rank": (_place_in_run(self.query) + 1).astype(np.int32),
@@ -160,7 +168,7 @@ def _place_in_run(sorted_values: np.ndarray) -> np.ndarray:
     return np.arange(len(sorted_values)) - np.searchsorted(sorted_values, sorted_values, side="left")
 
 
-Block = tuple[np.ndarray, np.ndarray]  # ids, unit vectors
+Block = tuple[Ids, np.ndarray]  # ids, unit vectors
 
 
 def _search(queries: Block, corpus: Iterator[Block], k: int) -> Iterator[pa.RecordBatch]:
@@ -175,10 +183,23 @@ def _search(queries: Block, corpus: Iterator[Block], k: int) -> Iterator[pa.Reco
     yield from best.batches()
 
 
-def _block(ids: pa.Array, vectors: pa.Array) -> Block:
+def _block(ids: pa.Array, vectors: pa.Array, by: pa.Array | None = None) -> Block:
+    if by is not None:
+        return pa.StructArray.from_arrays([by, ids], ["by", "row_id"]), unit_rows(as_matrix(vectors))
     return np.asarray(ids.to_numpy(zero_copy_only=False), np.int64), unit_rows(as_matrix(vectors))
 
 
+def _hits_schema(queries: DataFrame, by: str | None = None) -> str:
+    return (f"{BY} {queries.schema[by].dataType.simpleString()}, " if by else "") + _HITS
+
+
+def _check_positions(corpus: DataFrame) -> None:
+    """Fail on a position that stands twice; only positions are shuffled."""
+    twice = corpus.groupBy("row_id").count().where("count > 1").head(1)
+    if twice:
+        raise ValueError(f"row_id {twice[0][0]} stands for several rows of the corpus: search one split at a time")
+
+
 def _size_of(table: DataFrame) -> tuple[int, int]:
     """Row count and vector length; on a stored table the count reads footers only."""
     first = table.where(F.col("embedding").isNotNull()).select(F.size("embedding")).first()
@@ -189,63 +210,77 @@ def knn(
     queries: DataFrame,
     corpus: DataFrame,
     k: int = TOP_K,
+    by: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The exact ``k`` nearest corpus rows of every query:
-    ``(query_id, row_id, sim, rank)``.
+    ``(query_id, row_id, sim, rank)``, with ``by`` in front where queries have it.
 
     Both sides are counted first. A small corpus is broadcast, and every query is
     answered where it lies, with no shuffle. Few queries are broadcast, and each
-    task of the corpus hands on its best ``k`` for Spark to rank. Where neither
-    fits, both are cut into blocks by a hash of ``row_id`` and every pair of
-    blocks meets in one task, which again hands on ``k`` rows per query. Both
+    task of the corpus hands on its best ``k`` for Spark to rank; the corpus is read
+    by a task per core, so that what is handed on does not grow with its files.
+    Where neither fits, both are cut into blocks by a hash of ``row_id`` and every
+    pair of blocks meets in one task, which again hands on ``k`` rows per query. Both
     sides are read more than once: store what an encoder made before searching it.
     """
     n_queries, dim = _size_of(queries)
     n_corpus = corpus.count()
+    _check_positions(corpus)
+    if by:
+        queries = queries.withColumn(BY, F.col(by))
+    keys = [BY] if by else []
+
+    def named(hits: DataFrame) -> DataFrame:
+        return hits.withColumnRenamed(BY, by) if by else hits
+
     if n_corpus * dim * 8 <= broadcast_bytes:
-        return _knn_broadcast_corpus(queries, corpus, k)
+        return named(_knn_broadcast_corpus(queries, corpus, k, keys))
     if n_queries * dim * 8 <= broadcast_bytes:
-        return _ranked_hits(_knn_broadcast_queries(queries, corpus, k), k)
+        return named(_ranked_hits(_knn_broadcast_queries(queries, corpus, k, keys), k, *keys))
     # Blocks of equal size, small enough for memory and enough of them for all cores.
     cores = queries.sparkSession.sparkContext.defaultParallelism
     per_block = max(min(block_bytes // (dim * 8), math.ceil(math.sqrt(n_queries * n_corpus / cores))), 1)
     n_q, n_c = math.ceil(n_queries / per_block), math.ceil(n_corpus / per_block)
     # A partition per pair of blocks, which is the unit of work.
     counts = {"n_q": F.lit(n_q), "n_c": F.lit(n_c)}
-    hits = _knn_cells(queries.withColumns(counts), corpus.withColumns(counts), [], k, n_q * n_c)
-    return _ranked_hits(hits, k)
+    hits = _knn_cells(queries.withColumns(counts), corpus.withColumns(counts), [], k, n_q * n_c, keys)
+    return named(_ranked_hits(hits, k, *keys))
 
 
-def _shared(table: DataFrame):
+def _shared(table: DataFrame, keys: list[str] = ()):
     """A counted, small table as a broadcast block."""
-    held = table.select("row_id", "embedding").toArrow().combine_chunks()
-    return table.sparkSession.sparkContext.broadcast(_block(held["row_id"], held["embedding"]))
+    held = table.select("row_id", "embedding", *keys).toArrow().combine_chunks()
+    parts = [held[c].combine_chunks() for c in ("row_id", "embedding", *keys)]
+    return table.sparkSession.sparkContext.broadcast(_block(*parts))
 
 
-def _knn_broadcast_corpus(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+def _knn_broadcast_corpus(queries: DataFrame, corpus: DataFrame, k: int, keys: list[str]) -> DataFrame:
     shared = _shared(corpus)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _search(_block(batch.column(0), batch.column(1)), iter([shared.value]), k)
+            yield from _search(_block(*batch.columns), iter([shared.value]), k)
 
-    return spread(queries.select("row_id", "embedding")).mapInArrow(search, _HITS)
+    schema = _hits_schema(queries, BY if keys else None)
+    return spread(queries.select("row_id", "embedding", *keys)).mapInArrow(search, schema)
 
 
-def _knn_broadcast_queries(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    shared = _shared(queries)
+def _knn_broadcast_queries(queries: DataFrame, corpus: DataFrame, k: int, keys: list[str]) -> DataFrame:
+    shared = _shared(queries, keys)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = (_block(b.column(0), b.column(1)) for b in batches if b.num_rows)
         yield from _search(shared.value, blocks, k)
 
-    return corpus.select("row_id", "embedding").mapInArrow(search, _HITS)
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    schema = _hits_schema(queries, BY if keys else None)
+    return corpus.select("row_id", "embedding").coalesce(cores).mapInArrow(search, schema)
 
 
 def _knn_cells(
-    queries: DataFrame, corpus: DataFrame, keys: list[str], k: int, partitions: int
+    queries: DataFrame, corpus: DataFrame, keys: list[str], k: int, partitions: int, by: list[str] = ()
 ) -> DataFrame:
     """Search block against block. Rows carry ``n_q`` and ``n_c``, the number of
     blocks each side of their group is cut into; a query goes to every corpus
@@ -260,26 +295,28 @@ def _knn_cells(
     cell = [*keys, "q_block", "c_block"]
     rows = queries.select(
         *keys, block("n_q").alias("q_block"), every("n_c").alias("c_block"),
-        "row_id", "embedding", F.lit(True).alias("asks"),
+        "row_id", "embedding", F.lit(True).alias("asks"), *by,
     ).unionByName(
         corpus.select(
             *keys, every("n_q").alias("q_block"), block("n_c").alias("c_block"),
             "row_id", "embedding", F.lit(False).alias("asks"),
+            *[F.lit(None).cast(queries.schema[c].dataType).alias(c) for c in by],
         )
     )
 
     def search(table: pa.Table) -> pa.Table:
         left, right = table.filter(table["asks"]), table.filter(pc.invert(table["asks"]))
         asked, held = (
-            _block(side["row_id"].combine_chunks(), side["embedding"].combine_chunks())
-            for side in (left, right)
+            _block(*[side[c].combine_chunks() for c in ("row_id", "embedding", *more)])
+            for side, more in ((left, by), (right, ()))
+        )
+        schema = pa.schema(
+            [*[(c, table.schema.field(c).type) for c in by],
+             ("query_id", pa.int64()), ("row_id", pa.int64()), ("sim", pa.float64()), ("rank", pa.int32())]
         )
         return pa.Table.from_batches(_search(asked, iter([held]), k), schema)
 
-    schema = pa.schema(
-        {"query_id": pa.int64(), "row_id": pa.int64(), "sim": pa.float64(), "rank": pa.int32()}
-    )
-    return rows.repartition(min(partitions, 10_000), *cell).groupBy(*cell).applyInArrow(search, _HITS)
+    return rows.repartition(partitions, *cell).groupBy(*cell).applyInArrow(search, _hits_schema(queries, *by))
 
 
 # --- approximate ------------------------------------------------------------
@@ -290,34 +327,31 @@ def approximate_knn(
     corpus: DataFrame,
     k: int = TOP_K,
     tables: int = 8,
-    bits: int = 4,
+    bits: int | None = None,
     seed: int = 0,
     block_bytes: int = BLOCK_BYTES,
+    bucket_rows: int = 4,
+    probes: int = 4,
 ) -> DataFrame:
     """Nearest rows among those sharing a random-hyperplane bucket with the query.
 
+    The number of hyperplanes grows with the corpus, so that a bucket holds about
+    ``bucket_rows`` of its rows whatever its size and the share of pairs that are
+    scored falls (see :func:`scored_share`); ``bits`` fixes it instead. A query also
+    looks into ``probes`` neighbouring buckets of each table, across the hyperplanes
+    that it lies closest to.
+
     Opt-in: may miss neighbours, and finds fewer than ``k`` where buckets are
     sparse; measure with :func:`recall`. Similarities of what is found are
     exact. A bucket that holds much of the corpus is cut into blocks like an
     exact search, so no task gets a whole one and none is dropped.
     """
     n_corpus, dim = _size_of(corpus)
-    planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
+    if bits is None:
+        bits = bits_for(n_corpus, bucket_rows)
     per_block = max(block_bytes // (dim * 8), 1)
-
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def signature(vectors: pa.Array) -> pa.Array:
-        side = (as_matrix(vectors) @ planes > 0).reshape(len(vectors), tables, bits)
-        codes = (side * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
-        offsets = pa.array(np.arange(len(vectors) + 1, dtype=np.int32) * tables)
-        return pa.ListArray.from_arrays(offsets, pa.array(codes.ravel()))
-
-    def bucketed(table: DataFrame) -> DataFrame:
-        signed = evaluate_once(table.select("row_id", "embedding"), codes=signature("embedding"))
-        return signed.select("row_id", "embedding", F.posexplode("codes").alias("table_no", "bucket"))
-
     keys = ["table_no", "bucket"]
-    q, c = bucketed(queries), bucketed(corpus)
+    q, c = (_bucketed(side, dim, tables, bits, seed, n) for side, n in ((queries, probes), (corpus, 0)))
 
     def blocks(table: DataFrame, name: str) -> DataFrame:
         n = F.ceil(F.count(F.lit(1)) / per_block).cast("int")
@@ -332,10 +366,59 @@ def approximate_knn(
     return _ranked_hits(found.groupBy("query_id", "row_id").agg(F.max("sim").alias("sim")), k)
 
 
-def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
+def bits_for(n_corpus: int, bucket_rows: int) -> int:
+    """Hyperplanes that leave about ``bucket_rows`` of a corpus in a bucket."""
+    return min(max(math.ceil(math.log2(max(n_corpus, 1) / bucket_rows)), 0), 30)
+
+
+def scored_share(
+    queries: DataFrame,
+    corpus: DataFrame,
+    tables: int = 8,
+    bits: int | None = None,
+    seed: int = 0,
+    bucket_rows: int = 4,
+    probes: int = 4,
+) -> DataFrame:
+    """Pairs that an approximate search scores, over all its tables, and their share of all
+    pairs. From bucket sizes; no pair is made."""
+    n_corpus, dim = _size_of(corpus)
+    bits = bits_for(n_corpus, bucket_rows) if bits is None else bits
+    keys = ["table_no", "bucket"]
+    q, c = (
+        _bucketed(side, dim, tables, bits, seed, n).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+        for side, name, n in ((queries, "n_q", probes), (corpus, "n_c", 0))
+    )
+    scored = F.coalesce(F.sum(F.col("n_q") * F.col("n_c")), F.lit(0)).alias("scored")
+    return q.join(c, keys).agg(scored).withColumn("share", F.try_divide("scored", F.lit(max(queries.count() * n_corpus, 1))))
+
+
+def _bucketed(table: DataFrame, dim: int, tables: int, bits: int, seed: int, probes: int) -> DataFrame:
+    """Rows once for each hash table and bucket that they are in or look into."""
+    planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
+    near = min(probes, bits)
+    each = tables * (1 + near)
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def signature(vectors: pa.Array) -> pa.Array:
+        heights = (as_matrix(vectors) @ planes).reshape(len(vectors), tables, bits)
+        codes = ((heights > 0) * (1 << np.arange(bits))).sum(axis=2, keepdims=True).astype(np.int32)
+        if near:
+            closest = np.argsort(np.abs(heights), axis=2, kind="stable")[:, :, :near]
+            codes = np.concatenate([codes, codes ^ (1 << closest).astype(np.int32)], axis=2)
+        offsets = pa.array(np.arange(len(vectors) + 1, dtype=np.int32) * each)
+        return pa.ListArray.from_arrays(offsets, pa.array(codes.ravel()))
+
+    signed = evaluate_once(table.select("row_id", "embedding"), codes=signature("embedding"))
+    placed = signed.select("row_id", "embedding", F.posexplode("codes").alias("place", "bucket"))
+    return placed.withColumn("table_no", F.floor(F.col("place") / (1 + near)).cast("int")).drop("place")
+
+
+def recall(approximate: DataFrame, exact: DataFrame, by: str | None = None) -> DataFrame:
     """Share of the exact hits that the approximate search found."""
-    found = approximate.select("query_id", "row_id", F.lit(1).alias("found"))
-    return exact.join(found, ["query_id", "row_id"], "left").agg(
+    keys = [*([by] if by else []), "query_id", "row_id"]
+    found = approximate.select(*keys, F.lit(1).alias("found"))
+    return exact.join(found, keys, "left").agg(
         F.count(F.lit(1)).alias("n_exact"),
         F.count("found").alias("n_found"),
         F.try_divide(F.count("found"), F.count(F.lit(1))).alias("recall"),

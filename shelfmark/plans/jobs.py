@@ -101,8 +101,11 @@ def similar_to(table: DataFrame, query_row: int = 0, k: int = TOP_K) -> DataFram
 
 
 def suggest_subjects(papers: DataFrame, subjects: DataFrame, k: int = TOP_K) -> DataFrame:
-    """The subjects nearest to every paper; both are stored embedding tables."""
-    return knn(papers.select("row_id", "embedding"), subjects.select("row_id", "embedding"), k)
+    """The subjects nearest to every paper; both are stored embedding tables. Papers of
+    several splits, whose positions restart, are told apart by ``split``."""
+    by = "split" if "split" in papers.columns else None
+    keys = [by] if by else []
+    return knn(papers.select(*keys, "row_id", "embedding"), subjects.select("row_id", "embedding"), k, by)
 
 
 def flatten_documents(spark: SparkSession, root: str, out: str, pattern: str = "*.jsonld") -> None:

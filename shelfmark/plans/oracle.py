@@ -154,6 +154,8 @@ ORACLE: dict[str, str] = {
     "round(CAST(CAST(e[pos + 1] AS FLOAT) AS DOUBLE), 6) AS v FROM unit, range(64) p(pos)",
     "embedding_shape": "SELECT count(*) AS n_rows, CAST(max(len(embedding)) AS INTEGER) AS dim FROM embeddings",
     "batch_knn": f"WITH {_TOP} SELECT query_id, row_id, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank FROM top",
+    "batch_knn_by_split": f"WITH {_TOP} SELECT query_id % 4 AS split, query_id // 4 AS query_id, row_id, round(sim, 6) AS sim, "
+    "CAST(rank AS INTEGER) AS rank FROM top",
     "knn_with_text": f"WITH {_FIRST} SELECT row_id, query_id, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank, lang, text "
     "FROM top JOIN documents ON doc_id = row_id",
     "subject_text": f"WITH {_SUBJECTS} SELECT id, text FROM subject",
@@ -174,6 +176,9 @@ ORACLE: dict[str, str] = {
     "merge_counts": f"WITH {_KEPT} SELECT split, count(*) AS n_records FROM kept GROUP BY split",
     "merge_coverage": f"WITH {_GRID} SELECT g.* FROM grid g ANTI JOIN (SELECT {_SPLIT} AS split, "
     "source AS doc_type, lang FROM documents) d USING (split, doc_type, lang)",
+    "collection_files": f"SELECT {_SPLIT} AS split, source AS doc_type, lang, CAST(substr(source, 4) AS INTEGER) AS doc_type_ord, "
+    "CASE lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 ELSE 3 END AS lang_ord, count(*) AS n_lines "
+    "FROM documents WHERE NOT (lang = 'fr' AND n_chars < 500) GROUP BY ALL",
     "merged_text_files": f"WITH {_KEPT} SELECT split, json FROM kept",
     "hash_embed": f"WITH {_hashed('documents', 'doc_id')} SELECT k AS doc_id, CAST(pos AS INTEGER) AS pos, "
     "round(CAST(v AS DOUBLE), 6) AS v FROM cell",

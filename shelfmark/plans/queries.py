@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +20,7 @@ from shelfmark.operators.numbering import number_rows
 from shelfmark.operators.once import evaluate_once
 from shelfmark.plans import inputs as I
 from shelfmark.plans.jobs import suggest_subjects
-from shelfmark.session import materialize, shared_dir, spread
+from shelfmark.session import fresh_path, materialize, spread
 from shelfmark.sources import jsonl, tables
 
 DIM = 64
@@ -31,10 +30,6 @@ def _six(column: Column | str) -> Column:
     return F.round(column, 6)
 
 
-def _fresh(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # --- vectors ----------------------------------------------------------------
 
 
@@ -70,6 +65,15 @@ def batch_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.knn(vectors, vectors).withColumn("sim", _six("sim"))
 
 
+def batch_knn_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries whose positions restart in each of four splits, against all vectors."""
+    vectors = I.embeddings(spark, sf_dir)
+    queries = vectors.select(
+        (F.col("row_id") % 4).alias("split"), F.floor(F.col("row_id") / 4).alias("row_id"), "embedding"
+    )
+    return S.knn(queries, vectors, by="split").withColumn("sim", _six("sim"))
+
+
 def knn_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = F.broadcast(S.top_k(I.embeddings(spark, sf_dir), 0))  # five rows
     docs = I.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "lang", "text")
@@ -79,7 +83,8 @@ def knn_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def approximate_knn_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = I.embeddings(spark, sf_dir)
     found = S.approximate_knn(vectors, vectors)
-    return S.recall(found, S.knn(vectors, vectors))
+    share = S.scored_share(vectors, vectors).first()["share"]  # one row
+    return S.recall(found, S.knn(vectors, vectors)).withColumn("scored_share", F.lit(share))
 
 
 # --- records ----------------------------------------------------------------
@@ -146,9 +151,27 @@ def merge_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.absent_from(expected, I.document_lines(spark, sf_dir))
 
 
+def collection_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as ``{split}/{type}_{lang}.jsonl`` files, read as a collection."""
+    keys = ["split", "doc_type", "lang"]
+    parts, root = fresh_path(spark, "parts"), fresh_path(spark, "collection")
+    lines = I.document_lines(spark, sf_dir).select(*keys, F.col("line").alias("value"))
+    lines.repartition(*keys).write.partitionBy(*keys).text(parts)
+    # Spark names its files itself: one rename for each combination, of which there are few.
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{parts}/split=*/doc_type=*/lang=*/part-*")
+    system = files.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.globStatus(files):
+        split, doc_type, lang = (p.partition("=")[2] for p in status.getPath().toString().split("/")[-4:-1])
+        to = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{split}/{doc_type}_{lang}.jsonl")
+        system.mkdirs(to.getParent())
+        system.rename(status.getPath(), to)
+    read = jsonl.read_collection(spark, root, I.SOURCES, I.SOURCE_LANGS, splits=["dev", "train"])
+    return M.count_by(read, "split", "doc_type", "lang", "doc_type_ord", "lang_ord", name="n_lines")
+
+
 def merged_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered text written per split and read back."""
-    path = _fresh(spark, "merged")
+    path = fresh_path(spark, "merged")
     tables.write_merged_lines(materialize(_merged(spark, sf_dir), "merged"), path)
     return jsonl.read_lines(spark, path).select("split", F.col("line").alias("json"))
 
@@ -165,7 +188,7 @@ def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _subject_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = R.parse_subjects(I.subject_lines(spark, sf_dir))
     texts = number_rows(R.subject_texts(parsed), ["p_partkey"])
-    path = _fresh(spark, "subjects")
+    path = fresh_path(spark, "subjects")
     tables.write_embeddings(encode(texts, hashed_words(DIM)), path)
     return tables.read_embeddings(spark, path)
 
@@ -213,7 +236,7 @@ def canonical_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def edge_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The documents are parsed once; links and labels both read the stored nodes.
     nodes = materialize(_nodes(spark, sf_dir), "nodes")
-    labels = graph.canonical_labels(graph.label_counts(graph.entities(nodes)))
+    labels = materialize(graph.canonical_labels(graph.label_counts(graph.entities(nodes))), "labels")
     links = graph.edges(graph.records(nodes)).select("paper_id", "subject_id")
     return graph.with_labels(links, labels)
 
@@ -268,8 +291,9 @@ def suggested_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = materialize(graph.subjects(labels, graph.edges(recs)), "found")
     subject_lines = graph.subject_lines(found)
-    subjects = number_rows(R.subject_texts(R.parse_subjects(subject_lines)), ["id"])
-    subject_path = _fresh(spark, "subjects")
+    texts = materialize(R.subject_texts(R.parse_subjects(subject_lines)), "texts")
+    subjects = number_rows(texts, ["id"])  # it reads its input twice
+    subject_path = fresh_path(spark, "subjects")
     tables.write_embeddings(encode(subjects, encoder), subject_path)
 
     papers = R.paper_texts(R.parse_papers(graph.paper_lines(graph.papers(recs))))
@@ -291,6 +315,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         normalized_vectors,
         embedding_shape,
         batch_knn,
+        batch_knn_by_split,
         knn_with_text,
         approximate_knn_recall,
         subject_text,
@@ -302,6 +327,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         merge_ordered,
         merge_counts,
         merge_coverage,
+        collection_files,
         merged_text_files,
         hash_embed,
         embedding_table,

@@ -33,10 +33,14 @@ DEFAULTS = {
 # Inputs below this size per core may be dealt out anew (see spread).
 SPREAD_BYTES = 32 << 20
 
-# Stored bytes a sorted partition is sized for (see range_partitions). Part files
-# are numbered with five digits; more would no longer sort by name.
+# Stored bytes a sorted partition is sized for (see range_partitions).
 RANGE_BYTES = 64 << 20
-MAX_RANGES = 99_999
+
+# What Spark says of a frame whose size it does not know.
+UNKNOWN_BYTES = 1 << 62
+
+# Stored bytes up to which a table is sent to all tasks (see broadcast_if_small).
+BROADCAST_TABLE_BYTES = 16 << 20
 
 _scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
@@ -65,22 +69,36 @@ def shared_dir(spark: SparkSession) -> str:
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="shelfmark-")
     spark.conf.set(CHECKPOINT_CONF, folder)
+    _delete_at_end(spark, folder)
     return folder
 
 
+def _delete_at_end(spark: SparkSession, folder: str) -> None:
+    """Have a folder deleted when the driver's JVM ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to a fresh Parquet table in the shared folder, read it back.
 
     Cuts the lineage and freezes values that depend on how a stage was split
     (partition ids, running ids), so that every later reader sees the same ones
-    even when executors are lost.
+    even when executors are lost. The table goes when the session ends.
     """
     spark = df.sparkSession
-    path = f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared folder, gone when the session ends."""
+    path = f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _delete_at_end(spark, path)
+    return path
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables materialized inside this block are deleted at its end.
@@ -106,9 +124,10 @@ def input_bytes(df: DataFrame) -> int:
 
 def range_partitions(df: DataFrame) -> int:
     """How many ranges to sort a frame into: by its size on disk, and no fewer than
-    the session's shuffle partitions."""
+    the session's shuffle partitions, which also count where the size is unknown."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(math.ceil(input_bytes(df) / RANGE_BYTES), least), MAX_RANGES)
+    size = input_bytes(df)
+    return least if size >= UNKNOWN_BYTES else max(math.ceil(size / RANGE_BYTES), least)
 
 
 def spread(df: DataFrame, bytes_per_core: int = SPREAD_BYTES) -> DataFrame:
@@ -122,11 +141,11 @@ def spread(df: DataFrame, bytes_per_core: int = SPREAD_BYTES) -> DataFrame:
     return df.repartition(cores) if input_bytes(df) <= cores * bytes_per_core else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Mark ``df`` for broadcast when it is seen to hold at most ``max_rows``.
+def broadcast_if_small(stored: DataFrame, of: DataFrame | None = None, most: int = BROADCAST_TABLE_BYTES) -> DataFrame:
+    """Mark ``stored`` for broadcast when its files hold at most ``most`` bytes.
 
-    Beyond that the frame is returned as is and Spark joins it by shuffle. The
-    check stops counting at ``max_rows + 1`` rows. Meant for narrow frames that
-    are cheap to read, such as ones that :func:`materialize` wrote.
+    Beyond that the frame is returned as is and Spark joins it by shuffle. The size is
+    that of the files, so it is for frames read from a table that :func:`materialize`
+    wrote; ``of`` names that table where ``stored`` is derived from it row by row.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(stored) if input_bytes(stored if of is None else of) <= most else stored

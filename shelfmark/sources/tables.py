@@ -45,10 +45,16 @@ def write_merged_lines(merged: DataFrame, path: str, partitions: int | None = No
     files in order by name, so reading them in turn gives the merged sequence.
     The key is unique per line, so no range can outgrow the others.
     """
-    ranged = merged.repartitionByRange(partitions or range_partitions(merged), *MERGE_KEY)
-    ranged.sortWithinPartitions(*MERGE_KEY).select(
-        "split", canonical_json(F.col("json")).alias("value")
-    ).write.mode("overwrite").partitionBy("split").text(path)
+    n = partitions or range_partitions(merged)
+    ranged = merged.repartitionByRange(n, *MERGE_KEY).sortWithinPartitions(*MERGE_KEY)
+    lines = ranged.select("split", canonical_json(F.col("json")).alias("value"), F.spark_partition_id().alias("part"))
+    # Part files are numbered with five digits at least: with more of them, those of one
+    # length go to a folder of their own, so that names still sort as numbers do.
+    folders = ["split"]
+    if n > 99_999:
+        lines = lines.withColumn("hundred_thousand", F.lpad(F.floor(F.col("part") / 100_000), 8, "0"))
+        folders.append("hundred_thousand")
+    lines.drop("part").write.mode("overwrite").partitionBy(*folders).text(path)
 
 
 def write_merged_table(merged: DataFrame, path: str) -> None:

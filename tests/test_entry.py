@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 import math
+import re
 from pathlib import Path
 
 import duckdb
@@ -16,7 +17,11 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 spec = importlib.util.spec_from_file_location("spark_entry", ROOT / "__spark_entry__.py")
 entry_module = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry_module)
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+# The operators of the llm subpackage have tests of their own, in its folder.
+QUERIES, ORACLE = (
+    {k: v for k, v in d.items() if not re.fullmatch(r"op\d+_\w+|pipeline", k)}
+    for d in (entry_module.queries(), entry_module.oracle_sql())
+)
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test data")
@@ -60,4 +65,4 @@ def test_query(spark, duck, name):
 
 def test_approximate_search(spark):
     row = QUERIES["approximate_knn_recall"](spark, DATA).first()
-    assert row.n_exact == 2500 and 0.5 < row.recall <= 1
+    assert row.n_exact == 2500 and 0.5 < row.recall <= 1 and 0 < row.scored_share < 0.5

@@ -104,6 +104,29 @@ def test_knn_is_exact_every_way(spark, way):
     assert rows(S.knn(queries, df, 5, **WAYS[way])) == brute_force(m[:20], m, 5)
 
 
+@pytest.mark.parametrize("way", WAYS)
+def test_positions_that_restart_per_split(spark, way):
+    m, df = random_table(spark, 90)
+    queries = df.where("row_id < 20").select(
+        F.when(F.col("row_id") < 10, "train").otherwise("test").alias("split"), (F.col("row_id") % 10).alias("row_id"), "embedding"
+    )
+    hits = S.knn(queries, df, 5, by="split", **WAYS[way])
+    got = {(r.query_id + 10 * (r.split == "test"), r.row_id, round(r.sim, 7) + 0.0, r.rank) for r in hits.collect()}
+    assert got == brute_force(m[:20], m, 5)
+    assert S.recall(hits, hits, by="split").first().recall == 1.0
+    with pytest.raises(ValueError, match="several rows"):
+        S.knn(df, df.unionAll(df), **WAYS[way])
+
+
+def test_scored_share_falls_as_the_corpus_grows(spark):
+    rng = np.random.default_rng(2)
+    m = rng.standard_normal((3000, 16))
+    df = table(spark, [(i, [float(x) for x in v]) for i, v in enumerate(m)]).repartition(3)
+    queries = df.where("row_id < 50")
+    shares = [S.scored_share(queries, df.where(f"row_id < {n}")).first()["share"] for n in (100, 600, 3000)]
+    assert shares[0] > 2 * shares[1] > 4 * shares[2]
+
+
 @pytest.mark.parametrize("way", WAYS)
 def test_knn_with_more_neighbours_than_rows(spark, way):
     df = table(spark, [(0, [1.0, 0.0]), (1, [NAN, 1.0]), (2, [0.0, 1.0])])
@@ -145,7 +168,7 @@ def test_approximate_hits_are_exact_and_recall_counts(spark):
     assert all(sims[q, r] == pytest.approx(s, abs=2e-7) for q, r, s, _ in hits)
     share = S.recall(found, exact).first()
     assert share.n_exact == 600 and 0.6 < share.recall <= 1.0
-    everything = S.approximate_knn(df, df, tables=1, bits=0)
+    everything = S.approximate_knn(df, df, tables=1, bits=0, probes=0)
     assert S.recall(everything, exact).first().recall == 1.0
 
 
