@@ -97,11 +97,17 @@ def densified(bins: Column) -> Column:
 
 
 def packed(bins: Column) -> Column:
-    """The low bits of all bins, sixteen bins to a number."""
+    """Low bits of all bins, sixteen bins to a number.
+
+    They are taken after a hash with the bin's number, so that a code that stands in many
+    bins, as in short texts, agrees by accident in each of them on its own.
+    """
     each = 64 // BITS
 
     def pack(d: Column, k: Column) -> Column:
-        low = F.transform(F.slice(d, k * each + 1, each), lambda x: x.bitwiseAND(F.lit((1 << BITS) - 1)))
+        low = F.transform(
+            F.slice(d, k * each + 1, each), lambda x, i: F.xxhash64(x, k * each + i).bitwiseAND(F.lit((1 << BITS) - 1))
+        )
         return F.aggregate(low, F.lit(0).cast("bigint"), lambda total, x: F.shiftleft(total, BITS).bitwiseOR(x))
 
     return let(bins, lambda d: F.transform(F.sequence(F.lit(0), F.lit(BINS // each - 1)), lambda k: pack(d, k)))
@@ -144,9 +150,10 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def with_next(docs: DataFrame, key: str = "doc_id", columns: tuple[str, ...] = ("text",)) -> DataFrame:
+def with_next(docs: DataFrame, key: str = "doc_id", columns: tuple[str, ...] = ("text",), **more: Column) -> DataFrame:
     """Add ``next``, a struct of ``columns`` of the row that follows by ``key``.
 
+    Columns of ``more`` are added first, once for every row, and are part of the struct.
     After the last row comes the first. Rows with one key follow each other by their
     columns; a null key comes first. The rows are dealt into ranges of keys, each sorted
     on its own; the row that follows a range is added to it beforehand, so that the
@@ -159,7 +166,7 @@ def with_next(docs: DataFrame, key: str = "doc_id", columns: tuple[str, ...] = (
         F.min("__key"), F.max("__key"), F.percentile_approx("__key", [i / cuts for i in range(1, cuts)] or [0.5], F.lit(1000))
     ).first()
     if low is None:
-        return docs.withColumn("next", F.struct(*columns))
+        return docs.withColumns(more).withColumn("next", F.struct(*columns, *more))
     # Shares of the rows, and within each equal widths.
     bounds = sorted({low, *steps, high + 1})
     width = [max(1, math.ceil((b - a) / max(1, ranges // len(bounds)))) for a, b in zip(bounds, bounds[1:], strict=False)]
@@ -173,10 +180,10 @@ def with_next(docs: DataFrame, key: str = "doc_id", columns: tuple[str, ...] = (
         "__range", F.coalesce(F.lead("__key").over(order), F.lit(low)).alias("__key")
     )
     guests = keyed.drop("__range").join(F.broadcast(after), "__key").withColumn("__guest", F.lit(True))
-    both = keyed.withColumn("__guest", F.lit(False)).unionByName(guests)
+    both = keyed.withColumn("__guest", F.lit(False)).unionByName(guests).withColumns(more)
     line = Window.partitionBy("__range").orderBy("__guest", "__key", *columns)
     return (
-        both.withColumn("next", F.lead(F.struct(*columns)).over(line)).where(~F.col("__guest")).drop("__range", "__key", "__guest")
+        both.withColumn("next", F.lead(F.struct(*columns, *more)).over(line)).where(~F.col("__guest")).drop("__range", "__key", "__guest")
     )
 
 
@@ -189,7 +196,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fingerprin
 
 def digest(docs: DataFrame) -> DataFrame:
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    chained = with_next(base.withColumn("own", sketch(F.col("text"))), columns=("text", "own"))
+    chained = with_next(base, own=sketch(F.col("text")))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = (
         chained.withColumn("n_chars", F.char_length("text").cast("bigint"))
