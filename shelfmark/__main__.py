@@ -11,7 +11,6 @@ from shelfmark.operators.encode import hashed_words, sentence_transformer
 from shelfmark.operators.similarity import TOP_K
 from shelfmark.plans import jobs
 from shelfmark.session import build_session
-from shelfmark.sources.jsonl import missing_inputs
 from shelfmark.sources.tables import matrix_shape, read_embeddings
 
 
@@ -54,13 +53,28 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("root")
     p.add_argument("out")
 
+    p = sub.add_parser("embed-flattened", help="embed the papers and subjects of flattened documents")
+    p.add_argument("input")
+    p.add_argument("out")
+    p.add_argument("--encoder", default="hashed:64", help=encoder.__doc__)
+
+    p = sub.add_parser("suggest", help="the nearest subjects of every embedded paper")
+    p.add_argument("embedded")
+    p.add_argument("out")
+    p.add_argument("-k", type=int, default=TOP_K)
+
     args = parser.parse_args(argv)
     spark = build_session(master=args.master)
     if args.job == "merge":
         counts = jobs.merge_collection(spark, args.root, args.out, args.splits, lines_out=args.lines_out)
         counts.orderBy("split").show(truncate=False)
-        if args.splits:
-            missing_inputs(spark, args.root, args.splits).show(truncate=False)
+        for report in jobs.merge_report(spark, args.root, args.splits):
+            report.show(1000, truncate=False)
+    elif args.job == "embed-flattened":
+        for table in jobs.embed_flattened(spark, args.input, args.out, encoder(args.encoder)):
+            matrix_shape(table).show()
+    elif args.job == "suggest":
+        jobs.write_suggestions(spark, args.embedded, args.out, args.k).show(truncate=False)
     elif args.job == "flatten":
         jobs.flatten_documents(spark, args.root, args.out)
     elif args.job == "similar":
@@ -71,6 +85,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         embed = jobs.embed_papers if args.job == "embed-papers" else jobs.embed_subjects
         mode = {"mode": args.mode} if args.mode else {}
+        if args.job == "embed-papers":
+            jobs.paper_outcomes(spark, args.input).orderBy("split", "outcome").show(truncate=False)
         matrix_shape(embed(spark, args.input, args.out, encoder(args.encoder), **mode)).show()
 
 

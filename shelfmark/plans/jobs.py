@@ -7,10 +7,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.functions.text import label_with_definition
 from shelfmark.operators import graph
 from shelfmark.operators.encode import Encoder, encode
-from shelfmark.operators.merge import count_by, merge
-from shelfmark.operators.numbering import number_lines
+from shelfmark.operators.merge import count_by, malformed, merge
+from shelfmark.operators.numbering import number_lines, number_rows
 from shelfmark.operators.records import (
     FAILFAST,
     SKIP,
@@ -24,6 +25,7 @@ from shelfmark.session import materialize, scratch
 from shelfmark.sources.jsonl import (
     DOC_TYPES,
     LANGS,
+    missing_inputs,
     read_collection,
     read_lines,
 )
@@ -63,6 +65,32 @@ def merge_collection(
     return count_by(merged, "split")
 
 
+def merge_report(
+    spark: SparkSession,
+    root: str,
+    splits: Sequence[str] | None = None,
+    doc_types: Sequence[str] = DOC_TYPES,
+    langs: Sequence[str] = LANGS,
+) -> tuple[DataFrame, DataFrame]:
+    """What a merge of ``root`` leaves out: skipped lines per file and reason, and the
+    combinations of split, type and language that have no file. Where no splits are
+    named, those that have any line are expected to be complete."""
+    lines = read_collection(spark, root, doc_types, langs, splits)
+    skipped = count_by(malformed(lines), "file", "reason", name="n_skipped")
+    if splits is None:
+        splits = [r[0] for r in lines.select("split").distinct().collect()]  # folders of root
+    return skipped, missing_inputs(spark, root, sorted(splits), doc_types, langs)
+
+
+def paper_outcomes(spark: SparkSession, merged: str) -> DataFrame:
+    """What becomes of the papers of a merged table when they are embedded: how many are
+    embeddable, incomplete or rejected, per split and with the reason."""
+    parsed = parse_papers(read_merged_table(spark, merged))
+    complete = F.col("paper_id").isNotNull() & F.col("text").isNotNull()
+    outcome = F.coalesce("reason", F.when(complete, F.lit("embeddable")).otherwise(F.lit("incomplete")))
+    return count_by(parsed.select("split", outcome.alias("outcome")), "split", "outcome")
+
+
 def embed_papers(
     spark: SparkSession,
     merged: str,
@@ -93,6 +121,45 @@ def embed_subjects(
     return read_embeddings(spark, out)
 
 
+def embed_flattened(
+    spark: SparkSession,
+    flat: str,
+    out: str,
+    make_encoder: Callable[[], Encoder],
+    translations: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Embed the papers and subjects that :func:`flatten_documents` wrote; returns both
+    tables, ``out/papers`` and ``out/subjects``.
+
+    ``translations`` holds ``paper_id`` and ``title_en``, for papers without a text.
+    Texts are composed from the columns; papers without id or text and subjects without
+    code or label are left out.
+    """
+    papers = spark.read.option("mergeSchema", "false").parquet(f"{flat}/papers").withColumn("split", F.col("split").cast("string"))
+    title = F.nullif("title_en", F.lit(""))
+    if translations is not None:
+        told = translations.select("paper_id", F.col("title_en").alias("__told")).dropDuplicates(["paper_id"])
+        papers = papers.join(told, "paper_id", "left")
+        title = F.coalesce(F.nullif("__told", F.lit("")), title)
+    texts = papers.select("split", F.col("paper_id").alias("id"), F.coalesce(F.nullif("text", F.lit("")), title).alias("text"))
+    subjects = spark.read.parquet(f"{flat}/subjects").where("code <> '' AND label <> ''")
+    named = subjects.select(F.col("code").alias("id"), label_with_definition(F.col("label"), F.col("definition")).alias("text"))
+    with scratch(spark):
+        numbered = number_rows(materialize(texts.where("id <> '' AND text IS NOT NULL"), "texts"), ["id"], by="split")
+        write_embeddings(encode(numbered, make_encoder), f"{out}/papers", by="split")
+        write_embeddings(encode(number_rows(materialize(named, "texts"), ["id"]), make_encoder), f"{out}/subjects")
+    return read_embeddings(spark, f"{out}/papers", by="split"), read_embeddings(spark, f"{out}/subjects")
+
+
+def write_suggestions(spark: SparkSession, embedded: str, out: str, k: int = TOP_K) -> DataFrame:
+    """Write the ``k`` nearest subjects of every paper of :func:`embed_flattened`'s tables:
+    split, query_id, rank, sim, subject id and text."""
+    papers, subjects = read_embeddings(spark, f"{embedded}/papers", by="split"), read_embeddings(spark, f"{embedded}/subjects")
+    named = with_records(suggest_subjects(papers, subjects, k), subjects, "id", "text")
+    named.select("split", "query_id", "rank", "sim", "id", "text").write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 def similar_to(table: DataFrame, query_row: int = 0, k: int = TOP_K) -> DataFrame:
     """The rows most similar to one row, with their ids and texts, best first."""
     # k rows, so the lookup is a broadcast whatever the table's size.

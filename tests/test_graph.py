@@ -128,3 +128,25 @@ def test_flatten_writes_every_table(spark, root, tmp_path):
         "label_counts": 6, "labels": 4, "subjects": 3, "unreadable": 2,
     }
     assert {n: spark.read.parquet(f"{out}/{n}").count() for n in sizes} == sizes
+
+
+def test_a_repeated_key_keeps_its_document(spark):
+    text = '{"@graph":[{"@id":"s:1","sameAs":"A","sameAs":"B"},{"@id":"x%3A1","@type":"bibo:Book","title":"T"}],"@context":{}}'
+    spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    docs = spark.createDataFrame([("f", text)], "file string, value string")
+    nodes = graph.nodes(graph.parse_documents(docs))
+    assert nodes.count() == 2 and [r.label for r in graph.entities(nodes).collect()] == ["B"]
+
+
+def test_from_documents_to_suggestions(spark, root, tmp_path):
+    from shelfmark.operators.encode import hashed_words
+    from shelfmark.plans import jobs
+
+    flat, embedded = str(tmp_path / "flat"), str(tmp_path / "embedded")
+    flatten_documents(spark, root, flat)
+    translations = spark.createDataFrame([("1", "unused"), ("7", "unknown")], "paper_id string, title_en string")
+    papers, subjects = jobs.embed_flattened(spark, flat, embedded, hashed_words(16), translations)
+    assert {(r.split, r.row_id, r.id) for r in papers.collect()} == {("train", 0, "1"), ("train", 1, "2"), ("dev", 0, "3")}
+    assert sorted(r.text for r in subjects.collect()) == ["Drei", "Eins", "Zwei"] or subjects.count() == 3
+    got = jobs.write_suggestions(spark, embedded, str(tmp_path / "s"), 2).collect()
+    assert {(r.split, r.query_id, r["rank"]) for r in got} == {(s, q, k) for s, q in (("train", 0), ("train", 1), ("dev", 0)) for k in (1, 2)}
