@@ -30,8 +30,9 @@ from shelfmark.session import materialize
 
 #: Rare words are units by the hash of so many last bytes, in so many units.
 ENDING, ENDINGS = 3, 512
-#: Distinct words or bigrams that a task holds before it passes its counts on.
-HELD = 1_000_000
+#: Distinct words or bigrams that a task holds before it passes its counts on, and bytes
+#: of text that it counts before it adds them up.
+HELD, COUNTED = 1_000_000, 3 << 20
 
 _rolling = Rolling(31)
 
@@ -79,7 +80,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for part in parts(batch, "text"):
+            for part in parts(batch, "text", COUNTED):
                 words, ending, first = hashed_words(binary(part.column("text")))
                 train = np.repeat(part.column("train").to_numpy(zero_copy_only=False), np.diff(first))
                 totals.add(words, np.array([np.ones(len(words), np.int64), train.astype(np.int64), ending]))
@@ -141,7 +142,7 @@ def unit_bigrams(docs: DataFrame, units: Units) -> DataFrame:
             )
 
         for batch in batches:
-            for part in parts(batch, "text"):
+            for part in parts(batch, "text", COUNTED):
                 line, _ = known.lines(*hashed_words(binary(part.column("text"))))
                 pairs = known.before(line) * known.count + line
                 totals.add(pairs, np.ones((1, len(pairs)), np.int64))
