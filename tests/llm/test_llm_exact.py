@@ -67,7 +67,7 @@ def near_copies(seed):
     return texts
 
 
-@pytest.mark.parametrize("seed,size", [(1, 4), (2, 5)])
+@pytest.mark.parametrize("seed,size", [(1, 4)])
 def test_near_groups(spark, seed, size):
     texts = near_copies(seed)
     want, counts = groups(texts, size, 80)
