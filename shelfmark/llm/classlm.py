@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Rolling, binary, joined, lowered, parts, remainder, word_spans
+from shelfmark.llm.common import Rolling, binary, in_tasks, joined, lowered, parts, remainder, word_spans
 from shelfmark.session import materialize
 
 #: Rare words are units by the hash of so many last bytes, in so many units.
@@ -89,7 +89,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         if len(totals.keys):
             yield out()
 
-    counted = docs.select("text", "train").mapInArrow(run, "hash long, ending int, n_train long, n_all long")
+    counted = in_tasks(docs.select("text", "train"), run, "hash long, ending int, n_train long, n_all long")
     return counted.groupBy("hash").agg(
         F.min("ending").alias("ending"), F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all")
     )
@@ -151,7 +151,7 @@ def unit_bigrams(docs: DataFrame, units: Units) -> DataFrame:
         if len(totals.keys):
             yield out()
 
-    counted = docs.where("train").select("text").mapInArrow(run, "first int, second int, n long")
+    counted = in_tasks(docs.where("train").select("text"), run, "first int, second int, n long")
     return counted.groupBy("first", "second").agg(F.sum("n").alias("n"))
 
 
@@ -328,7 +328,7 @@ def with_scores(docs: DataFrame, train: str, text: str = "text", keep: tuple[str
     schema = ", ".join([*kept, "n_tokens long, __known long, __base double, __class double, __rest array<long>"])
     # Written, so that the rows' numbers hold for both readers.
     scored = materialize(
-        docs.select(*keep, "text").mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "scored"
+        in_tasks(docs.select(*keep, "text"), run, schema).withColumn("__row", F.monotonically_increasing_id()), "scored"
     )
     rare = (
         scored.select("__row", F.explode("__rest").alias("hash"))

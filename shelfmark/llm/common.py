@@ -19,6 +19,9 @@ BATCH_BYTES = 1 << 20
 #: A-Z to a-z, all other bytes as they are.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+# Rows of an Arrow batch. Texts are long, and a batch is held by the JVM and the worker.
+BATCH_ROWS = 1000
+
 Field = tuple[str, str, pa.DataType]  # name, Spark type, Arrow type
 
 
@@ -55,6 +58,18 @@ def joined(texts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def in_tasks(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` for rows with texts: in batches of ``BATCH_ROWS`` rows, which the
+    session is told, and with what a task has freed given back at its end."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(tidy, schema)
+
+
 def map_texts(
     df: DataFrame,
     start: Callable[[], Callable[[pa.LargeBinaryArray], list]],
@@ -88,7 +103,7 @@ def map_texts(
     schema = ", ".join(
         [f"`{c.replace('`', '``')}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"{n} {k}" for n, k, _ in fields]
     )
-    return df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in read]).mapInArrow(run, schema)
+    return in_tasks(df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in read]), run, schema)
 
 
 def remainder(column: str, by: int) -> F.Column:

@@ -30,7 +30,7 @@ from shelfmark.operators.once import once_per_worker
 SPACE = "▁"
 NOTHING: dict = {}
 #: Encoded stretches that a worker remembers, and the longest that it does.
-REMEMBERED, SHORT = 800_000, 32
+REMEMBERED, SHORT = 250_000, 32
 
 
 class Known(dict):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Rolling, Store, binary, joined, mix, parts, sendable
+from shelfmark.llm.common import Rolling, Store, binary, in_tasks, joined, mix, parts, sendable
 
 LENGTH, HEAD = 200, 32
 #: Different blocks of one head that one task compares; more are dealt out by window.
@@ -96,7 +96,7 @@ def _suffixes(docs: DataFrame, length: int, head: int) -> DataFrame:
                         [pa.array(np.full(len(keys), b, np.int32), pa.int32()), pa.array(keys), pa.array(n)], names=["batch", "head", "n"]
                     )
 
-    return docs.select("batch", "text").mapInArrow(run, "batch int, head long, n long")
+    return in_tasks(docs.select("batch", "text"), run, "batch int, head long, n long")
 
 
 def repeated_heads(docs: DataFrame, store: Store, length: int, head: int, batches: int) -> DataFrame:
@@ -150,7 +150,7 @@ def _candidates(docs: DataFrame, repeated: DataFrame, length: int, head: int) ->
                 )
 
     schema = "doc long, mark int, head long, block long, low long, n int, ahead int"
-    return docs.select("doc", "mark", "text").mapInArrow(run, schema).join(sendable(repeated), "head")
+    return in_tasks(docs.select("doc", "mark", "text"), run, schema).join(sendable(repeated), "head")
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -177,7 +177,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     schema = "head long, hot boolean, only boolean, doc long, mark int, low long, n int, ahead int, bytes binary"
     asked = docs.select("doc", "mark", "text").join(sendable(wanted), ["doc", "mark"])
-    return asked.select("doc", "mark", "text", "wanted").mapInArrow(run, schema)
+    return in_tasks(asked.select("doc", "mark", "text", "wanted"), run, schema)
 
 
 def _windows(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -386,7 +386,8 @@ def without_repeats(
                     [part.column("row"), *[pa.array(out[o], FIELDS[o][1]) for o in outputs]], names=["row", *outputs]
                 )
 
-    found = named.join(sendable(spans), ["doc", "mark"], "left").select("row", "text", "starts", "stops").mapInArrow(run, schema)
+    joined_ = named.join(sendable(spans), ["doc", "mark"], "left").select("row", "text", "starts", "stops")
+    found = in_tasks(joined_, run, schema)
     return found.select(*[F.col(f"row.`{c}`") for c in keep], *outputs)
 
 

@@ -157,7 +157,7 @@ def letter_bytes() -> dict[str, int]:
 class Counter:
     """Counts the tokens of pre-tokens by a transducer that grows where it is walked."""
 
-    def __init__(self, path: str, most_states: int = 400_000, most_words: int = 600_000):
+    def __init__(self, path: str, most_states: int = 200_000, most_words: int = 300_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model, before = spec["model"], spec["pre_tokenizer"]
