@@ -74,9 +74,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def _delete_at_end(spark: SparkSession, folder: str) -> None:
-    """Have a folder deleted when the driver's JVM ends."""
+    """Make a folder that is deleted when the driver's JVM ends."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)  # only what exists can be marked
+    system.deleteOnExit(path)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -93,10 +95,10 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A folder of its own in the shared folder, gone when the session ends."""
-    path = f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _delete_at_end(spark, path)
-    return path
+    """A path of its own in the shared folder for a table, gone when the session ends."""
+    folder = f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _delete_at_end(spark, folder)
+    return f"{folder}/table"
 
 
 @contextmanager
