@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import math
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -410,3 +411,13 @@ def test_licenses(spark):
     assert texts[0][f.start : f.stop] == "Licensed under the Apache License, Version 2.0"
     changed = licenses.scan(licenses.WORDINGS[1][1].replace("in compliance with", "in accordance with"))
     assert changed[0].license == "Apache-2.0" and set(changed[0].differences) == {"-compliance", "+accordance"}
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize("width", [30, 72, 80])
+def test_licenses_over_broken_lines(mark, width):
+    for name, wording in licenses.WORDINGS:
+        lines = textwrap.wrap(wording, width, break_on_hyphens=False, break_long_words=False)
+        text = "Some words before.\n" + "".join(f"{mark}{x}\n" for x in lines) + "And words that follow it.\n"
+        found = licenses.scan(text)
+        assert [(f.license, f.differences) for f in found] == [(name, ())], text
