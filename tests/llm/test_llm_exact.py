@@ -421,3 +421,11 @@ def test_licenses_over_broken_lines(mark, width):
         text = "Some words before.\n" + "".join(f"{mark}{x}\n" for x in lines) + "And words that follow it.\n"
         found = licenses.scan(text)
         assert [(f.license, f.differences) for f in found] == [(name, ())], text
+
+
+def test_licenses_in_any_case():
+    for name, wording in licenses.WORDINGS:
+        for text in (wording.upper(), wording.replace(" ", " \t ").title(), f"{wording.upper()} {'other words ' * 60}"):
+            assert [(f.license, f.differences) for f in licenses.scan(text)] == [(name, ())], text
+    beside = "\n".join(w for _, w in licenses.WORDINGS)  # all of them in one block
+    assert [f.license for f in licenses.scan(beside)] == [n for n, _ in licenses.WORDINGS]
