@@ -14,7 +14,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -34,6 +34,8 @@ ATTR = re.compile(r"""([^\s=/"'<>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""
 SILENT = frozenset("script style noscript template iframe object svg canvas math audio video head title select textarea datalist".split())
 #: Of these, the ones whose content is not markup.
 RAW = frozenset("script style iframe title textarea".split())
+#: What a head may hold; anything else begins the body.
+HEAD = frozenset("title meta link script style base basefont bgsound noframes noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup "
@@ -57,6 +59,8 @@ BOILER_WORDS = frozenset(
     "navigation breadcrumb breadcrumbs pagination pager footer masthead toolbar skip search form legal copyright disclaimer "
     "complementary contentinfo".split()
 )
+#: A class of several words with one of these tells what a wrapper has or has not, not what it is.
+LAYOUT_WORDS = frozenset("has have with without no not non".split())
 HEADER_WORDS = frozenset("header topbar banner".split())
 MAIN_WORDS = frozenset("article articlebody post entry story content main text".split())
 PART = re.compile(r"[a-z]+")
@@ -84,6 +88,7 @@ class Block:
     main: bool
     boiler: bool
     heading: bool
+    hinted: tuple[int, ...] = ()  # elements around it with a class that holds no content
 
 
 @dataclass
@@ -94,12 +99,14 @@ class Element:
     boiler: bool
     link: bool
     heading: bool
+    hinted: tuple[int, ...] = ()
 
 
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
     has_main: bool = False
+    holders: set[int] = field(default_factory=set)  # hinted elements around an article
 
 
 def hints(attrs: str) -> set[str]:
@@ -107,7 +114,9 @@ def hints(attrs: str) -> set[str]:
     out: set[str] = set()
     for m in ATTR.finditer(attrs):
         if m[1].lower() in ("class", "id", "role", "itemprop", "aria-label"):
-            out.update(PART.findall(CAMEL.sub(" ", m[2] or m[3] or m[4] or "").lower()))
+            for name in (m[2] or m[3] or m[4] or "").split():
+                said = PART.findall(CAMEL.sub(" ", name).lower())
+                out.update(said if LAYOUT_WORDS.isdisjoint(said) else set(said) - BOILER_WORDS - HEADER_WORDS)
         elif m[1].lower() == "aria-hidden" and (m[2] or m[3] or m[4]) == "true":
             out.add("overlay")
     return out
@@ -117,6 +126,7 @@ def parse(source: str) -> Page:
     """Blocks of a page in order, however badly its elements are closed."""
     page, stack, pieces, linked = Page(), [], [], 0
     count, at = 0, 0
+    ends: dict[int, int] = {}
 
     def end_block():
         nonlocal pieces, linked
@@ -124,7 +134,10 @@ def parse(source: str) -> Page:
         if text:
             top = stack[-1] if stack else Element("", 0, False, False, False, False)
             page.blocks.append(
-                Block(text, tuple(e.key for e in stack if e.tag not in INLINE), linked, top.main, top.boiler, any(e.heading for e in stack))
+                Block(
+                    text, tuple(e.key for e in stack if e.tag not in INLINE), linked, top.main, top.boiler, any(e.heading for e in stack),
+                    top.hinted,
+                )
             )
         pieces, linked = [], 0
 
@@ -158,7 +171,8 @@ def parse(source: str) -> Page:
                 end_block()
             continue
         if tag in SILENT:
-            at = _skip(source, at, tag)
+            if not (tag in ("svg", "math") and m["attrs"].endswith("/")):
+                at = _skip(source, at, tag, {e.tag for e in stack} - {"html", "body"}, ends)
             if tag not in INLINE:
                 end_block()
             continue
@@ -179,22 +193,75 @@ def parse(source: str) -> Page:
         count += 1
         main = up.main or tag in MAIN_TAGS or bool(said & {"articlebody", "article"})
         # A header inside the article holds its title; outside it is the page's own.
-        boiler = up.boiler or tag in BOILER_TAGS
+        boiler = up.boiler or tag in BOILER_TAGS or (tag == "header" and not up.main)
+        hinted = up.hinted
         if tag not in ("html", "body", "article", "main"):
-            boiler = boiler or bool(said & BOILER_WORDS)
-        boiler = boiler or (not up.main and (tag == "header" or bool(said & HEADER_WORDS)) and tag not in ("html", "body", "article", "main"))
+            if said & BOILER_WORDS or (not up.main and said & HEADER_WORDS):
+                hinted += (count,)
+        elif tag in MAIN_TAGS and not said & BOILER_WORDS:
+            page.holders.update(hinted)
         page.has_main |= main
         heading = len(tag) == 2 and tag[0] == "h" and tag[1] in "123456"
-        stack.append(Element(tag, count, main or (not boiler and bool(said & MAIN_WORDS)), boiler, up.link or tag == "a", heading))
+        stack.append(Element(tag, count, main or (not boiler and not hinted and bool(said & MAIN_WORDS)), boiler, up.link or tag == "a", heading, hinted))
     end_block()
+    weigh_hints(page)
     return page
 
 
-def _skip(source: str, at: int, tag: str) -> int:
-    """Where a silent element's content ends."""
-    low = re.compile(rf"</{tag}\b[^>]*>" if tag in RAW or tag != "head" else r"</head\b[^>]*>|(?=<body\b)", re.I)
-    end = low.search(source, at)
-    return end.end() if end else len(source)
+def weigh_hints(page: Page) -> None:
+    """Whether hints make a block boilerplate.
+
+    A hint counts in full unless its element wraps the page's content: it holds most words
+    outside boilerplate elements, or an article, and no article stands free of hints; or
+    it holds both. Such a hint says nothing of what is inside.
+    """
+    size, total, free = Counter(), 0, False
+    for b in page.blocks:
+        if not b.boiler:
+            n = b.text.count(" ") + 1
+            total += n
+            size.update(dict.fromkeys(b.hinted, n))
+            free = free or (b.main and not b.hinted)
+    wraps = {k for k, n in size.items() if (2 * n > total) + (k in page.holders) > free}
+    for b in page.blocks:
+        b.boiler = b.boiler or any(k not in wraps for k in b.hinted)
+
+
+def _skip(source: str, at: int, tag: str, around: set[str], ends: dict[int, int]) -> int:
+    """Where a silent element's content ends: behind its end tag, or else before the end
+    tag of an element around it that is not the whole page. One without either has none.
+
+    ``ends``: of the silent elements met so far, so that no stretch is searched twice.
+    """
+    if tag in RAW:
+        end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
+        return end.end() if end else len(source)
+    if at in ends:
+        return ends[at]
+    inner, place = [(tag, at)], at
+    while m := TOKEN.search(source, place):
+        place = m.end()
+        name = (m["tag"] or "").lower()
+        if not name:
+            continue
+        if m["close"]:
+            if any(x == name for x, _ in inner):
+                while (x := inner.pop())[0] != name:
+                    ends[x[1]] = m.start()
+                ends[x[1]] = place
+                if not inner:
+                    return place
+            elif name in around:
+                return m.start()
+        elif tag == "head" and name not in HEAD:
+            return m.start()
+        elif name in RAW:
+            if not m["attrs"].endswith("/") or not {"svg", "math"} & {x for x, _ in inner}:
+                place = _skip(source, place, name, around, ends)
+        elif name not in VOID and not m["attrs"].endswith("/"):
+            inner.append((name, place))
+    ends.update((x, x) for _, x in inner)
+    return at
 
 
 def odds(block: Block, has_main: bool) -> float:

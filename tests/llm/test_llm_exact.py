@@ -202,6 +202,29 @@ def test_boilerplate():
     assert extract.content(plain)[-1] == "Yes."
 
 
+def test_wrappers_named_like_boilerplate():
+    line = "This is a long line of text that says a lot. "
+    first, second = (line * 3).strip(), (line * 2).strip()
+    aside = "<div class='sidebar'><p>Other things that one might want to read here.</p></div>"
+    for name in ("has-sidebar", "no-comments", "search-results", "story-with-ads", "page-sidebar", "layout social"):
+        for inner in (f"<article><h1>Title</h1><p>{first}</p><p>{second}</p></article>", f"<div><h1>Title</h1><p>{first}</p><p>{second}</p></div>"):
+            page = f"<html><body><nav><a href=x>Home</a></nav><div class='{name}'>{inner}{aside}</div><footer>Bye now.</footer></body></html>"
+            assert extract.content(page) == ["Title", first, second], page
+    comments = f"<div id='comments'><article><p>{first}</p></article></div>"
+    assert extract.content(f"<article><p>{first}</p><p>{second}</p></article>{comments}") == [first, second]
+
+
+def test_silent_elements_end_with_their_parents():
+    line = "This is a long line of text that says a lot. " * 3
+    for odd in ("<svg/>", "<math />", "<svg><svg></svg>x</svg>", "<div><select><option>a</div>", "<p><object data=x>o</p>", "<template><p>t</template>", "<select>"):
+        for end in ("", "</body></html>"):
+            page = f"<html><head><title>T</title></head><body><p>{line}</p>{odd}<p>{line}</p>{end}"
+            assert extract.content(page) == [line.strip()] * 2, page
+    assert extract.content(f"<head><title>T</title><p>{line}</p>") == [line.strip()]
+    assert len(extract.parse("<select>a" * 3000).blocks) == 3000
+    assert extract.content(f"<object><p>{line}</p><object>no</object><p>{line}</p>") == [line.strip()] * 2
+
+
 def test_minimum_cut_is_least():
     rng = random.Random(6)
     for _ in range(200):
