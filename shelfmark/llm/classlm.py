@@ -1,17 +1,18 @@
 """Language-model scores from Brown classes: a class bigram model fitted on the corpus.
 
 Words are classed by exchange: a word moves to the class that gains most likelihood of
-the class bigrams, until few move. Frequent words, those with a share of ``unit_share``
-of all tokens at least, are units of their own; rarer words share a unit with the words
-that end alike, so that every word has a class. A text's probability is the product of
-class transitions, of the units within their classes and of the words within their
-units; all three are smoothed and sum to one over known words and one unknown.
-
-What grows with the corpus stays in tables: word counts, and the rare words of each text,
-which are joined with their counts. Sent to tasks are only the words with a share of
-``lookup_share`` of all tokens, of which there are ``1 / lookup_share`` at most, and the
-model of units and classes. Bigrams of units are counted in tasks and summed by Spark;
-the sums, bounded by the number of units, are what exchange clustering runs on.
+the class bigrams, until few move. This runs on the frequent words, those with a share of
+``unit_share`` of all tokens at least, and on groups of the rarer ones that end alike; it
+lays out the classes. Then every other word of the training texts moves on its own, in
+rounds over the table of word bigrams, to the class that its neighbours favour, and the
+class bigrams are counted anew. Only words that training has not seen go by their ending.
+A text's probability is the product of class transitions and of the words within their
+classes; both are smoothed and sum to one over known words and one unknown an ending.
+
+What grows with the corpus stays in tables: word counts, word bigrams, classes of words,
+and the rare words of each text, which are joined with their counts and classes. Sent to
+tasks are only the words with a share of ``lookup_share`` of all tokens, of which there
+are ``1 / lookup_share`` at most, and the class bigrams.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Rolling, binary, in_tasks, joined, lowered, parts, remainder, word_spans
+from shelfmark.llm.common import Rolling, Store, binary, in_tasks, joined, lowered, parts, remainder, word_spans
 from shelfmark.session import materialize
 
-#: Rare words are units by the hash of so many last bytes, in so many units.
+#: Rare words begin, and unknown words stay, in groups by the hash of so many last bytes.
 ENDING, ENDINGS = 3, 512
 #: Distinct words or bigrams that a task holds before it passes its counts on, and bytes
 #: of text that it counts before it adds them up.
@@ -155,6 +157,32 @@ def unit_bigrams(docs: DataFrame, units: Units) -> DataFrame:
     return counted.groupBy("first", "second").agg(F.sum("n").alias("n"))
 
 
+def word_bigrams(docs: DataFrame, units: Units) -> DataFrame:
+    """first, second, n over the training texts: a frequent word or the end of a text is
+    the number of its unit, any other word its hash."""
+    shared = docs.sparkSession.sparkContext.broadcast(units.words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Units(shared.value)
+        for batch in batches:
+            for part in parts(batch, "text", COUNTED):
+                words, ending, first = hashed_words(binary(part.column("text")))
+                line, _ = known.lines(words, ending, first)
+                rare = (line >= len(known.words)) & (line < known.end)
+                n = np.diff(first)
+                line[rare] = words[rare[np.arange(len(words)) + np.repeat(np.arange(len(n)), n)]]
+                before = known.before(line)
+                order = np.lexsort((line, before))
+                before, line = before[order], line[order]
+                new = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (line[1:] != line[:-1])]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(before[new]), pa.array(line[new]), pa.array(np.diff(np.append(new, len(line))))], names=["first", "second", "n"]
+                )
+
+    counted = in_tasks(docs.where("train").select("text"), run, "first long, second long, n long")
+    return counted.groupBy("first", "second").agg(F.sum("n").alias("n"))
+
+
 def xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
@@ -228,16 +256,85 @@ def exchange(first: np.ndarray, second: np.ndarray, n: np.ndarray, n_units: int,
     return classes, matrix
 
 
+def favoured(codes: pa.ListArray, n: pa.ListArray, matrix: np.ndarray) -> np.ndarray:
+    """The class of each word that makes its neighbours' classes likeliest.
+
+    ``codes``: classes before a word, and those after it plus the number of classes.
+    """
+    k = len(matrix)
+    rows = np.repeat(np.arange(len(codes)), pc.list_value_length(codes).to_numpy(zero_copy_only=False))
+    seen = np.bincount(rows * 2 * k + codes.flatten().to_numpy(), n.flatten().to_numpy(), len(codes) * 2 * k).reshape(-1, 2 * k)
+    into, share = matrix.sum(axis=0) + 1.0, np.log(transitions(matrix))
+    # P(class | before) P(word | class) P(after | class)
+    return np.argmax(seen[:, :k] @ (share - np.log(into)) + seen[:, k:] @ share.T, axis=1)
+
+
+def transitions(matrix: np.ndarray) -> np.ndarray:
+    into, k = matrix.sum(axis=0), len(matrix)
+    prior = (into + 1) / (into.sum() + k)
+    return (matrix + k * prior) / (matrix.sum(axis=1, keepdims=True) + k)
+
+
+def likelihood(matrix: np.ndarray) -> float:
+    return float(xlogx(matrix.astype(float)).sum() - xlogx(matrix.sum(axis=0).astype(float)).sum() - xlogx(matrix.sum(axis=1).astype(float)).sum())
+
+
+def class_rare(rare: DataFrame, pairs: DataFrame, store: Store, units: Units, classes: np.ndarray, matrix: np.ndarray, rounds: int) -> tuple[DataFrame, np.ndarray]:
+    """A class for each rare word of the training texts (hash, n_train, cls), and the bigrams
+    of classes. They begin in their endings' classes; a round in which the likelihood
+    does not grow is the last and is not kept.
+    """
+    spark = rare.sparkSession
+    k, head = len(matrix), len(units.words)
+    fixed = [(i, int(classes[i])) for i in range(head)] + [(units.end, int(classes[units.end]))]
+    fixed = F.broadcast(spark.createDataFrame(fixed, "key long, c int"))
+    by_ending = F.broadcast(spark.createDataFrame([(e, int(classes[head + e])) for e in range(ENDINGS)], "ending int, cls int"))
+    own = store.put(rare.join(by_ending, "ending").select("hash", "n_train", "cls"), "classes")
+    is_rare = lambda c: ~F.col(c).between(0, units.end)
+
+    def classed(table: DataFrame, key: str, c: str, own: DataFrame) -> DataFrame:
+        """With the class ``c`` of the word ``key``; frequent ones are sent, so none is hot."""
+        often = table.where(~is_rare(key)).join(fixed.select(F.col("key").alias(key), F.col("c").alias(c)), key)
+        seldom = table.where(is_rare(key)).join(own.select(F.col("hash").alias(key), F.col("cls").alias(c)), key)
+        return often.unionByName(seldom)
+
+    for _ in range(rounds):
+        sides = pairs.where(is_rare("second")).select(F.col("second").alias("hash"), F.col("first").alias("other"), F.lit(0).alias("side"), "n")
+        sides = sides.unionByName(pairs.where(is_rare("first")).select(F.col("first").alias("hash"), F.col("second").alias("other"), F.lit(k).alias("side"), "n"))
+        seen = classed(sides, "other", "c", own).groupBy("hash", (F.col("side") + F.col("c")).alias("code")).agg(F.sum("n").alias("n"))
+        seen = seen.groupBy("hash").agg(F.collect_list("code").alias("code"), F.collect_list("n").alias("n"))
+        shared = spark.sparkContext.broadcast(matrix)
+
+        def run(batches, shared=shared):
+            for batch in batches:
+                cls = favoured(batch.column("code"), batch.column("n"), shared.value)
+                yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("n_train"), pa.array(cls.astype(np.int32))], names=["hash", "n_train", "cls"])
+
+        moved = store.put(in_tasks(seen.join(own.select("hash", "n_train"), "hash"), run, "hash long, n_train long, cls int"), "classes")
+        before = classed(pairs, "first", "c", moved).groupBy("second", "c").agg(F.sum("n").alias("n"))
+        rows = classed(before, "second", "d", moved).groupBy("c", "d").agg(F.sum("n").alias("n")).collect()  # a row for each pair of classes
+        counted = np.zeros_like(matrix)
+        for r in rows:
+            counted[r["c"], r["d"]] = r["n"]
+        if likelihood(counted) <= likelihood(matrix):
+            break
+        store.drop(own)
+        own, matrix = moved, counted
+    return own, matrix
+
+
 @dataclass
 class Model:
-    """Everything that a task needs to score: bounded by the numbers of units and lookups."""
+    """Everything that a task needs to score: bounded by the numbers of classes and lookups."""
 
     units: np.ndarray  # hashes of frequent words, sorted
     lookup: np.ndarray  # hashes of words with known counts, sorted
     lookup_n: np.ndarray
-    classes: np.ndarray
+    lookup_class: np.ndarray  # -1: unknown to training
+    classes: np.ndarray  # of units, then of endings for unknown words, then of the end
     transition: np.ndarray  # log10, by class and next class
-    emission: np.ndarray  # log10 of a unit within its class; for endings less log10 of N + V + 1
+    emission: np.ndarray  # log10 of a unit, or of an unknown word, within its class
+    within: np.ndarray  # log10 of what a class's words share, by class
     ends: int
     train_tokens: int
     vocabulary: int
@@ -249,8 +346,10 @@ def fit(
     lookup_share: float = 1e-6,
     n_classes: int = 64,
     sweeps: int = 10,
+    rounds: int = 2,
 ) -> tuple[Model, DataFrame]:
-    """The model of the rows with ``train`` set, and the table of word counts."""
+    """The model of the rows with ``train`` set, and the table of word counts, with the class
+    ``cls`` of words that are not units."""
     words = materialize(word_counts(docs), "words")
     total = words.agg(F.coalesce(F.sum("n_all"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0)), F.sum((F.col("n_train") > 0).cast("long"))).first()
     ends = docs.where("train").count()
@@ -259,25 +358,32 @@ def fit(
     often = words.where(F.col("n_all") >= max(1.0, lookup_share * n_all)).toPandas().sort_values("hash")
     units = Units(often.loc[often["n_all"] >= max(1.0, unit_share * n_all), "hash"].to_numpy(np.int64))
     # A row for each pair of units that occurs: (1 / unit_share + ENDINGS + 1) ** 2 at most,
-    # whatever the size of the corpus.
+    # whatever the size of the corpus; they lay out the classes.
     bigrams = unit_bigrams(docs, units).toPandas().sort_values(["first", "second"])
     first, second, n = (bigrams[c].to_numpy(np.int64) for c in ("first", "second", "n"))
     classes, matrix = exchange(first, second, n, units.count, n_classes, sweeps)
     n_unit = np.bincount(second, n, units.count)
-    kinds = np.zeros(ENDINGS)
-    rare = words.where((F.col("n_train") > 0) & (F.col("n_all") < max(1.0, unit_share * n_all)))
-    for r in rare.groupBy("ending").count().collect():  # ENDINGS rows at most
-        kinds[r[0]] = r[1]
-    n_class = np.bincount(classes, n_unit, n_classes)
-    n_members = np.bincount(classes, minlength=n_classes)
-    prior = (n_class + 1) / (n_class.sum() + n_classes)
-    transition = np.log10((matrix + n_classes * prior) / (matrix.sum(axis=1, keepdims=True) + n_classes))
-    emission = np.log10((n_unit + 1) / (n_class + n_members)[classes])
-    emission[len(units.words) : units.end] -= np.log10(n_unit[len(units.words) : units.end] + kinds + 1)
+    store = Store(docs.sparkSession)
+    pairs = store.put(word_bigrams(docs, units), "bigrams")
+    seldom = words.where((F.col("n_train") > 0) & (F.col("n_all") < max(1.0, unit_share * n_all)))
+    rare, matrix = class_rare(seldom, pairs, store, units, classes, matrix, rounds)
+    store.drop(pairs)
+    # A word counts one more than it occurs, and so does one unknown word of each ending.
+    weight = np.bincount(classes, minlength=n_classes) + matrix.sum(axis=0)
+    for r in rare.groupBy("cls").count().collect():  # a row a class
+        weight[r[0]] += r[1]
+    within = np.log10(weight)
+    n_unit[len(units.words) : units.end] = 0
+    classed = store.put(words.join(rare.select("hash", "cls"), "hash", "left"), "classed")
+    of = classed.where((F.col("n_all") >= max(1.0, lookup_share * n_all)) & F.col("cls").isNotNull()).select("hash", "cls").toPandas()  # lookups
+    lookup = often["hash"].to_numpy(np.int64)
+    lookup_class = np.full(len(lookup), -1, np.int64)
+    lookup_class[np.searchsorted(lookup, of["hash"].to_numpy(np.int64))] = of["cls"].to_numpy(np.int64)
     model = Model(
-        units.words, often["hash"].to_numpy(np.int64), often["n_train"].to_numpy(np.int64), classes, transition, emission, ends, n_train, v
+        units.words, lookup, often["n_train"].to_numpy(np.int64), lookup_class, classes, np.log10(transitions(matrix)),
+        np.log10(n_unit + 1) - within[classes], within, ends, n_train, v,
     )
-    return model, words
+    return model, classed
 
 
 def score_batch(texts: pa.LargeBinaryArray, model: Model) -> list:
@@ -287,22 +393,46 @@ def score_batch(texts: pa.LargeBinaryArray, model: Model) -> list:
     words, ending, first = hashed_words(texts)
     line, start = units.lines(words, ending, first)
     owner = np.repeat(np.arange(len(texts)), np.diff(start))
-    c = model.classes[line]
-    total = np.bincount(owner, model.transition[model.classes[units.before(line)], c] + model.emission[line], len(texts))
     word_owner = np.repeat(np.arange(len(texts)), np.diff(first))
     if len(model.lookup):
         at = np.minimum(np.searchsorted(model.lookup, words), len(model.lookup) - 1)
         found = model.lookup[at] == words
         n = np.where(found, model.lookup_n[at], 0)
+        own = np.where(found, model.lookup_class[at], -1)
     else:
-        found, n = np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+        found, n, own = np.zeros(len(words), bool), np.zeros(len(words), np.int64), np.full(len(words), -1)
+    place = np.arange(len(words)) + word_owner
+    c, within, open_ = model.classes[line], model.emission[line], np.zeros(len(line), bool)
+    rare = own >= 0
+    c[place[rare]] = own[rare]
+    within[place[rare]] = np.log10(n[rare] + 1.0) - model.within[own[rare]]
+    open_[place[~found]] = True  # the class is still to be joined
+    end = int(model.classes[units.end])
+    left, open_left = np.concatenate([[end], c[:-1]]), np.concatenate([[False], open_[:-1]])
+    told = np.where(open_ | open_left, 0.0, model.transition[left, c]) + np.where(open_, 0.0, within)
+    total = np.bincount(owner, told, len(texts))
     log_n = np.log10(n + 1.0)
-    shared_unit = units.of(words, ending) >= len(model.units)
-    total += np.bincount(word_owner[shared_unit], log_n[shared_unit], len(texts))
     base = np.bincount(word_owner, log_n, len(texts)) + math.log10(model.ends + 1)
     known = np.bincount(word_owner, n > 0, len(texts)).astype(np.int64) + (model.ends > 0)
     rest = np.concatenate([[0], np.cumsum(~found)])[first].astype(np.int32)
-    return [np.diff(start), known, base, total, pa.ListArray.from_arrays(pa.array(rest), pa.array(words[~found]))]
+    spot = place[~found]  # an end follows each text's last word
+    left, right = np.where(open_left[spot], -1, left[spot]), np.where(open_[spot + 1], -1, c[spot + 1])
+    columns = [spot.astype(np.int32), words[~found], c[spot].astype(np.int32), left.astype(np.int32), right.astype(np.int32)]
+    items = pa.StructArray.from_arrays([pa.array(x) for x in columns], names=["at", "hash", "cls", "before", "after"])
+    return [np.diff(start), known, base, total, pa.ListArray.from_arrays(pa.array(rest), items)]
+
+
+def rest_scores(items: pa.ListArray, model: Model) -> np.ndarray:
+    """What the joined words of each row add: themselves, and the transitions on their sides."""
+    owner = np.repeat(np.arange(len(items)), pc.list_value_length(items).to_numpy(zero_copy_only=False))
+    at, cls, before, after, n = (items.flatten().field(x).to_numpy(zero_copy_only=False) for x in ("at", "cls", "before", "after", "n"))
+    order = np.lexsort((at, owner))
+    owner, cls, before, after, n = owner[order], cls[order], before[order], after[order], n[order]
+    # A joined word before it, if its class was not known, is the row's last one.
+    before = np.where(before < 0, np.concatenate([[0], cls[:-1]]), before)
+    out = model.transition[before, cls] + np.log10(n + 1.0) - model.within[cls]
+    out += np.where(after < 0, 0.0, model.transition[cls, after])
+    return np.bincount(owner, out, len(items))
 
 
 def with_scores(docs: DataFrame, train: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), **options) -> DataFrame:
@@ -325,17 +455,30 @@ def with_scores(docs: DataFrame, train: str, text: str = "text", keep: tuple[str
                 arrays = [a if isinstance(a, pa.Array) else pa.array(a) for a in score_batch(binary(part.column("text")), shared.value)]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + arrays, names=[*keep, *columns])
 
-    schema = ", ".join([*kept, "n_tokens long, __known long, __base double, __class double, __rest array<long>"])
+    schema = ", ".join([*kept, "n_tokens long, __known long, __base double, __class double, __rest array<struct<at:int,hash:long,cls:int,before:int,after:int>>"])
     # Written, so that the rows' numbers hold for both readers.
     scored = materialize(
         in_tasks(docs.select(*keep, "text"), run, schema).withColumn("__row", F.monotonically_increasing_id()), "scored"
     )
-    rare = (
-        scored.select("__row", F.explode("__rest").alias("hash"))
-        .join(words.where("n_train > 0").select("hash", "n_train"), "hash")
+    known_words = words.where("n_train > 0 and cls is not null").select("hash", "n_train", F.col("cls").alias("__cls"))
+    n = F.coalesce("n_train", F.lit(0))
+    rest = (
+        scored.select("__row", F.inline("__rest"))
+        .join(known_words, "hash", "left")
         .groupBy("__row")
-        .agg(F.sum(F.log10(F.col("n_train") + 1.0)).alias("__more"), F.count("*").alias("__more_known"))
+        .agg(
+            F.sum(F.log10(n + 1.0)).alias("__more"),
+            F.count("n_train").alias("__more_known"),
+            F.collect_list(F.struct("at", F.coalesce("__cls", "cls").alias("cls"), "before", "after", n.alias("n"))).alias("__items"),
+        )
     )
+
+    def add(batches):
+        for batch in batches:
+            more = pa.array(rest_scores(batch.column("__items"), shared.value))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("__row", "__more", "__more_known")), more], names=["__row", "__more", "__more_known", "__more_class"])
+
+    rare = in_tasks(rest, add, "__row long, __more double, __more_known long, __more_class double")
     size = math.log10(model.train_tokens + model.vocabulary + 1)
     more, known = F.coalesce("__more", F.lit(0.0)), F.coalesce("__more_known", F.lit(0))
     return scored.drop("__rest").join(rare, "__row", "left").select(
@@ -344,7 +487,7 @@ def with_scores(docs: DataFrame, train: str, text: str = "text", keep: tuple[str
         (F.col("__known") + known).alias("n_known"),
         F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
         (F.col("__base") + more - F.col("n_tokens") * size).alias("base_score"),
-        (F.col("__class") + more).alias("score"),
+        (F.col("__class") + F.coalesce("__more_class", F.lit(0.0))).alias("score"),
     )
 
 

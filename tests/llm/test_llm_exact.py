@@ -279,6 +279,22 @@ def test_probabilities_sum_to_one(spark):
         assert total == pytest.approx(1.0)
 
 
+def test_rare_words_go_with_their_neighbours(spark):
+    rng = random.Random(8)
+    texts = [" ".join(f"{'xy'[k % 2]}{rng.randrange(3)}" if rng.random() < 0.7 else f"{'pq'[k % 2]}{rng.randrange(9000)}end" for k in range(40)) for _ in range(1500)]
+    docs = frame(spark, texts).withColumn("train", F.lit(True))
+    model, counted = classlm.fit(docs, unit_share=1e-2, lookup_share=1e-3, n_classes=4)
+    rows = {r["hash"]: r["cls"] for r in counted.collect()}
+    hashes = {w: int(classlm.hashed_words(binary(pa.array([w])))[0][0]) for w in set(" ".join(texts).split()) if w[0] in "pq"}
+    assert len(hashes) > 5000 and all(rows[h] is not None for h in hashes.values())
+    by = collections.Counter((w[0], rows[h]) for w, h in hashes.items())
+    (p, _), (q, _) = (collections.Counter({c: n for (x, c), n in by.items() if x == y}).most_common(1)[0] for y in "pq")
+    assert p != q and by["p", p] + by["q", q] > 0.9 * len(hashes)  # all of them end alike
+    one = [r.score for r in classlm.with_scores(docs, "train", unit_share=1e-2, lookup_share=1e-3, n_classes=4).orderBy("doc_id").collect()]
+    all_ = [r.score for r in classlm.with_scores(docs, "train", unit_share=1e-2, lookup_share=1e-9, n_classes=4).orderBy("doc_id").collect()]
+    assert one == pytest.approx(all_)  # joined or looked up
+
+
 def test_exchange_gains_what_it_says():
     rng = np.random.default_rng(8)
     units, classes = 30, 4
