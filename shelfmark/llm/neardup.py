@@ -474,8 +474,11 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     stay = groups.where("first").select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"))
     named = docs.withColumn("__doc", F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63)))).withColumn("__mark", F.coalesce(F.hash(text), F.lit(0)))
     out = named.join(sendable(stay), ["__doc", "__mark"], "left_semi")
-    if groups.select("doc", "mark").distinct().count() < groups.count():
-        out = out.dropDuplicates(["__doc", "__mark"])  # rows equal in both are repeated
+    some = groups.where("n_shingles > 0").select("doc", "mark")
+    if some.distinct().count() < some.count():
+        # Rows equal in both are repeated; those without words are linked with nothing.
+        blank = F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+", "")) == 0
+        out = out.where(~blank).dropDuplicates(["__doc", "__mark"]).unionByName(out.where(blank))
     return out.drop("__doc", "__mark")
 
 

@@ -104,6 +104,12 @@ def test_groups(docs):
         )
 
 
+def test_rows_without_words_all_stay(spark):
+    rows = [(1, ""), (1, ""), (1, None), (None, " \t"), (None, " \t"), (None, None), (None, None), (2, "a text here"), (2, "a text here")]
+    out = neardup.one_of_each(edge_docs(spark, rows)).select("doc_id", "text").collect()
+    assert sorted(map(str, out)) == sorted(str(r) for r in edge_docs(spark, rows[:-1]).select("doc_id", "text").collect())
+
+
 def test_class_scores(docs):
     held = docs.withColumn("train", F.col("doc_id").isNotNull())
     rows = classlm.with_scores(held, "train", keep=("doc_id", "lang")).collect()
