@@ -422,7 +422,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     (true for one row of each group). A text of fewer words is one shingle. Null and
     empty texts and texts without words have no shingles and are linked with nothing.
     A null key counts as the least. Links are confirmed on full sets; two documents at
-    the threshold share no bucket in about 3 of a million cases.
+    the threshold share no bucket in about 3 of a million cases, and of those in different
+    families about one in ten thousand, by estimate, is lost because its sketches say less
+    than the pair cut; groups with several links hardly notice either.
     """
     store = Store(docs.sparkSession)
     nothing = -(1 << 63)
