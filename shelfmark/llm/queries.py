@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import classlm, decontaminate, extract, fingerprint, licenses, neardup, pieces, suffixdedup, tokencount, toxicity
+from shelfmark.llm import (
+    alignment,
+    classlm,
+    decontaminate,
+    extract,
+    fingerprint,
+    language,
+    licenses,
+    neardup,
+    pieces,
+    spelling,
+    suffixdedup,
+    tokencount,
+    toxicity,
+)
 from shelfmark.llm.common import table
 
 
@@ -46,6 +60,18 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark, sf_dir):
+    return alignment.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_language_id(spark, sf_dir):
+    return language.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -59,7 +85,14 @@ QUERIES = {
         op8_fingerprints,
         op9_token_counts,
         op10_decontamination,
+        op11_spelling_variants,
+        op12_token_alignment,
+        op13_language_id,
     )
 }
 
-ORACLE = {"op1_near_duplicates": neardup.SQL, "op10_decontamination": decontaminate.SQL}
+ORACLE = {
+    "op1_near_duplicates": neardup.SQL,
+    "op10_decontamination": decontaminate.SQL,
+    "op11_spelling_variants": spelling.SQL,
+}
