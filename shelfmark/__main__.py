@@ -66,10 +66,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = build_session(master=args.master)
     if args.job == "merge":
-        counts = jobs.merge_collection(spark, args.root, args.out, args.splits, lines_out=args.lines_out)
-        counts.orderBy("split").show(truncate=False)
-        for report in jobs.merge_report(spark, args.root, args.splits):
-            report.show(1000, truncate=False)
+        for report in jobs.merge_with_report(spark, args.root, args.out, args.splits, lines_out=args.lines_out):
+            report.orderBy("split").show(1000, truncate=False)
     elif args.job == "embed-flattened":
         for table in jobs.embed_flattened(spark, args.input, args.out, encoder(args.encoder)):
             matrix_shape(table).show()

@@ -31,6 +31,9 @@ TOP_K = 5
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 64 << 20
 
+# Groups in which the best rows of a corpus' tasks meet first.
+TASK_GROUPS = 64
+
 _HITS = "query_id long, row_id long, sim double, rank int"
 
 
@@ -219,8 +222,8 @@ def knn(
 
     Both sides are counted first. A small corpus is broadcast, and every query is
     answered where it lies, with no shuffle. Few queries are broadcast, and each
-    task of the corpus hands on its best ``k`` for Spark to rank; the corpus is read
-    by a task per core, so that what is handed on does not grow with its files.
+    task of the corpus hands on its best ``k``, which Spark ranks in groups of tasks
+    and then as a whole.
     Where neither fits, both are cut into blocks by a hash of ``row_id`` and every
     pair of blocks meets in one task, which again hands on ``k`` rows per query. Both
     sides are read more than once: store what an encoder made before searching it.
@@ -274,9 +277,13 @@ def _knn_broadcast_queries(queries: DataFrame, corpus: DataFrame, k: int, keys:
         blocks = (_block(b.column(0), b.column(1)) for b in batches if b.num_rows)
         yield from _search(shared.value, blocks, k)
 
-    cores = corpus.sparkSession.sparkContext.defaultParallelism
-    schema = _hits_schema(queries, BY if keys else None)
-    return corpus.select("row_id", "embedding").coalesce(cores).mapInArrow(search, schema)
+    found = corpus.select("row_id", "embedding").mapInArrow(search, _hits_schema(queries, BY if keys else None))
+    # Tasks stay as small as the corpus was cut, so that a lost one is soon done again; what
+    # they hand on meets in groups of tasks before it meets as a whole.
+    group = F.pmod(F.spark_partition_id(), F.lit(TASK_GROUPS))
+    order = Window.partitionBy(*keys, "query_id", "__group").orderBy(*best_first())
+    best = found.withColumn("__group", group).withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= k)
+    return best.drop("__group", "__place")
 
 
 def _knn_cells(

@@ -221,3 +221,24 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate_once(rows, value=F.expr(document)).selectExpr(
         "key AS file", "if(y >= 2000, 'dev', 'train') AS split", "value"
     )
+
+
+def supplier_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON-LD document per supplier, the nation as its entity, with the folders that
+    it belongs in: split by account, type by nation, language by region."""
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
+    rows = table(spark, sf_dir, "supplier").join(F.broadcast(nation), "s_nationkey")  # 25 nations
+    nat = "concat('nat:', s_nationkey)"
+    entity = _object(_member("@id", _quoted(nat)), _member("sameAs", _quoted("n_name")))
+    record = _object(
+        _member("@id", _quoted("concat('https://example.org/id/SUP%3A', s_suppkey)")),
+        _member("@type", "'\"bibo:Book\"'"),
+        _member("title", _quoted("s_name")),
+        _member("dcterms:subject", _ref(nat)),
+    )
+    return evaluate_once(rows, value=F.expr(_object(_member("@graph", _list(entity, record))))).selectExpr(
+        "if(s_acctbal < 0, 'dev', 'train') AS split",
+        "if(s_nationkey % 2 = 0, 'Book', 'Report') AS doc_type",
+        "if(n_regionkey = 3, 'de', 'en') AS dir_lang",
+        "value",
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.text import label_with_definition
 from shelfmark.operators import graph
 from shelfmark.operators.encode import Encoder, encode
-from shelfmark.operators.merge import count_by, malformed, merge
+from shelfmark.operators.merge import Tally, count_by, malformed, merge_watched
 from shelfmark.operators.numbering import number_lines, number_rows
 from shelfmark.operators.records import (
     FAILFAST,
@@ -21,13 +22,14 @@ from shelfmark.operators.records import (
     subject_texts,
 )
 from shelfmark.operators.similarity import TOP_K, knn, top_k, with_records
-from shelfmark.session import materialize, scratch
+from shelfmark.session import materialize, scratch, swap_in
 from shelfmark.sources.jsonl import (
     DOC_TYPES,
     LANGS,
     missing_inputs,
     read_collection,
     read_lines,
+    splits_of,
 )
 from shelfmark.sources.jsonld import read_documents
 from shelfmark.sources.tables import (
@@ -57,12 +59,41 @@ def merge_collection(
     named. ``lines_out`` also writes the records as ordered text, one folder per
     split, which takes a range shuffle.
     """
+    return merge_with_report(spark, root, out, splits, doc_types, langs, lines_out).records
+
+
+class MergeReport(NamedTuple):
+    """Records per split, skipped lines per input and reason, and inputs without a file."""
+
+    records: DataFrame
+    skipped: DataFrame
+    missing: DataFrame
+
+
+def merge_with_report(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    splits: Sequence[str] | None = None,
+    doc_types: Sequence[str] = DOC_TYPES,
+    langs: Sequence[str] = LANGS,
+    lines_out: str | None = None,
+) -> MergeReport:
+    """:func:`merge_collection`, which also tells what it left out. All counts are taken by
+    the job that writes the table; what is missing is known from the file listing."""
+    splits = splits_of(spark, root, doc_types, langs) if splits is None else list(splits)
+    tally = Tally(splits, doc_types, langs)
     lines = read_collection(spark, root, doc_types, langs, splits)
-    write_merged_table(merge(lines), out)
-    merged = merged_table(spark, out)
+    write_merged_table(merge_watched(lines, tally), out)
+    counts = tally.counts(spark)  # a row per input and verdict, on the driver already
     if lines_out:
-        write_merged_lines(merged, lines_out)
-    return count_by(merged, "split")
+        write_merged_lines(merged_table(spark, out), lines_out)
+    kept, good = counts.groupBy("split"), F.col("verdict") == "ok"
+    return MergeReport(
+        kept.agg(F.sum(F.when(good, F.col("n")).otherwise(0)).alias("n_records")).where("n_records > 0"),
+        counts.where(~good).select("split", "doc_type", "lang", F.col("verdict").alias("reason"), F.col("n").alias("n_skipped")),
+        missing_inputs(spark, root, splits, doc_types, langs),
+    )
 
 
 def merge_report(
@@ -156,7 +187,7 @@ def write_suggestions(spark: SparkSession, embedded: str, out: str, k: int = TOP
     split, query_id, rank, sim, subject id and text."""
     papers, subjects = read_embeddings(spark, f"{embedded}/papers", by="split"), read_embeddings(spark, f"{embedded}/subjects")
     named = with_records(suggest_subjects(papers, subjects, k), subjects, "id", "text")
-    named.select("split", "query_id", "rank", "sim", "id", "text").write.mode("overwrite").parquet(out)
+    swap_in(spark, out, named.select("split", "query_id", "rank", "sim", "id", "text").write.parquet)
     return spark.read.parquet(out)
 
 

@@ -154,6 +154,9 @@ ORACLE: dict[str, str] = {
     "round(CAST(CAST(e[pos + 1] AS FLOAT) AS DOUBLE), 6) AS v FROM unit, range(64) p(pos)",
     "embedding_shape": "SELECT count(*) AS n_rows, CAST(max(len(embedding)) AS INTEGER) AS dim FROM embeddings",
     "batch_knn": f"WITH {_TOP} SELECT query_id, row_id, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank FROM top",
+    "batch_knn_pruned": f"WITH {_TOP} SELECT query_id, row_id, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank FROM top",
+    "graph_knn_recall": "SELECT least(count(*), 5) * count(*) AS n_exact, 0::BIGINT AS n_inexact, true AS finds_most, "
+    "true AS scores_few FROM embeddings",
     "batch_knn_by_split": f"WITH {_TOP} SELECT query_id % 4 AS split, query_id // 4 AS query_id, row_id, round(sim, 6) AS sim, "
     "CAST(rank AS INTEGER) AS rank FROM top",
     "knn_with_text": f"WITH {_FIRST} SELECT row_id, query_id, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank, lang, text "
@@ -184,6 +187,12 @@ ORACLE: dict[str, str] = {
     "round(CAST(v AS DOUBLE), 6) AS v FROM cell",
     "embedding_table": f"WITH {_SUBJECTS} SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS row_id, id, text, "
     "64 AS dim, CASE WHEN trim(text) = '' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS norm FROM subject",
+    "document_files": "SELECT CASE WHEN s_acctbal < 0 THEN 'dev' ELSE 'train' END AS split, "
+    "CASE WHEN s_nationkey % 2 = 0 THEN 'Book' ELSE 'Report' END AS doc_type, "
+    "CASE WHEN n_regionkey = 3 THEN 'de' ELSE 'en' END AS dir_lang, CAST(p AS INTEGER) AS position, "
+    "CASE p WHEN 0 THEN 'nat:' || s_nationkey ELSE 'https://example.org/id/SUP%3A' || s_suppkey END AS node_id, "
+    "CASE p WHEN 1 THEN 'bibo:Book' END AS node_type "
+    "FROM supplier JOIN nation ON s_nationkey = n_nationkey, range(2) r(p)",
     "graph_nodes": f"WITH {_ORDERS} SELECT o_orderkey, split, CAST(p AS INTEGER) AS position, "
     "CASE p WHEN 0 THEN cust WHEN 1 THEN nat WHEN 2 THEN seg ELSE 'https://example.org/id/ORD%3A' || o_orderkey END "
     "AS node_id, CASE WHEN p = 3 THEN CASE WHEN status = 'P' THEN 'bibo:Report' ELSE 'bibo:Book' END END AS node_type "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import json as J
@@ -13,6 +13,7 @@ from shelfmark.functions.names import expand_iri
 from shelfmark.functions.text import fixed4
 from shelfmark.operators import audit, graph
 from shelfmark.operators import merge as M
+from shelfmark.operators import neighbours, pruned
 from shelfmark.operators import records as R
 from shelfmark.operators import similarity as S
 from shelfmark.operators.encode import encode, hashed_words
@@ -21,7 +22,7 @@ from shelfmark.operators.once import evaluate_once
 from shelfmark.plans import inputs as I
 from shelfmark.plans.jobs import suggest_subjects
 from shelfmark.session import fresh_path, materialize, spread
-from shelfmark.sources import jsonl, tables
+from shelfmark.sources import jsonl, jsonld, tables
 
 DIM = 64
 
@@ -87,6 +88,30 @@ def approximate_knn_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.recall(found, S.knn(vectors, vectors)).withColumn("scored_share", F.lit(share))
 
 
+def batch_knn_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact search by cells, however many of them remain."""
+    vectors = I.embeddings(spark, sf_dir)
+    return pruned.pruned_knn(vectors, vectors, worthwhile=1.0).withColumn("sim", _six("sim"))
+
+
+def graph_knn_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the neighbour graph finds of the exact neighbours, how many pairs it scores, and
+    whether each similarity is the exact one."""
+    vectors = I.embeddings(spark, sf_dir)
+    found = materialize(neighbours.graph_knn(vectors), "found")
+    exact = S.knn(vectors, vectors, k=max(vectors.count(), 1)).select("query_id", "row_id", F.col("sim").alias("exact"))
+    checked = exact.join(found, ["query_id", "row_id"], "left")
+    order = F.row_number().over(Window.partitionBy("query_id").orderBy(*S.best_first("exact")))
+    nearest = checked.withColumn("place", order).agg(
+        F.count_if(F.col("place") <= S.TOP_K).alias("n_exact"),
+        F.count_if((F.col("place") <= S.TOP_K) & F.col("sim").isNotNull()).alias("n_found"),
+        F.count_if(F.col("sim") != F.col("exact")).alias("n_inexact"),
+        F.countDistinct("query_id").alias("n_rows"),
+    )
+    recall, share = F.try_divide("n_found", "n_exact"), F.try_divide(F.lit(neighbours.DEGREE), "n_rows")
+    return nearest.select("n_exact", "n_inexact", (recall >= 0.9).alias("finds_most"), (share < 0.3).alias("scores_few"))
+
+
 # --- records ----------------------------------------------------------------
 
 
@@ -115,9 +140,17 @@ def strict_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("event_id", verdict.alias("verdict"), J.is_json("line").alias("is_json"))
 
 
+def _tallied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by what became of them, counted by the job that writes the merged table."""
+    tally = M.Tally(["dev", "train"], I.SOURCES, I.SOURCE_LANGS)
+    lines = jsonl.with_merge_order(jsonl.non_blank(I.document_lines(spark, sf_dir)), I.SOURCES, I.SOURCE_LANGS)
+    materialize(M.merge_watched(lines, tally), "merged")
+    return tally.counts(spark)
+
+
 def skipped_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = jsonl.non_blank(I.document_lines(spark, sf_dir))
-    return M.count_by(M.malformed(lines), "split", "doc_type", "lang", name="n_skipped")
+    skipped = _tallied(spark, sf_dir).where("verdict <> 'ok'")
+    return skipped.groupBy("split", "doc_type", "lang").agg(F.sum("n").alias("n_skipped"))
 
 
 def truthy_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +176,7 @@ def merge_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.count_by(_merged(spark, sf_dir), "split")
+    return _tallied(spark, sf_dir).where("verdict = 'ok'").groupBy("split").agg(F.sum("n").alias("n_records"))
 
 
 def merge_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,6 +236,15 @@ def embedding_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- graph ------------------------------------------------------------------
 
 
+def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON-LD document for each supplier, each in a file of its own, read as a tree."""
+    path = fresh_path(spark, "tree")
+    jsonld.write_documents(I.supplier_documents(spark, sf_dir), path)
+    docs = jsonld.read_documents(spark, path, "*.txt", splits=["train", "dev"])
+    nodes = graph.nodes(graph.parse_documents(docs))
+    return nodes.select("split", "doc_type", "dir_lang", "position", "node_id", "node_type")
+
+
 def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.nodes(graph.parse_documents(I.order_documents(spark, sf_dir)))
 
@@ -315,6 +357,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         normalized_vectors,
         embedding_shape,
         batch_knn,
+        batch_knn_pruned,
+        graph_knn_recall,
         batch_knn_by_split,
         knn_with_text,
         approximate_knn_recall,
@@ -331,6 +375,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         merged_text_files,
         hash_embed,
         embedding_table,
+        document_files,
         graph_nodes,
         graph_edges,
         graph_labels,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -117,6 +117,38 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def swap_in(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replace what is at ``path`` by what ``write`` puts into the folder that it is given.
+
+    The new table is written beside the old one and takes its place by renaming when it is
+    whole, so a job that fails or is lost leaves the old table as it was. If the driver is
+    lost between the two renames, the old table is at ``path`` with ``.replaced`` behind it
+    and the next call puts it back first. Readers of the old files fail once they are gone.
+    """
+    path = path.rstrip("/")
+    place, old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.replaced", f"{path}.staged-{uuid.uuid4().hex}"))
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def rename(a, b) -> None:
+        if not system.rename(a, b):
+            raise OSError(f"cannot rename {a} to {b}")
+
+    if system.exists(old) and not system.exists(place):
+        rename(old, place)
+    try:
+        write(new.toString())
+    except BaseException:
+        system.delete(new, True)
+        raise
+    system.delete(old, True)
+    if system.exists(place):
+        rename(place, old)
+    elif place.getParent() is not None:
+        system.mkdirs(place.getParent())
+    rename(new, place)
+    system.delete(old, True)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Size of the files and literal rows a frame is read from, as Spark knows it
     without reading them."""

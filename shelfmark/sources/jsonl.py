@@ -109,6 +109,15 @@ def read_collection(
     return with_merge_order(tagged, doc_types, langs)
 
 
+def splits_of(
+    spark: SparkSession, root: str, doc_types: Sequence[str] = DOC_TYPES, langs: Sequence[str] = LANGS
+) -> list[str]:
+    """Folders under ``root`` that hold a file of the collection, by listing only."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_collection_paths(root, None, doc_types, langs))
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted({status.getPath().getParent().getName() for status in found})
+
+
 def missing_inputs(
     spark: SparkSession,
     root: str,

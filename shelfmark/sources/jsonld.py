@@ -2,24 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.session import swap_in
+
 
-def read_documents(spark: SparkSession, root: str, pattern: str = "*.jsonld") -> DataFrame:
+def read_documents(
+    spark: SparkSession,
+    root: str,
+    pattern: str = "*.jsonld",
+    splits: Sequence[str] | None = None,
+    doc_types: Sequence[str] | None = None,
+    langs: Sequence[str] | None = None,
+) -> DataFrame:
     """Files under ``{root}/{split}/{type}/{lang}/`` as
     ``(file, split, doc_type, dir_lang, value)``, the whole text in ``value``.
 
-    Millions of small files are packed into few tasks only when the session
-    counts them as small; ``build_session`` sets that.
+    Folders may also be named as Spark writes them, ``split=train``. Where splits, types
+    or languages are named, no other folder is listed. Millions of small files are packed
+    into few tasks only when the session counts them as small; ``build_session`` sets that.
     """
+    folders = "/".join("*" if names is None else "{%s}" % ",".join(f"{n},*={n}" for n in names) for names in (splits, doc_types, langs))
+    named = splits is not None or doc_types is not None or langs is not None
     docs = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
-        .text(root, wholetext=True)
+        .text(f"{root.rstrip('/')}/{folders}" if named else root, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file"), "value")
     )
-    parts = F.split("file", "/")
+    parts = F.transform(F.split("file", "/"), lambda part: F.regexp_replace(part, "^[^=]*=", ""))
     return docs.select(
         "file",
         F.element_at(parts, -4).alias("split"),
@@ -27,3 +41,11 @@ def read_documents(spark: SparkSession, root: str, pattern: str = "*.jsonld") ->
         F.element_at(parts, -2).alias("dir_lang"),
         "value",
     )
+
+
+def write_documents(docs: DataFrame, path: str) -> None:
+    """Write ``(split, doc_type, dir_lang, value)`` as one file for each row, in the folders
+    that :func:`read_documents` reads with ``pattern="*.txt"``. Rows that share folders
+    stay in the tasks that they are in, so no folder is one task's."""
+    writer = docs.select("split", "doc_type", "dir_lang", "value").write.option("maxRecordsPerFile", 1)
+    swap_in(docs.sparkSession, path, writer.partitionBy("split", "doc_type", "dir_lang").text)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.json import canonical_json
-from shelfmark.session import range_partitions
+from shelfmark.session import range_partitions, swap_in
 from shelfmark.sources.jsonl import LINE_KEY
 
 MERGE_KEY = ("split", "doc_type_ord", "lang_ord", *LINE_KEY)
@@ -54,7 +54,7 @@ def write_merged_lines(merged: DataFrame, path: str, partitions: int | None = No
     if n > 99_999:
         lines = lines.withColumn("hundred_thousand", F.lpad(F.floor(F.col("part") / 100_000), 8, "0"))
         folders.append("hundred_thousand")
-    lines.drop("part").write.mode("overwrite").partitionBy(*folders).text(path)
+    swap_in(merged.sparkSession, path, lambda to: lines.drop("part").write.partitionBy(*folders).text(to))
 
 
 def write_merged_table(merged: DataFrame, path: str) -> None:
@@ -65,9 +65,8 @@ def write_merged_table(merged: DataFrame, path: str) -> None:
     order; merge order is the columns of ``MERGE_KEY``.
     """
     folders = ["split", "doc_type", "lang"]
-    merged.sortWithinPartitions(*folders, *LINE_KEY).write.mode("overwrite").partitionBy(
-        *folders
-    ).parquet(path)
+    sorted_lines = merged.sortWithinPartitions(*folders, *LINE_KEY)
+    swap_in(merged.sparkSession, path, lambda to: sorted_lines.write.partitionBy(*folders).parquet(to))
 
 
 def merged_table(spark: SparkSession, path: str) -> DataFrame:
@@ -87,8 +86,8 @@ def write_embeddings(df: DataFrame, path: str, by: str | None = None) -> None:
     if "text" not in df.columns:
         df = df.withColumn("text", F.lit(None).cast("string"))
     columns = [F.col(f.name).cast(f.dataType) for f in EMBEDDINGS]
-    writer = df.select(*columns, *([by] if by else [])).write.mode("overwrite")
-    (writer.partitionBy(by) if by else writer).parquet(path)
+    writer = df.select(*columns, *([by] if by else [])).write
+    swap_in(df.sparkSession, path, (writer.partitionBy(by) if by else writer).parquet)
 
 
 def read_embeddings(spark: SparkSession, path: str, by: str | None = None) -> DataFrame:
