@@ -177,6 +177,9 @@ Block = tuple[Ids, np.ndarray]  # ids, unit vectors
 def _search(queries: Block, corpus: Iterator[Block], k: int) -> Iterator[pa.RecordBatch]:
     best = _Best(*queries, k)
     for row_ids, units in corpus:
+        # A batch of nulls only does not know how long its vectors are.
+        dim = max(best.units.shape[1], units.shape[1])
+        best.units, units = _as_long(best.units, dim), _as_long(units, dim)
         order = np.argsort(row_ids, kind="stable")
         row_ids, units = row_ids[order], units[order]
         # A short first piece sets a bar that most of the rest fails to reach.
@@ -186,6 +189,10 @@ def _search(queries: Block, corpus: Iterator[Block], k: int) -> Iterator[pa.Reco
     yield from best.batches()
 
 
+def _as_long(units: np.ndarray, dim: int) -> np.ndarray:
+    return units if units.shape[1] == dim else np.full((len(units), dim), np.nan)
+
+
 def _block(ids: pa.Array, vectors: pa.Array, by: pa.Array | None = None) -> Block:
     if by is not None:
         return pa.StructArray.from_arrays([by, ids], ["by", "row_id"]), unit_rows(as_matrix(vectors))
