@@ -9,9 +9,10 @@ whole corpus; a document's links are then rated by these counts: pairs that hold
 of all links, which are few by arithmetic, are sent to all tasks, the others are shuffled,
 where none is frequent any more.
 
-A long text is encoded in pieces, cut before a space between a word and a letter, where both
-tokenizers begin a token whatever stands around; pieces follow each other in counts, hash and
-pairs, so that memory is that of a megabyte of text. A text that is null or empty, or whose
+Texts are cut before a space between a word and a letter, where both tokenizers begin a token
+whatever stands around. A stretch between two cuts is encoded once while a worker remembers it.
+A long text is aligned in pieces that follow each other in counts, hash and pairs, so that
+memory is that of a megabyte of text. A text that is null or empty, or whose
 tokens' bytes are not its own, has no tokens: counts of zero, no pairs, an empty hash.
 Repeated rows count as often as they stand; keys are only passed on.
 """
@@ -22,6 +23,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -40,8 +42,18 @@ SECTION_BYTES = 1 << 19
 # A pair with this share of all links is sent to all tasks; there are no more than its inverse.
 FREQUENT = 1 << 17
 
-# Where every pre-tokenizer here begins a word, and no piece of letters reaches across.
-_CUT = re.compile("(?<=[A-Za-z0-9.,]) (?=[A-Za-z])")
+# Stretches that a worker remembers the ids of, and letters of such a stretch at most.
+KEPT = 400_000
+KEPT_LETTERS = 64
+
+# Where both tokenizers begin a token whatever stands around, and no piece reaches across.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_CUT = re.compile(f"(?<=[{_LETTERS}0-9.,]) (?=[{_LETTERS}])")
+_FIRST = frozenset(re.findall(f"[{_LETTERS}]", "".join(map(chr, range(256)))))
+_LAST = _FIRST | frozenset("0123456789.,")
+
+# Stretches between cuts that are encoded as one text.
+TOGETHER = 500
 
 _PAIR = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int32())])
 _GROUP = pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])
@@ -94,24 +106,78 @@ class _Side:
             self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
 
-    def tokens(self, texts: list[str], want: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
-        """Ids of all texts, how many each has, and whose bytes are as wanted."""
-        ids = self.encode(texts)
-        same = [b"".join(map(self.bytes.__getitem__, own)) == w for own, w in zip(ids, want, strict=True)]
-        counts = np.array([len(own) for own in ids], np.int64)
-        return np.fromiter((i for own in ids for i in own), np.int32, int(counts.sum())), counts, same
+    def tokens(self, texts: list[str]) -> list[bytes | None]:
+        """The ids of each text as bytes of int32, or None if their bytes are not a space and the text."""
+        out = []
+        for text, ids in zip(texts, self.encode(texts), strict=True):
+            same = b"".join(map(self.bytes.__getitem__, ids)) == b" " + text.encode()
+            out.append(array("i", ids).tobytes() if same else None)
+        return out
+
+    def tokens_between_cuts(self, stretches: list[str]) -> list[bytes | None]:
+        """The same for stretches that a cut can stand before and behind: encoded as one text,
+        whose tokens are dealt out by their ends."""
+        ids = array("i", self.encode([" ".join(stretches)])[0]).tobytes()
+        written = [b" " + s.encode() for s in stretches]
+        numbers = np.frombuffer(ids, np.int32)
+        if b"".join(map(self.bytes.__getitem__, numbers.tolist())) != b"".join(written):
+            return self.tokens(stretches)
+        ends = np.cumsum(self.lengths[numbers])
+        stops = (4 * np.searchsorted(ends, np.cumsum([len(w) for w in written]), side="right")).tolist()
+        return [ids[lo:hi] for lo, hi in zip([0, *stops], stops)]
 
 
 class _Pair:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = _Side(path_a), _Side(path_b)
+        self.cuts = self.a.cuts and self.b.cuts
         # What follows an id in a document's written groups: ',' in a group, '|' or ';' at its end.
-        self.written = [[f"{i}{c}" for i in range(len(side.bytes)) for c in ends] for side, ends in ((self.a, ",|"), (self.b, ",;"))]
+        self.written = [f"{i}{c}" for side, ends in ((self.a, ",|"), (self.b, ",;")) for i in range(len(side.bytes)) for c in ends]
+        self.kept: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
+
+    def tokens(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and B of all pieces, how many each has, and whether their bytes are its
+        own; a piece of which they are not has none."""
+        split = [_CUT.split(p) if self.cuts else [p] for p in pieces]
+        told = self._look_up({stretch for own in split for stretch in own})
+        both = [[told[stretch] for stretch in own] for own in split]
+        sound = [None not in own for own in both]
+        sides = [[b"".join([x[k] for x in own]) if ok else b"" for own, ok in zip(both, sound, strict=True)] for k in (0, 1)]
+        ids = [np.frombuffer(b"".join(side), np.int32) for side in sides]
+        counts = [np.array([len(x) // 4 for x in side], np.int64) for side in sides]
+        return ids[0], counts[0], ids[1], counts[1], np.array(sound, bool)
+
+    def _look_up(self, stretches: set[str]) -> dict[str, tuple | None]:
+        """What is kept is used again or encoded; of two generations the older one goes."""
+        told, new = {}, []
+        for stretch in stretches:
+            if stretch in self.kept:
+                told[stretch] = self.kept[stretch]
+            elif stretch in self.older:
+                told[stretch] = self.kept[stretch] = self.older[stretch]
+            else:
+                new.append(stretch)
+        inner, outer = [], []
+        for stretch in new:
+            whole = self.cuts and stretch[:1] in _FIRST and stretch[-1:] in _LAST
+            (inner if whole else outer).append(stretch)
+        found = [(outer, self.a.tokens, self.b.tokens)]
+        for i in range(0, len(inner), TOGETHER):
+            found.append((inner[i : i + TOGETHER], self.a.tokens_between_cuts, self.b.tokens_between_cuts))
+        for some, of_a, of_b in found:
+            for stretch, a, b in zip(some, of_a(some), of_b(some), strict=True):
+                told[stretch] = None if a is None or b is None else (a, b)
+                if len(stretch) <= KEPT_LETTERS:
+                    self.kept[stretch] = told[stretch]
+        if len(self.kept) > KEPT:
+            self.kept, self.older = {}, self.kept
+        return told
 
     def pieces(self, text: str) -> Iterator[str]:
         start = 0
         while start < len(text):
-            cut = _CUT.search(text, start + PIECE) if self.a.cuts and self.b.cuts else None
+            cut = _CUT.search(text, start + PIECE) if self.cuts else None
             stop = cut.start() if cut else len(text)
             yield text[start:stop]
             start = stop + 1  # both begin a piece with a space of their own
@@ -121,11 +187,16 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     """Pairs of rows of two frames ``(doc, start, end)`` whose ranges overlap, as their
     numbers ``a`` and ``b``. Each side's ranges fill their document without a gap, and rows
     are in the order of ``start``, which counts on through the documents."""
-    a, b = a.assign(a=np.arange(len(a))), b.assign(b=np.arange(len(b)))
-    begun_a = pd.merge_asof(a, b[["doc", "start", "b"]].assign(other=b["start"]), on="start", by="doc")
-    begun_b = pd.merge_asof(b, a[["doc", "start", "a"]].assign(other=a["start"]), on="start", by="doc")
+    sides = {"a": a, "b": b}
+    starts = {name: side["start"].to_numpy() for name, side in sides.items()}
+    found = []
+    for this, other in ("ab", "ba"):
+        keyed = sides[other][["doc", "start"]].assign(**{other: np.arange(len(sides[other]))})
+        covering = pd.merge_asof(sides[this][["doc", "start"]], keyed, on="start", by="doc")[other].to_numpy()
+        found.append({this: np.arange(len(covering)), other: covering})
     # Where both start at once, the pair stands in both directions.
-    return pd.concat([begun_a[["a", "b"]], begun_b.loc[begun_b["other"] != begun_b["start"], ["a", "b"]]], ignore_index=True)
+    again = starts["a"][found[1]["a"]] == starts["b"]
+    return pd.DataFrame({side: np.concatenate([found[0][side], found[1][side][~again]]) for side in "ab"})
 
 
 def _ranges(lengths: np.ndarray, docs: np.ndarray) -> pd.DataFrame:
@@ -154,15 +225,9 @@ class _Row:
 def _align(pair: _Pair, pieces: list[tuple[_Row, str, bool]], lists: bool) -> None:
     """Add the alignment of some pieces to their rows. A piece carries whether it is the
     first of its row."""
-    want = [b" " + p.encode() for _, p, _ in pieces]
-    texts = [p for _, p, _ in pieces]
-    (ids_a, n_a, same_a), (ids_b, n_b, same_b) = pair.a.tokens(texts, want), pair.b.tokens(texts, want)
-    sound = np.array(same_a, bool) & np.array(same_b, bool)
+    ids_a, n_a, ids_b, n_b, sound = pair.tokens([p for _, p, _ in pieces])
     for (row, _, _), ok in zip(pieces, sound, strict=True):
         row.sound &= bool(ok)
-    # What is not sound must not shift what follows.
-    ids_a, ids_b = ids_a[np.repeat(sound, n_a)], ids_b[np.repeat(sound, n_b)]
-    n_a, n_b = np.where(sound, n_a, 0), np.where(sound, n_b, 0)
     numbers = np.arange(len(pieces))
     a, b = (_ranges(side.lengths[ids], np.repeat(numbers, n)) for side, ids, n in ((pair.a, ids_a, n_a), (pair.b, ids_b, n_b)))
     met = overlaps(a, b)
@@ -187,8 +252,8 @@ def _align(pair: _Pair, pieces: list[tuple[_Row, str, bool]], lists: bool) -> No
     codes = np.empty(size, np.int64)
     codes[np.arange(len(ids_a)) + before_b[group_a]] = 2 * ids_a + last_a
     codes[np.arange(len(ids_b)) + before_a[group_b]] = 2 * len(pair.a.bytes) + 2 * ids_b.astype(np.int64) + last_b
-    table = pair.written[0] + pair.written[1] if size else []
-    words = [table[c] for c in codes.tolist()]
+    table = pair.written
+    words = list(map(table.__getitem__, codes.tolist())) if size else []
     stop_a, stop_b, stops = np.cumsum(n_a), np.cumsum(n_b), np.searchsorted(of, numbers, side="right")
     groups = np.bincount(doc_a[last_a], minlength=len(pieces))
     links, pairs = np.bincount(link_doc, minlength=len(pieces)), np.bincount(doc_a[at_a], minlength=len(pieces))
