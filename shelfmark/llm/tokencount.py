@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import pre_tokenizers
 
 from shelfmark.llm.common import map_texts
 from shelfmark.operators.once import once_per_worker
@@ -63,11 +64,29 @@ NEXT, BEGINS = _boundary_table()
 
 
 def kinds() -> np.ndarray:
-    """LETTER, NUMBER, OTHER or RUN (for any white space) of each code point."""
-    first = np.array([ord(unicodedata.category(chr(i))[0]) for i in range(0x110000)], np.uint8)
+    """LETTER, NUMBER, OTHER or RUN (for any white space) of each code point.
+
+    Python's tables may be older than the library's, so the library is asked about what
+    they hold to be unassigned: a run of such points between a letter and a sign is one
+    pre-token with the sign unless one of them is a letter or a number.
+    """
+    names = [unicodedata.category(chr(i)) for i in range(0x110000)]
+    first = np.array([ord(name[0]) for name in names], np.uint8)
     out = np.full(0x110000, OTHER, np.uint8)
     out[first == ord("L")] = LETTER
     out[first == ord("N")] = NUMBER
+    library = pre_tokenizers.ByteLevel(add_prefix_space=False)
+
+    def joined(text: str) -> bool:
+        return len(library.pre_tokenize_str(text)) == 1
+
+    unassigned = [i for i, name in enumerate(names) if name == "Cn"]
+    for start in range(0, len(unassigned), 256):
+        run = unassigned[start : start + 256]
+        parts = library.pre_tokenize_str("a" + "".join(map(chr, run)) + "!")
+        if [span for _, span in parts] != [(0, 1), (1, len(run) + 2)]:
+            for point in run:
+                out[point] = LETTER if joined("a" + chr(point)) else NUMBER if joined("1" + chr(point)) else OTHER
     out[WHITE] = RUN
     return out
 
