@@ -351,12 +351,12 @@ def fit(
     """The model of the rows with ``train`` set, and the table of word counts, with the class
     ``cls`` of words that are not units."""
     words = materialize(word_counts(docs), "words")
-    total = words.agg(F.coalesce(F.sum("n_all"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0)), F.sum((F.col("n_train") > 0).cast("long"))).first()
+    total = words.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.sum((F.col("n_train") > 0).cast("long"))).first()
     ends = docs.where("train").count()
-    n_all, n_train, v = int(total[0]), int(total[1]) + ends, int(total[2] or 0) + (ends > 0)
-    # At most 1 / lookup_share rows.
-    often = words.where(F.col("n_all") >= max(1.0, lookup_share * n_all)).toPandas().sort_values("hash")
-    units = Units(often.loc[often["n_all"] >= max(1.0, unit_share * n_all), "hash"].to_numpy(np.int64))
+    in_train, n_train, v = int(total[0]), int(total[0]) + ends, int(total[1] or 0) + (ends > 0)
+    # At most 1 / lookup_share rows. By counts of training only, like all that is chosen here.
+    often = words.where(F.col("n_train") >= max(1.0, lookup_share * in_train)).toPandas().sort_values("hash")
+    units = Units(often.loc[often["n_train"] >= max(1.0, unit_share * in_train), "hash"].to_numpy(np.int64))
     # A row for each pair of units that occurs: (1 / unit_share + ENDINGS + 1) ** 2 at most,
     # whatever the size of the corpus; they lay out the classes.
     bigrams = unit_bigrams(docs, units).toPandas().sort_values(["first", "second"])
@@ -365,7 +365,7 @@ def fit(
     n_unit = np.bincount(second, n, units.count)
     store = Store(docs.sparkSession)
     pairs = store.put(word_bigrams(docs, units), "bigrams")
-    seldom = words.where((F.col("n_train") > 0) & (F.col("n_all") < max(1.0, unit_share * n_all)))
+    seldom = words.where((F.col("n_train") > 0) & (F.col("n_train") < max(1.0, unit_share * in_train)))
     rare, matrix = class_rare(seldom, pairs, store, units, classes, matrix, rounds)
     store.drop(pairs)
     # A word counts one more than it occurs, and so does one unknown word of each ending.
@@ -375,7 +375,7 @@ def fit(
     within = np.log10(weight)
     n_unit[len(units.words) : units.end] = 0
     classed = store.put(words.join(rare.select("hash", "cls"), "hash", "left"), "classed")
-    of = classed.where((F.col("n_all") >= max(1.0, lookup_share * n_all)) & F.col("cls").isNotNull()).select("hash", "cls").toPandas()  # lookups
+    of = classed.where((F.col("n_train") >= max(1.0, lookup_share * in_train)) & F.col("cls").isNotNull()).select("hash", "cls").toPandas()  # lookups
     lookup = often["hash"].to_numpy(np.int64)
     lookup_class = np.full(len(lookup), -1, np.int64)
     lookup_class[np.searchsorted(lookup, of["hash"].to_numpy(np.int64))] = of["cls"].to_numpy(np.int64)
