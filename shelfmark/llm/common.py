@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,11 +11,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.operators.once import once_per_worker
 from shelfmark.session import input_bytes, materialize
 
 # Bytes of text that NumPy code handles at once; a byte may take a hundred bytes of arrays.
 # A longer text is a batch alone.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 #: A-Z to a-z, all other bytes as they are.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -66,6 +68,8 @@ def in_tasks(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
         pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # what arrays have left of the heap
+            trim(0)
 
     return df.mapInArrow(tidy, schema)
 
@@ -130,28 +134,39 @@ def inverse(odd: int) -> int:
     return pow(odd, -1, 1 << 64)
 
 
+# Powers that a worker keeps: enough for a portion; a longer stretch makes its own and lets
+# them go.
+KEPT_POWERS = 1 << 19
+_BASE = int(random_words(1031, 1)[0]) | 5
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse, or more: one pair of tables
+    for all that a worker hashes."""
+
+    def table(size: int) -> tuple[np.ndarray, np.ndarray]:
+        steps = np.full(size, _BASE, np.uint64)
+        steps[0] = 1
+        up = np.multiply.accumulate(steps)
+        steps[1:] = inverse(_BASE)
+        return up, np.multiply.accumulate(steps, out=steps)
+
+    return once_per_worker("powers", _BASE, lambda: table(KEPT_POWERS)) if n <= KEPT_POWERS else table(n)
+
+
 class Rolling:
-    """Hashes of any stretch of a byte buffer from prefix sums modulo 2**64."""
+    """Hashes of any stretch of a byte buffer from prefix sums modulo 2**64. Each seed has its
+    own values of bytes; powers are shared."""
 
     def __init__(self, seed: int):
         self.values = random_words(seed, 256)
-        self.base = int(random_words(seed + 1000, 1)[0]) | 5
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
-            steps = np.full(n, self.base, np.uint64)
-            steps[0] = 1
-            self.up = np.multiply.accumulate(steps)
-            steps[1:] = inverse(self.base)
-            self.down = np.multiply.accumulate(steps)
+        self.down = np.ones(1, np.uint64)
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
-        self._grow(len(data) + 1)
+        up, self.down = _powers(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
         terms = self.values[data]
-        terms *= self.up[: len(data)]
+        terms *= up[: len(data)]
         np.cumsum(terms, out=sums[1:])
         return sums
 

@@ -37,8 +37,8 @@ SAMPLES, BANDS, ROWS = 256, 32, 5
 SKETCH_BITS = 512
 LONGS = SKETCH_BITS // 64
 #: Estimates below these are taken as surely below the threshold: for families, and for
-#: pairs. They lie eight and four standard errors under 0.8.
-FAMILY, PAIR = 0.2, 0.11
+#: pairs. They lie over seven and six standard errors under 0.8.
+FAMILY, PAIR = 0.2, 0.16
 #: Rows of a block, and columns of the matrices that compare two blocks.
 BLOCK, COLUMNS = 1024, 4096
 #: Leaders of buckets are drawn anew for each of so many groups of bands.
@@ -292,7 +292,7 @@ def _rest(rows: DataFrame, percent: int) -> DataFrame:
                 common += matrix[asks] @ matrix[rest].T
             a, b = [], []
             for k, s in enumerate(asks):
-                fits = rest[(w[s] + w[rest] <= 2 * (100 + percent) * common[k]) & (label[rest] != label[s])]
+                fits = rest[(w[s] + w[rest] <= 2 * (100 + percent) * common[k].astype(np.int64)) & (label[rest] != label[s])]
                 _, first = np.unique(label[fits], return_index=True)
                 a += [node[s]] * len(first)
                 b += node[fits[first]].tolist()
@@ -422,9 +422,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     (true for one row of each group). A text of fewer words is one shingle. Null and
     empty texts and texts without words have no shingles and are linked with nothing.
     A null key counts as the least. Links are confirmed on full sets; two documents at
-    the threshold share no bucket in about 3 of a million cases, and of those in different
-    families about one in ten thousand, by estimate, is lost because its sketches say less
-    than the pair cut; groups with several links hardly notice either.
+    the threshold share no bucket in about 3 of a million cases, and the cut on what the
+    sketches say is six of their standard errors below; groups with several links hardly
+    notice either.
     """
     store = Store(docs.sparkSession)
     nothing = -(1 << 63)

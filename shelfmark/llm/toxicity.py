@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import map_texts, mix, random_words, remainder
 
 # Bytes of text at a time: a letter takes some 60 bytes of arrays here.
-PORTION = 1 << 20
+PORTION = 1 << 18
 
 #: Hashed n-grams are numbers of so many bits.
 BITS = 20

@@ -468,3 +468,31 @@ def test_licenses_in_any_case():
             assert [(f.license, f.differences) for f in licenses.scan(text)] == [(name, ())], text
     beside = "\n".join(w for _, w in licenses.WORDINGS)  # all of them in one block
     assert [f.license for f in licenses.scan(beside)] == [n for n, _ in licenses.WORDINGS]
+
+
+def test_held_out_words_change_no_training_score(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(sentence(rng, 30, 60)), i % 5 != 0) for i in range(200)]
+    turned = [(i, text if train else f"{text} {' '.join(['held out words'] * 9)} w1 w2 w3", train) for i, text, train in rows]
+    told = []
+    for some in (rows, turned):
+        df = spark.createDataFrame(some, "doc_id long, text string, train boolean").repartition(2)
+        told.append({r.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in classlm.with_scores(df, "train", keep=("doc_id",)).collect()})
+    for i, _, train in rows:
+        if train:
+            assert told[0][i] == pytest.approx(told[1][i])
+
+
+def test_kinds_of_all_code_points():
+    """As the library's pre-tokenizer sees them; a sample of what Python's tables know, and
+    all that they hold to be unassigned in blocks that have letters today."""
+    from tokenizers import pre_tokenizers
+
+    library = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    kinds = tokencount.kinds()
+    some = [*range(0, 0x3000, 7), *range(0x1C80, 0x1C90), *range(0xA7C0, 0xA7E0), *range(0x105C0, 0x105F4), *range(0x10D40, 0x10D90), *range(0x1CC00, 0x1CD00)]
+    for point in some:
+        if point in tokencount.WHITE:
+            continue
+        letter, number = (len(library.pre_tokenize_str(c + chr(point))) == 1 for c in "a1")
+        assert kinds[point] == (tokencount.LETTER if letter else tokencount.NUMBER if number else tokencount.OTHER), hex(point)
