@@ -2,9 +2,12 @@
 
 The search walks over a normalised text and keeps, for each of the last places, the
 best piece that ends there and where it begins. No piece is longer than the longest of
-the model, so only that many places can still be reached from what follows. As soon as
-the paths back from all of them meet in one boundary, the ids up to it are committed
-and forgotten: memory does not grow with the text.
+the model, so only that many places can still be gone on from. As soon as the paths
+back from all of them meet in one boundary, the ids up to it are committed and the
+places before it forgotten: what the search holds does not grow with the text. The text
+itself and its ids are held whole. Where no piece spans a blank in its middle, a text is
+cut before blanks; the stretches are searched on their own, and those that a worker
+remembers not again.
 
 Two kinds of model are searched alike. With a unigram model a step costs the piece's
 score and the best sum wins. With a BPE model a step is allowed only where merging
@@ -28,21 +31,31 @@ from shelfmark.llm.common import map_texts
 from shelfmark.operators.once import once_per_worker
 
 SPACE = "▁"
-NOTHING: dict = {}
-#: Encoded stretches that a worker remembers, and the longest that it does.
+#: What no piece ends with.
+NOTHING: tuple[dict, None, dict] = ({}, None, {})
+#: Codes before the first piece, and of a place that no path leads to.
+START, NEVER = 1 << 30, (1 << 30) + 1
+#: Stretches in a generation of those that a worker remembers, and the longest that it does.
 REMEMBERED, SHORT = 250_000, 32
+#: Pairs of pieces that a worker remembers.
+PAIRS = 400_000
 
 
 class Known(dict):
-    """Encodes what it has not seen, and remembers short stretches."""
+    """What was made of the last stretches; others are made when asked for. When
+    ``REMEMBERED`` are held they become the older generation, and the one before goes."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, make):
+        self.make = make
+        self.older: dict = {}
 
     def __missing__(self, stretch: str) -> bytes:
-        ids = self.encode(stretch)
+        ids = self.older.get(stretch)
+        if ids is None:
+            ids = self.make(stretch)
         if len(stretch) <= SHORT:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[stretch] = ids
         return ids
@@ -57,10 +70,11 @@ class Vocabulary:
         self.kind = kind
         special = (self.library.is_control, self.library.is_unknown, self.library.is_unused, self.library.is_byte)
         self.ids: dict[str, int] = {}
+        self.names = [self.library.id_to_piece(i) for i in range(size)]
         self.raw: list[bytes] = []
         self.byte = [-1] * 256
         for i in range(size):
-            piece = self.library.id_to_piece(i)
+            piece = self.names[i]
             if self.library.is_byte(i):
                 self.byte[int(piece[3:5], 16)] = i
                 self.raw.append(bytes([int(piece[3:5], 16)]))
@@ -79,15 +93,18 @@ class Vocabulary:
         #: Texts can be cut before a run of blanks if no piece spans such a place.
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.worst = min(self.score.values(), default=0.0) - 10.0
-        #: For each letter the letters that may follow, and the piece that ends here.
+        #: Pieces from their last letter backwards: for each letter those that may stand
+        #: before it, the piece that begins here, and which pieces may stand before that.
         self.trie: dict = {}
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.n_pairs = 0
         for piece, i in self.ids.items():
             kids = self.trie
-            for letter in piece[:-1]:
-                kids = kids.setdefault(letter, ({}, None))[0]
-            kids[piece[-1]] = (kids.get(piece[-1], ({}, None))[0], i)
-        self.neighbours: dict[int, bool] = {}
+            for letter in piece[:0:-1]:
+                kids = kids.setdefault(letter, ({}, None, {}))[0]
+            kids[piece[0]] = (kids[piece[0]][0] if piece[0] in kids else {}, i, self.pairs.setdefault(i, {}))
         self.edges: tuple[dict, dict] = ({}, {})
+        self.words = Known(lambda word: self._encode(SPACE + word))
         self.known = Known(self._encode)
 
     def normalise(self, text: str) -> str:
@@ -128,23 +145,26 @@ class Vocabulary:
 
     def piece(self, code: int) -> str:
         """A piece by its id; characters outside the vocabulary have negative codes."""
-        return self.library.id_to_piece(code) if code >= 0 else chr(-1 - code)
+        return self.names[code] if code >= 0 else chr(-1 - code)
 
     def together(self, a: int, b: int) -> bool:
         """Merging leaves the two pieces side by side: no merge across their border
         comes before those that take its symbols further into either piece."""
-        key = (a << 32) + b
-        out = self.neighbours.get(key)
-        if out is None:
-            if len(self.neighbours) >= REMEMBERED:
-                self.neighbours.clear()
-            left, right = self.piece(a), self.piece(b)
-            ends, starts = self.edge(left, True), self.edge(right, False)
-            if ends is None or starts is None:
-                out = self.merged(left + right) == [left, right]
-            else:
-                out = self._kept_apart(ends, starts)
-            self.neighbours[key] = out
+        if a in (START, NEVER):
+            return a == START
+        left, right = self.piece(a), self.piece(b)
+        ends, starts = self.edge(left, True), self.edge(right, False)
+        if ends is None or starts is None:
+            return self.merged(left + right) == [left, right]
+        return self._kept_apart(ends, starts)
+
+    def _learn(self, a: int, b: int) -> bool:
+        if self.n_pairs >= PAIRS:
+            for held in self.pairs.values():
+                held.clear()
+            self.n_pairs = 0
+        self.n_pairs += 1
+        out = self.pairs[b][a] = self.together(a, b)
         return out
 
     def _kept_apart(self, ends, starts) -> bool:
@@ -170,58 +190,55 @@ class Vocabulary:
 
     def search(self, text: str) -> list[int]:
         """Codes of the pieces of a normalised text, committed as early as they are certain."""
-        trie, bpe, together, neighbours, longest = self.trie, self.kind == "bpe", self.together, self.neighbours, self.longest
-        n, done, due = len(text), 0, 4 * longest
+        trie, bpe, scores, longest = self.trie, self.kind == "bpe", self.scores, self.longest
+        done, due = 0, 4 * longest
         out: list[int] = []
         # Of the places from ``done`` on: the piece that ends there on the best path and
-        # where it begins, and the best sum. They reach one piece beyond ``due``.
-        room = min(n, due + longest) + 1
-        last, back, total = [None] * room, [0] * room, [0.0] * room
-        for start in range(n):
-            here = start - done
-            before = last[here]
-            kids, end, first = trie, here, True
-            for letter in text[start : start + longest]:
-                end += 1
-                hit = kids.get(letter)
-                if hit is None:
-                    if not first:
-                        break
-                    kids, code = NOTHING, -1 - ord(letter)  # outside the vocabulary
-                else:
-                    kids, code = hit
-                    if code is None:
-                        if not first:
-                            continue
-                        code = -1 - ord(letter)
-                first = False
+        # where it begins, and the best sum.
+        last, back, total = [START], [0], [0.0]
+        for here, letter in enumerate(text):
+            place = here - done
+            kids, code, pairs = trie.get(letter, NOTHING)
+            if code is None:
+                code = -1 - ord(letter)  # outside the vocabulary
+                pairs = self.pairs.setdefault(code, {})
+            piece, at, best = NEVER, place, None
+            while True:
                 if bpe:
-                    if last[end] is None:
-                        fits = neighbours.get((before << 32) + code) if start else True
-                        if together(before, code) if fits is None else fits:
-                            last[end], back[end] = code, here
+                    fits = pairs.get(last[place])
+                    if fits or (fits is None and self._learn(last[place], code)):
+                        piece, at = code, place
+                        break
                 else:
-                    score = total[here] + (self.scores[code] if code >= 0 else self.worst)
-                    if last[end] is None or score > total[end]:
-                        last[end], back[end], total[end] = code, here, score
-                if not kids:
+                    score = total[place] + (scores[code] if code >= 0 else self.worst)
+                    if best is None or score >= best:
+                        piece, at, best = code, place, score
+                # The next longer piece that ends here.
+                code = None
+                while code is None and place and kids:
+                    place -= 1
+                    kids, code, pairs = kids.get(text[place + done], NOTHING)
+                if code is None:
                     break
-            if here == due:
-                meet = self._meeting(last, back, here)
+            last.append(piece)
+            back.append(at)
+            if not bpe:
+                total.append(best)
+            if len(last) > due:
+                meet = self._meeting(last, back, longest)
                 out += self._path(last, back, meet)
                 done += meet
-                due = max(4 * longest, here - meet + 2 * longest)
-                more = [0] * (due + longest + 1 - len(last) + meet)
-                last, total = last[meet:] + [None] * len(more), total[meet:] + more
-                back = [b - meet for b in back[meet:]] + more
-        return out + self._path(last, back, n - done)
+                last, total = last[meet:], total[meet:]
+                back = [b - meet for b in back[meet:]]
+                due = max(4 * longest, len(last) + 2 * longest)
+        return out + self._path(last, back, len(last) - 1)
 
     @staticmethod
-    def _meeting(last: list, back: list[int], here: int) -> int:
-        """The boundary nearest to ``here`` on the paths back from all places that can
-        still be gone on from."""
-        live = {place for place in range(here + 1, len(last)) if last[place] is not None} | {here + 1}
-        while len(live) > 1 or max(live) > here:
+    def _meeting(last: list, back: list[int], longest: int) -> int:
+        """The nearest boundary on the paths back from all places that a later piece can
+        begin at."""
+        live = {place for place in range(max(len(last) - longest, 0), len(last)) if last[place] != NEVER}
+        while len(live) > 1:
             place = max(live)
             live.discard(place)
             live.add(back[place])
@@ -243,9 +260,13 @@ class Vocabulary:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as packed 32-bit numbers."""
-        text = self.normalise(text)
+        return self.encode_normalised(self.normalise(text))
+
+    def encode_normalised(self, text: str) -> bytes:
         if not self.cuts:
             return self._encode(text)
+        if text[:1] == SPACE and text[-1] != SPACE and SPACE * 2 not in text:
+            return b"".join(map(self.words.__getitem__, text[1:].split(SPACE)))
         return b"".join(map(self.known.__getitem__, STRETCH.findall(text)))
 
     def decode(self, ids) -> bytes:
@@ -294,14 +315,14 @@ def with_ids(
         words = vocabulary(model, kind)
 
         def step(texts):
-            plain = [t.as_py().decode("utf-8", "replace") for t in texts]
-            packed = [words.encode(p) for p in plain]
+            plain = [words.normalise(t.as_py().decode("utf-8", "replace")) for t in texts]
+            packed = [words.encode_normalised(p) for p in plain]
             cut = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
             flat = np.frombuffer(b"".join(packed), "<i4")
             columns = [pa.ListArray.from_arrays(pa.array(cut), pa.array(flat))]
             if check:
                 back = [words.decode(np.frombuffer(p, "<i4").tolist()) for p in packed]
-                want = [words.normalise(p).replace(SPACE, " ").encode("utf-8", "replace") for p in plain]
+                want = [p.replace(SPACE, " ").encode("utf-8", "replace") for p in plain]
                 columns.append([hashlib.sha256(b).hexdigest() for b in back])
                 columns.append([b == (w[1:] if w[:1] == b" " else w) for b, w in zip(back, want, strict=True)])
             return columns

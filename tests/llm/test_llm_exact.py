@@ -342,6 +342,30 @@ def test_pieces_as_the_library_has_them():
         assert model.decode(ids).decode() == text.replace("▁", " ")
 
 
+def test_whole_texts_are_committed_piece_by_piece(monkeypatch):
+    model = pieces.Vocabulary(pieces.default_model())
+    model.cuts = False
+    meeting, held = pieces.Vocabulary._meeting, []
+
+    def seen(last, back, longest):
+        held.append(len(last))
+        return meeting(last, back, longest)
+
+    monkeypatch.setattr(pieces.Vocabulary, "_meeting", staticmethod(seen))
+    rng = random.Random(8)
+    for text in ["".join(rng.choice("abcdefghij é.☃") for _ in range(20_000)), "ab" * 5000, " ".join(odd_texts(9))]:
+        held.clear()
+        assert np.frombuffer(model.encode(text), "<i4").tolist() == model.library.encode(text)
+        assert len(held) > 50 and max(held) <= 6 * model.longest
+
+
+def test_a_small_memory_changes_nothing(monkeypatch):
+    text = " ".join(odd_texts(10, 100))
+    want = pieces.Vocabulary(pieces.default_model()).encode(text)
+    monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    assert pieces.Vocabulary(pieces.default_model()).encode(text) == want
+
+
 def test_search_by_scores_is_best():
     model = pieces.Vocabulary(pieces.default_model(), "unigram")
     rng = random.Random(2)
