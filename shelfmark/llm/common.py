@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.operators.once import once_per_worker
-from shelfmark.session import input_bytes, materialize
+from shelfmark.session import fresh_path, input_bytes, materialize, range_partitions
 
 # Bytes of text that NumPy code handles at once; a byte may take a hundred bytes of arrays.
 # A longer text is a batch alone.
@@ -212,6 +213,19 @@ class Store:
         self.paths[id(out)] = out.inputFiles()[0].rpartition("/")[0] if out.inputFiles() else ""
         return out
 
+    def deal(self, df: DataFrame, by: list[str], name: str) -> DataFrame:
+        """A stored table in buckets by the hash of ``by``: a join on these columns moves
+        only its other side. Equal rows share a bucket."""
+        path = fresh_path(self.spark, name)
+        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        n = min(range_partitions(df), most)
+        entry = f"{name}_{uuid.uuid4().hex}"
+        df.repartition(n, *by).write.bucketBy(n, *by).option("path", path).saveAsTable(entry, format="parquet")
+        out = self.spark.table(entry)
+        self.spark.sql(f"DROP TABLE `{entry}`")  # the entry only: files at a given path stay
+        self.paths[id(out)] = path
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         for df in tables:
             if path := self.paths.pop(id(df), ""):

@@ -13,6 +13,9 @@ lowest level, and levels of one size merge into one of twice the size. A level h
 row per head however often that occurs, so a passage that a third of all documents
 share is one row.
 
+Texts move once: they are dealt out by key into a stored table in buckets, and what is
+found about them (blocks, spans) goes to the buckets.
+
 For heads that occur again the windows around them are compared. The windows that name
 one place make a block; a block whose bytes occur twice is settled as a whole. What is
 left, blocks at the edges of matches, is compared window by window: by head in one go,
@@ -149,7 +152,7 @@ def _candidates(docs: DataFrame, repeated: DataFrame, length: int, head: int) ->
                     names=["doc", "mark", "head", "block", "low", "n", "ahead"],
                 )
 
-    schema = "doc long, mark int, head long, block long, low long, n int, ahead int"
+    schema = "doc long, mark long, head long, block long, low long, n int, ahead int"
     return in_tasks(docs.select("doc", "mark", "text"), run, schema).join(sendable(repeated), "head")
 
 
@@ -169,13 +172,13 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                         end = w["low"] + w["n"] - 1 + length
                         out.append((w["head"], w["hot"], w["only"], doc, mark, w["low"], w["n"], w["ahead"], text[w["low"] : end]))
                 columns = [list(c) for c in zip(*out, strict=True)] if out else [[] for _ in range(9)]
-                kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                     names=["head", "hot", "only", "doc", "mark", "low", "n", "ahead", "bytes"],
                 )
 
-    schema = "head long, hot boolean, only boolean, doc long, mark int, low long, n int, ahead int, bytes binary"
+    schema = "head long, hot boolean, only boolean, doc long, mark long, low long, n int, ahead int, bytes binary"
     asked = docs.select("doc", "mark", "text").join(sendable(wanted), ["doc", "mark"])
     return in_tasks(asked.select("doc", "mark", "text", "wanted"), run, schema)
 
@@ -194,7 +197,7 @@ def _windows(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray
     return row, step, mix(same ^ mix(key))
 
 
-SPAN = "doc long, mark int, start long, stop long"
+SPAN = "doc long, mark long, start long, stop long"
 
 
 def _spans(batch: pa.RecordBatch, row: np.ndarray, step: np.ndarray, length: int) -> pa.RecordBatch:
@@ -261,7 +264,7 @@ def _compare_dealt(contexts: DataFrame, length: int) -> DataFrame:
                 names=["doc", "mark", "start", "same", "only"],
             )
 
-    seen = contexts.mapInArrow(run, "doc long, mark int, start long, same long, only boolean")
+    seen = contexts.mapInArrow(run, "doc long, mark long, start long, same long, only boolean")
     counts = seen.groupBy("same").count().where("count > 1").select("same")
     return seen.where("only").join(counts, "same").select("doc", "mark", "start", (F.col("start") + length).alias("stop"))
 
@@ -353,9 +356,10 @@ def without_repeats(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         F.coalesce(number, F.lit(-(1 << 63))).alias("doc"),
-        F.coalesce(F.hash(text), F.lit(0)).alias("mark"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"),
     )
     store = Store(docs.sparkSession)
+    named = store.deal(named, ["doc", "mark"], "texts")
     spans = repeated_spans(named.select("doc", "mark", "text"), store, length, batches=batches)
     spans = store.put(
         spans.groupBy("doc", "mark").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")), "spans"
