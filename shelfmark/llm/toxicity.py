@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import map_texts, mix, random_words, remainder
+from shelfmark.llm.common import binary, in_tasks, map_texts, mix, parts, random_words, remainder
 
 # Bytes of text at a time: a letter takes some 60 bytes of arrays here.
 PORTION = 1 << 18
@@ -142,20 +142,12 @@ def train(
         .limit(sample_rows)
     )
     texts = docs.select(key, text).join(F.broadcast(drawn), key)  # sample_rows rows at most
-    sets = map_texts(
-        texts,
-        lambda: lambda t: [_listed(t)],
-        [("__grams", "array<int>", pa.list_(pa.int32()))],
-        text,
-        keep=["__label"],
-        limit=PORTION,
-    )
     counts = {r[0]: r[1] for r in texts.groupBy("__label").count().collect()}
     share = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
     if len([c for c in counts.values() if c]) < 2:
         edge = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(edge / (1 - edge))))
-    held = _ratios(sets, counts[0], counts[1], min_docs, min_ratio)
+    held = _ratios(texts, text, counts[0], counts[1], min_docs, min_ratio)
     chosen = held.features
     ratio = held.weights
     spot = texts.sparkSession.sparkContext.broadcast(chosen)
@@ -183,30 +175,25 @@ def train(
     return Model(chosen, weights, intercept)
 
 
-def _listed(texts: pa.LargeBinaryArray) -> pa.Array:
-    who, what = distinct(*grams(texts))
-    cut = np.searchsorted(who, np.arange(len(texts) + 1))
-    return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(what.astype(np.int32)))
-
-
-def _ratios(sets: DataFrame, n_other: int, n_toxic: int, min_docs: int, min_ratio: float) -> Model:
-    """n-grams that tell the classes apart, and their log-count ratios."""
+def _ratios(texts: DataFrame, text: str, n_other: int, n_toxic: int, min_docs: int, min_ratio: float) -> Model:
+    """n-grams that tell the classes apart, and their log-count ratios. Finding and counting
+    them is one step: two would keep two Python workers a task."""
 
     def count(batches):
         totals = np.zeros((2, 1 << BITS), np.int64)
         for batch in batches:
-            lists = batch.column("__grams")
-            toxic = np.repeat(batch.column("__label").to_numpy(zero_copy_only=False) == 1, lists.value_lengths().to_numpy())
-            flat = lists.flatten().to_numpy()
-            totals[0] += np.bincount(flat[~toxic], minlength=1 << BITS)
-            totals[1] += np.bincount(flat[toxic], minlength=1 << BITS)
+            for part in parts(batch, text, PORTION):
+                who, what = distinct(*grams(binary(part.column(text))))
+                toxic = part.column("__label").to_numpy(zero_copy_only=False)[who] == 1
+                totals[0] += np.bincount(what[~toxic], minlength=1 << BITS)
+                totals[1] += np.bincount(what[toxic], minlength=1 << BITS)
         seen = np.flatnonzero(totals.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen.astype(np.int32)), pa.array(totals[0][seen]), pa.array(totals[1][seen])],
             names=["gram", "other", "toxic"],
         )
 
-    table = sets.mapInArrow(count, "gram int, other long, toxic long").groupBy("gram").agg(
+    table = in_tasks(texts.select(text, "__label"), count, "gram int, other long, toxic long").groupBy("gram").agg(
         F.sum("other").alias("other"), F.sum("toxic").alias("toxic")
     )
     told = (
