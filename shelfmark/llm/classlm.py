@@ -4,13 +4,13 @@ Words are classed by exchange: a word moves to the class that gains most likelih
 the class bigrams, until few move. This runs on the frequent words, those with a share of
 ``unit_share`` of all tokens at least, and on groups of the rarer ones that end alike; it
 lays out the classes. Then every other word of the training texts moves on its own, in
-rounds over the table of word bigrams, to the class that its neighbours favour, and the
-class bigrams are counted anew. Only words that training has not seen go by their ending.
+rounds over the texts, to the class that its neighbours favour, and the class bigrams are
+counted anew. Only words that training has not seen go by their ending.
 A text's probability is the product of class transitions and of the words within their
 classes; both are smoothed and sum to one over known words and one unknown an ending.
 
-What grows with the corpus stays in tables: word counts, word bigrams, classes of words,
-and the rare words of each text, which are joined with their counts and classes. Sent to
+What grows with the corpus stays in tables: word counts, classes of words, what words see
+beside them, and the rare words of each text, which are joined with their counts and classes. Sent to
 tasks are only the words with a share of ``lookup_share`` of all tokens, of which there
 are ``1 / lookup_share`` at most, and the class bigrams.
 """
@@ -157,30 +157,95 @@ def unit_bigrams(docs: DataFrame, units: Units) -> DataFrame:
     return counted.groupBy("first", "second").agg(F.sum("n").alias("n"))
 
 
-def word_bigrams(docs: DataFrame, units: Units) -> DataFrame:
-    """first, second, n over the training texts: a frequent word or the end of a text is
-    the number of its unit, any other word its hash."""
-    shared = docs.sparkSession.sparkContext.broadcast(units.words)
+@dataclass
+class Classes:
+    """What tasks know of classes: looked-up words (sorted hashes; frequent ones do not move)
+    and the end of a text, and in the first round endings, which stand for all other words."""
+
+    words: np.ndarray
+    own: np.ndarray
+    frequent: np.ndarray
+    end: int
+    endings: np.ndarray | None = None
+
+    def line(self, words: np.ndarray, ending: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the texts one after another, each with its end: hashes, places among the
+        looked-up words and classes; -1 where there is none, -2 as the place of an end."""
+        n = np.diff(first)
+        place = np.arange(len(words)) + np.repeat(np.arange(len(n)), n)
+        hashes, at, cls = np.zeros(len(words) + len(n), np.int64), np.full(len(words) + len(n), -2), np.full(len(words) + len(n), self.end)
+        hashes[place], at[place], cls[place] = words, -1, -1 if self.endings is None else self.endings[ending]
+        if len(self.words):
+            spot = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+            found = self.words[spot] == words
+            at[place[found]], cls[place[found]] = spot[found], self.own[spot[found]]
+        return hashes, at, cls
+
+
+#: Rows of ``sightings``: a bigram of known classes; what a looked-up word sees on one side,
+#: by class; an occurrence of a word that is not looked up, with the classes on its sides;
+#: such a word beside a looked-up one; two such words side by side.
+CELL, TOLD, SELDOM, ASKED, PAIR = range(5)
+
+
+def sightings(docs: DataFrame, classes: Classes, k: int, moving: bool) -> DataFrame:
+    """kind, hash, code, other, n over the training texts, in parts yet to be added up.
+
+    ``code`` is, of a CELL, the first class times ``k`` plus the second; of what is TOLD, the
+    neighbour's class, plus ``k`` if it stands behind the word ``hash``; of what is ASKED, 0 or
+    ``k`` alone, for the neighbour ``other``; of a SELDOM word ``2 * k`` plus ``(k + 1)`` times the
+    class before it plus the one behind it, ``k`` if not known. Of a PAIR ``other`` stands before
+    ``hash``. Without ``moving`` only what counts bigrams of classes is returned.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(classes)
+
+    def rows(kind, hashes, code=0, other=0, n=1) -> pa.RecordBatch:
+        types = {"kind": np.int32, "hash": np.int64, "code": np.int32, "other": np.int64, "n": np.int64}
+        columns = [np.broadcast_to(c, len(hashes)).astype(t) for c, t in zip((kind, hashes, code, other, n), types.values(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=list(types))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Units(shared.value)
+        known, often, cells = shared.value, Totals(1), np.zeros(k * k, np.int64)
+
+        def out() -> pa.RecordBatch:
+            keys, (n,) = often.take()
+            return rows(TOLD, known.words[keys // (2 * k)], keys % (2 * k), 0, n)
+
         for batch in batches:
             for part in parts(batch, "text", COUNTED):
-                words, ending, first = hashed_words(binary(part.column("text")))
-                line, _ = known.lines(words, ending, first)
-                rare = (line >= len(known.words)) & (line < known.end)
-                n = np.diff(first)
-                line[rare] = words[rare[np.arange(len(words)) + np.repeat(np.arange(len(n)), n)]]
-                before = known.before(line)
-                order = np.lexsort((line, before))
-                before, line = before[order], line[order]
-                new = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (line[1:] != line[:-1])]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(before[new]), pa.array(line[new]), pa.array(np.diff(np.append(new, len(line))))], names=["first", "second", "n"]
-                )
-
-    counted = in_tasks(docs.where("train").select("text"), run, "first long, second long, n long")
-    return counted.groupBy("first", "second").agg(F.sum("n").alias("n"))
+                hashes, at, cls = known.line(*hashed_words(binary(part.column("text"))))
+                if not len(hashes):
+                    continue
+                # A text begins as if after an end, and ends with one.
+                hashes, at, cls = (np.concatenate([[x], y]) for x, y in ((0, hashes), (-2, at), (known.end, cls)))
+                told = cls >= 0
+                both = told[:-1] & told[1:]
+                cells += np.bincount(cls[:-1][both] * k + cls[1:][both], minlength=k * k)
+                side = np.where(told, cls, k)
+                spot = np.flatnonzero(at == -1)
+                yield rows(SELDOM, hashes[spot], 2 * k + side[spot - 1] * (k + 1) + side[spot + 1])
+                spot = np.flatnonzero(~told[1:] & ~told[:-1]) + 1
+                yield rows(PAIR, hashes[spot], 0, hashes[spot - 1])
+                if not moving:
+                    continue
+                mine = np.flatnonzero(at >= 0)
+                mine = mine[~known.frequent[at[mine]]]
+                keys = []
+                for step, behind in ((-1, 0), (1, k)):
+                    sees = told[mine + step]
+                    keys.append(at[mine[sees]] * (2 * k) + behind + cls[mine[sees] + step])
+                    asks = mine[~sees]
+                    yield rows(ASKED, hashes[asks], behind, hashes[asks + step])
+                keys = np.concatenate(keys)
+                often.add(keys, np.ones((1, len(keys)), np.int64))
+                if len(often.keys) > HELD:
+                    yield out()
+        if len(often.keys):
+            yield out()
+        some = np.flatnonzero(cells)
+        yield rows(CELL, np.zeros(len(some)), some, 0, cells[some])
+
+    return in_tasks(docs.where("train").select("text"), run, "kind int, hash long, code int, other long, n long")
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
@@ -259,11 +324,17 @@ def exchange(first: np.ndarray, second: np.ndarray, n: np.ndarray, n_units: int,
 def favoured(codes: pa.ListArray, n: pa.ListArray, matrix: np.ndarray) -> np.ndarray:
     """The class of each word that makes its neighbours' classes likeliest.
 
-    ``codes``: classes before a word, and those after it plus the number of classes.
+    ``codes``: of a side or of both, as in ``sightings``.
     """
     k = len(matrix)
     rows = np.repeat(np.arange(len(codes)), pc.list_value_length(codes).to_numpy(zero_copy_only=False))
-    seen = np.bincount(rows * 2 * k + codes.flatten().to_numpy(), n.flatten().to_numpy(), len(codes) * 2 * k).reshape(-1, 2 * k)
+    code, n = codes.flatten().to_numpy().astype(np.int64), n.flatten().to_numpy()
+    one = code < 2 * k
+    before, behind = np.divmod(code - 2 * k, k + 1)
+    left, right = ~one & (before < k), ~one & (behind < k)
+    rows = np.concatenate([rows[one], rows[left], rows[right]])
+    code = np.concatenate([code[one], before[left], k + behind[right]])
+    seen = np.bincount(rows * 2 * k + code, np.concatenate([n[one], n[left], n[right]]), len(codes) * 2 * k).reshape(-1, 2 * k)
     into, share = matrix.sum(axis=0) + 1.0, np.log(transitions(matrix))
     # P(class | before) P(word | class) P(after | class)
     return np.argmax(seen[:, :k] @ (share - np.log(into)) + seen[:, k:] @ share.T, axis=1)
@@ -279,48 +350,73 @@ def likelihood(matrix: np.ndarray) -> float:
     return float(xlogx(matrix.astype(float)).sum() - xlogx(matrix.sum(axis=0).astype(float)).sum() - xlogx(matrix.sum(axis=1).astype(float)).sum())
 
 
-def class_rare(rare: DataFrame, pairs: DataFrame, store: Store, units: Units, classes: np.ndarray, matrix: np.ndarray, rounds: int) -> tuple[DataFrame, np.ndarray]:
-    """A class for each rare word of the training texts (hash, n_train, cls), and the bigrams
-    of classes. They begin in their endings' classes; a round in which the likelihood
-    does not grow is the last and is not kept.
+def moved_words(seen: DataFrame, matrix: np.ndarray) -> DataFrame:
+    """often, hash, cls: the class that each word's neighbours favour; ``seen`` has often,
+    hash, code and n. One shuffle, of a word's neighbours by class."""
+    shared = seen.sparkSession.sparkContext.broadcast(matrix)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cls = favoured(batch.column("code"), batch.column("n"), shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column("often"), batch.column("hash"), pa.array(cls.astype(np.int32))], names=["often", "hash", "cls"])
+
+    by_word = seen.repartition("hash", "often").groupBy("hash", "often", "code").agg(F.sum("n").alias("n"))
+    by_word = by_word.groupBy("hash", "often").agg(F.collect_list("code").alias("code"), F.collect_list("n").alias("n"))
+    return in_tasks(by_word, run, "often boolean, hash long, cls int")
+
+
+def class_rare(docs: DataFrame, words: DataFrame, store: Store, classes: Classes, matrix: np.ndarray, rounds: int) -> tuple[DataFrame, Classes, np.ndarray]:
+    """A class for each training word that is not frequent (often, hash, cls; ``words`` are
+    those), the classes of looked-up words, and the bigrams of classes. They begin in their
+    endings' classes; a round in which the likelihood does not grow is the last and is not kept.
+
+    Each round reads the texts. Neighbours whose classes a task knows are summed by class
+    there; only a neighbour that is not looked up, so not a hot one, is joined with its class.
     """
-    spark = rare.sparkSession
-    k, head = len(matrix), len(units.words)
-    fixed = [(i, int(classes[i])) for i in range(head)] + [(units.end, int(classes[units.end]))]
-    fixed = F.broadcast(spark.createDataFrame(fixed, "key long, c int"))
-    by_ending = F.broadcast(spark.createDataFrame([(e, int(classes[head + e])) for e in range(ENDINGS)], "ending int, cls int"))
-    own = store.put(rare.join(by_ending, "ending").select("hash", "n_train", "cls"), "classes")
-    is_rare = lambda c: ~F.col(c).between(0, units.end)
-
-    def classed(table: DataFrame, key: str, c: str, own: DataFrame) -> DataFrame:
-        """With the class ``c`` of the word ``key``; frequent ones are sent, so none is hot."""
-        often = table.where(~is_rare(key)).join(fixed.select(F.col("key").alias(key), F.col("c").alias(c)), key)
-        seldom = table.where(is_rare(key)).join(own.select(F.col("hash").alias(key), F.col("cls").alias(c)), key)
-        return often.unionByName(seldom)
-
-    for _ in range(rounds):
-        sides = pairs.where(is_rare("second")).select(F.col("second").alias("hash"), F.col("first").alias("other"), F.lit(0).alias("side"), "n")
-        sides = sides.unionByName(pairs.where(is_rare("first")).select(F.col("first").alias("hash"), F.col("second").alias("other"), F.lit(k).alias("side"), "n"))
-        seen = classed(sides, "other", "c", own).groupBy("hash", (F.col("side") + F.col("c")).alias("code")).agg(F.sum("n").alias("n"))
-        seen = seen.groupBy("hash").agg(F.collect_list("code").alias("code"), F.collect_list("n").alias("n"))
-        shared = spark.sparkContext.broadcast(matrix)
-
-        def run(batches, shared=shared):
-            for batch in batches:
-                cls = favoured(batch.column("code"), batch.column("n"), shared.value)
-                yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("n_train"), pa.array(cls.astype(np.int32))], names=["hash", "n_train", "cls"])
-
-        moved = store.put(in_tasks(seen.join(own.select("hash", "n_train"), "hash"), run, "hash long, n_train long, cls int"), "classes")
-        before = classed(pairs, "first", "c", moved).groupBy("second", "c").agg(F.sum("n").alias("n"))
-        rows = classed(before, "second", "d", moved).groupBy("c", "d").agg(F.sum("n").alias("n")).collect()  # a row for each pair of classes
-        counted = np.zeros_like(matrix)
-        for r in rows:
-            counted[r["c"], r["d"]] = r["n"]
-        if likelihood(counted) <= likelihood(matrix):
+    k = len(matrix)
+    by_ending = F.element_at(F.array(*[F.lit(int(c)) for c in classes.endings]), F.col("ending") + 1)
+    own = words.select("often", "hash", by_ending.cast("int").alias("cls"))
+    kept = [own, classes, matrix]
+    seen = store.put(sightings(docs, classes, k, True), "seen")
+    for left in range(rounds - 1, -1, -1):
+        votes = seen.where(F.col("kind").isin(TOLD, SELDOM)).select((F.col("kind") == TOLD).alias("often"), "hash", "code", "n")
+        if classes.endings is None:  # else all neighbours were told
+            seldom = own.where(~F.col("often")).select(F.col("hash").alias("other"), "cls")
+            both = F.array(F.struct("hash", F.lit(0).alias("code"), "other"), F.struct(F.col("other").alias("hash"), F.lit(k).alias("code"), F.col("hash").alias("other")))
+            asked = seen.where(F.col("kind") == ASKED).select(F.lit(True).alias("often"), "hash", "code", "other")
+            asked = asked.unionByName(seen.where(F.col("kind") == PAIR).select(F.lit(False).alias("often"), F.inline(both)))
+            votes = votes.unionByName(asked.join(seldom, "other").select("often", "hash", (F.col("code") + F.col("cls")).alias("code"), F.lit(1).cast("long").alias("n")))
+        own = store.put(moved_words(votes, matrix), "classes")
+        looked_up = own.where("often").select("hash", "cls").toPandas()  # 1 / lookup_share rows at most
+        to = classes.own.copy()
+        to[np.searchsorted(classes.words, looked_up["hash"].to_numpy(np.int64))] = looked_up["cls"].to_numpy(np.int64)
+        classes = Classes(classes.words, to, classes.frequent, classes.end)
+        store.drop(seen)
+        seen = store.put(sightings(docs, classes, k, left > 0), "seen")
+        matrix = class_bigrams(seen, own.where(~F.col("often")).select("hash", "cls"), k)
+        if likelihood(matrix) <= likelihood(kept[2]):
             break
-        store.drop(own)
-        own, matrix = moved, counted
-    return own, matrix
+        kept = [own, classes, matrix]
+    store.drop(seen)
+    return tuple(kept)
+
+
+def class_bigrams(seen: DataFrame, seldom: DataFrame, k: int) -> np.ndarray:
+    """All bigrams of classes, each counted once: between known classes, beside a word that
+    is not looked up, and between two such words. ``seldom``: hash, cls of these."""
+    cells = seen.where(F.col("kind") == CELL).select("code", "n")
+    beside = seen.where(F.col("kind") == SELDOM).join(seldom, "hash").groupBy("cls", "code").agg(F.sum("n").alias("n"))
+    sides = F.floor((F.col("code") - 2 * k) / (k + 1)).cast("int"), (F.col("code") - 2 * k) % (k + 1)
+    beside = beside.select("cls", "n", sides[0].alias("before"), sides[1].alias("behind"))
+    cells = cells.unionByName(beside.where(F.col("before") < k).select((F.col("before") * k + F.col("cls")).alias("code"), "n"))
+    cells = cells.unionByName(beside.where(F.col("behind") < k).select((F.col("cls") * k + F.col("behind")).alias("code"), "n"))
+    pairs = seen.where(F.col("kind") == PAIR).join(seldom, "hash")
+    pairs = pairs.join(seldom.select(F.col("hash").alias("other"), F.col("cls").alias("before")), "other")
+    cells = cells.unionByName(pairs.select((F.col("before") * k + F.col("cls")).alias("code"), "n"))
+    out = np.zeros(k * k, np.int64)
+    for r in cells.groupBy("code").agg(F.sum("n").alias("n")).collect():  # a row for each pair of classes
+        out[r["code"]] = r["n"]
+    return out.reshape(k, k)
 
 
 @dataclass
@@ -364,23 +460,25 @@ def fit(
     classes, matrix = exchange(first, second, n, units.count, n_classes, sweeps)
     n_unit = np.bincount(second, n, units.count)
     store = Store(docs.sparkSession)
-    pairs = store.put(word_bigrams(docs, units), "bigrams")
-    seldom = words.where((F.col("n_train") > 0) & (F.col("n_train") < max(1.0, unit_share * in_train)))
-    rare, matrix = class_rare(seldom, pairs, store, units, classes, matrix, rounds)
-    store.drop(pairs)
+    head = len(units.words)
+    lookup, lookup_n = (often[c].to_numpy(np.int64) for c in ("hash", "n_train"))
+    frequent = lookup_n >= max(1.0, unit_share * in_train)
+    begin = classes[head + often["ending"].to_numpy(np.int64)]
+    begin[frequent] = classes[:head]  # both in order of hashes
+    known = Classes(lookup, begin, frequent, int(classes[units.end]), classes[head : units.end])
+    rare = words.where((F.col("n_train") > 0) & (F.col("n_train") < max(1.0, unit_share * in_train)))
+    rare = rare.withColumn("often", F.col("n_train") >= max(1.0, lookup_share * in_train))
+    rare, known, matrix = class_rare(docs, rare, store, known, matrix, rounds)
     # A word counts one more than it occurs, and so does one unknown word of each ending.
     weight = np.bincount(classes, minlength=n_classes) + matrix.sum(axis=0)
     for r in rare.groupBy("cls").count().collect():  # a row a class
         weight[r[0]] += r[1]
     within = np.log10(weight)
-    n_unit[len(units.words) : units.end] = 0
-    classed = store.put(words.join(rare.select("hash", "cls"), "hash", "left"), "classed")
-    of = classed.where((F.col("n_train") >= max(1.0, lookup_share * in_train)) & F.col("cls").isNotNull()).select("hash", "cls").toPandas()  # lookups
-    lookup = often["hash"].to_numpy(np.int64)
-    lookup_class = np.full(len(lookup), -1, np.int64)
-    lookup_class[np.searchsorted(lookup, of["hash"].to_numpy(np.int64))] = of["cls"].to_numpy(np.int64)
+    n_unit[head : units.end] = 0
+    classed = words.join(rare.select("hash", "cls"), "hash", "left")
+    lookup_class = np.where(frequent, -1, known.own)
     model = Model(
-        units.words, lookup, often["n_train"].to_numpy(np.int64), lookup_class, classes, np.log10(transitions(matrix)),
+        units.words, lookup, lookup_n, lookup_class, classes, np.log10(transitions(matrix)),
         np.log10(n_unit + 1) - within[classes], within, ends, n_train, v,
     )
     return model, classed

@@ -295,6 +295,75 @@ def test_rare_words_go_with_their_neighbours(spark):
     assert one == pytest.approx(all_)  # joined or looked up
 
 
+def test_class_model_as_plain_rounds(spark):
+    """Rounds and scores by plain Python, from the classes of frequent words and endings."""
+    rng = random.Random(9)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.6)) % 900}{'ab'[rng.randrange(2)]}" for _ in range(rng.randrange(30))) for _ in range(400)]
+    train = [i % 5 != 0 for i in range(len(texts))]
+    docs = frame(spark, texts).withColumn("train", F.col("doc_id") % 5 != 0)
+    k, options = 4, {"unit_share": 1e-2, "lookup_share": 1e-3, "n_classes": 4}
+    model, counted = classlm.fit(docs, **options)
+    got = {r["hash"]: r["cls"] for r in counted.where("n_train > 0").collect()}
+    end = int(model.classes[-1])
+
+    def hashed(word):
+        h, ending, _ = classlm.hashed_words(binary(pa.array([word])))
+        return int(h[0]), int(ending[0])
+
+    n = collections.Counter(w for t, own in zip(texts, train, strict=True) if own for w in words(t))
+    key = {w: hashed(w) for t in texts for w in words(t)}
+    unit = {int(h): i for i, h in enumerate(model.units)}
+    ending = model.classes[len(model.units) : -1]
+    cls = {w: int(model.classes[unit[key[w][0]]] if key[w][0] in unit else ending[key[w][1]]) for w in n}
+    lines = [[None, *words(t), None] for t, own in zip(texts, train, strict=True) if own]
+
+    def count(cls):
+        m = np.zeros((k, k), np.int64)
+        for line in lines:
+            for a, b in zip(line, line[1:], strict=False):
+                m[cls.get(a, end), cls.get(b, end)] += 1
+        return m
+
+    matrix = count(cls)
+    for _ in range(2):
+        into, share = matrix.sum(axis=0) + 1.0, np.log(classlm.transitions(matrix))
+        gains = collections.defaultdict(lambda: np.zeros(k))
+        for line in lines:
+            for a, w, b in zip(line, line[1:], line[2:], strict=False):
+                gains[w] += share[cls.get(a, end)] - np.log(into) + share[:, cls.get(b, end)]
+        moved = {w: c if key[w][0] in unit else int(np.argmax(gains[w])) for w, c in cls.items()}
+        if classlm.likelihood(count(moved)) <= classlm.likelihood(matrix):
+            break
+        cls, matrix = moved, count(moved)
+    assert len(model.units) > 5 and sum(key[w][0] not in unit for w in n) > 300
+    assert all(got[key[w][0]] == c for w, c in cls.items() if key[w][0] not in unit)
+    assert np.array_equal(model.transition, np.log10(classlm.transitions(matrix)))
+
+    weight = collections.Counter(model.classes.tolist())
+    for w, c in cls.items():
+        weight[c] += n[w] + (key[w][0] not in unit)
+    weight[end] += len(lines)
+    rows = {r.doc_id: r.score for r in classlm.with_scores(docs, "train", **options).collect()}
+    for i, t in enumerate(texts):
+        score, before = 0.0, end
+        for w in [*words(t), None]:
+            c = end if w is None else cls.get(w, int(ending[key[w][1]]))
+            score += model.transition[before, c] + math.log10(((len(lines) if w is None else n[w]) + 1) / weight[c])
+            before = c
+        assert rows[i] == pytest.approx(score)
+
+
+def test_held_out_texts_teach_nothing(spark):
+    rng = random.Random(10)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.8)) % 300}" for _ in range(20)) for _ in range(200)]
+    scores = []
+    for more in ("", " w7 w8 w9 strange" * 50):
+        docs = frame(spark, [t + more * (i % 4 == 0) for i, t in enumerate(texts)]).withColumn("train", F.col("doc_id") % 4 != 0)
+        rows = classlm.with_scores(docs, "train", unit_share=1e-2, lookup_share=1e-3, n_classes=4).where("doc_id % 4 != 0").collect()
+        scores.append({r.doc_id: r.score for r in rows})
+    assert scores[0].keys() == scores[1].keys() and all(scores[0][i] == pytest.approx(scores[1][i]) for i in scores[0])
+
+
 def test_exchange_gains_what_it_says():
     rng = np.random.default_rng(8)
     units, classes = 30, 4
