@@ -1,11 +1,10 @@
 """License scans by conditional compression.
 
-Around words that speak of rights a text is compared with each license wording by its
-words, in lower case. A wording is placed where the fewest words are missing or added,
-and these are told. The stretch is compressed with zstandard, once alone and once with
-the wording as a raw dictionary, both in that form: what it gains tells how much of it
-the wording explains. A wording with another number or another qualifying word is another
-license, however close.
+The words around one that speaks of rights, in lower case, are compressed with zstandard,
+once alone and once with each license wording as a raw dictionary. What a wording saves
+ranks it. In this order wordings are placed where the fewest words are missing or added,
+and these are told; the first that differs little enough is found. A wording with another
+number or another qualifying word is another license, however close.
 
 Texts are scanned where they lie; there is no shuffle.
 """
@@ -14,7 +13,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right, insort
-from collections import Counter
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -161,13 +159,22 @@ def minor(changed: list[str], size: int, share: float) -> bool:
     return not any(any(ch.isdigit() for ch in w) or TELLING & set(re.split(r"[+.-]", w)) for w in changed)
 
 
+def ranked(block: bytes, alone: zstandard.ZstdCompressor, each: list[zstandard.ZstdCompressor]) -> list[int]:
+    """The wordings whose dictionary makes the block smaller, by how much; of equal ones the
+    first."""
+    size = len(alone.compress(block))
+    saved = [size - len(c.compress(block)) for c in each]
+    return sorted((i for i, n in enumerate(saved) if n > 0), key=lambda i: -saved[i])
+
+
 def scan(text: str, wordings=tuple(WORDINGS), least_gain: float = 0.25, share: float = 0.1) -> list[Finding]:
     """License wordings of a text, in order.
 
-    Around each sign the longest wording's number of words on both sides is judged,
-    however the lines are broken. Every wording that may stand there is aligned; what
-    differs must gain ``least_gain`` from the wording, too. The best is cut out and the
-    rest judged again, so that several may stand side by side.
+    Around each sign the longest wording's number of words on both sides is a block,
+    however the lines are broken. Wordings are ranked by the bytes that they save as its
+    dictionary, and the first that its words confirm is found; what differs must gain
+    ``least_gain`` from the wording, too. It is cut out and the rest judged again, so that
+    several may stand side by side. All that save anything are gone through.
     """
     places = [m.span() for m in WORD.finditer(text)] if (at := signs(text)) else []
     if not places:
@@ -176,7 +183,6 @@ def scan(text: str, wordings=tuple(WORDINGS), least_gain: float = 0.25, share: f
     spoken = [text[a:b].lower() for a, b in places]
     starts = [a for a, _ in places]
     own = [words(t) for _, t in wordings]
-    counts = [Counter(w) for w in own]
     reach = max(int(len(w) * (1 + share)) + 1 for w in own)
     found: list[tuple[int, int, Finding]] = []  # in order of their words
     for sign in sorted({bisect_right(starts, k) - 1 for k in at}):
@@ -185,23 +191,19 @@ def scan(text: str, wordings=tuple(WORDINGS), least_gain: float = 0.25, share: f
         high = min(len(spoken), sign + reach + 1, found[k][0] if k < len(found) else len(spoken))
         while low <= sign < high:
             piece = spoken[low:high]
-            confirmed, there = None, Counter(piece)
-            for i, (name, _) in enumerate(wordings):
-                # Words that the block lacks are missing wherever the wording is placed.
-                if not minor(list((counts[i] - there).elements()), len(own[i]), share):
-                    continue
+            confirmed = None
+            for i in ranked(" ".join(piece).encode(), alone, each):
                 a, b, changed = differences(own[i], piece)
                 if b <= a or not minor(changed, len(own[i]), share):
                     continue
                 raw = " ".join(piece[a:b]).encode()
                 gain = 1 - len(each[i].compress(raw)) / len(alone.compress(raw))
-                if changed and gain < least_gain:
-                    continue
-                candidate = (4 * len(changed) - len(own[i]), -gain, a + low, b + low, name, changed, gain)
-                confirmed = min(confirmed, candidate) if confirmed else candidate
+                if not changed or gain >= least_gain:
+                    confirmed = a + low, b + low, wordings[i][0], changed, gain
+                    break
             if not confirmed:
                 break
-            _, _, a, b, name, changed, gain = confirmed
+            a, b, name, changed, gain = confirmed
             insort(found, (a, b, Finding(starts[a], places[b - 1][1], name, gain, tuple(changed))), key=lambda f: f[0])
             low, high = (b, high) if b <= sign else (low, a)
     return [f for _, _, f in found]
@@ -219,8 +221,8 @@ def with_licenses(
     points), gain and the words that differ (``-`` missing, ``+`` added).
 
     A null or empty text has none. A wording that stands twice is found twice; of
-    wordings that fit one place the one with most words is taken, a word that differs
-    counting as four less. An input column named like the output is replaced.
+    wordings that fit one place the one that explains most bytes of what stands around it
+    is taken. An input column named like the output is replaced.
     """
     known = tuple(wordings or WORDINGS)
     kind = "array<struct<license:string,start:bigint,stop:bigint,gain:double,differences:array<string>>>"

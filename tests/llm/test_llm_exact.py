@@ -555,6 +555,17 @@ def test_licenses_over_broken_lines(mark, width):
         assert [(f.license, f.differences) for f in found] == [(name, ())], text
 
 
+def test_licenses_are_ranked_by_what_they_explain():
+    """Fewer words differ from the shorter wording, but the longer one saves more bytes."""
+    said = [f"permission{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(42)]
+    short, long = ["license", *said[:30]], ["license", *said]
+    text = " ".join([*long[:-10], *(w + "x" if i in (2, 5) else w for i, w in enumerate(long[-10:]))])
+    for order in (1, -1):
+        found = licenses.scan(text, tuple([("short", " ".join(short)), ("long", " ".join(long))][::order]))
+        assert [f.license for f in found] == ["long"] and len(found[0].differences) == 4
+    assert [f.license for f in licenses.scan(" ".join(short), (("short", " ".join(short)), ("long", " ".join(long))))] == ["short"]
+
+
 def test_licenses_in_any_case():
     for name, wording in licenses.WORDINGS:
         for text in (wording.upper(), wording.replace(" ", " \t ").title(), f"{wording.upper()} {'other words ' * 60}"):
