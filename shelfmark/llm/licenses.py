@@ -71,7 +71,39 @@ WORDINGS = [
     ("CC0-1.0", "Released under CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("LicenseRef-proprietary", "All rights reserved."),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."),
+    ("Apache-2.0", "Apache License 2.0"),
+    ("MIT", "under the terms of the MIT license"),
+    (
+        "GPL-2.0-or-later",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("GPL-3.0", "Licensed under the GPL v3.0."),
+    ("GPL-3.0", "Licensed under GPL v3.0."),
+    ("GPL-2.0", "Licensed under the GPL v2.0."),
+    ("GPL-2.0", "Licensed under GPL v2.0."),
+    ("CC-BY-SA-3.0", "Licensed under CC BY-SA 3.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    (
+        "BSL-1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+        'documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, '
+        "and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so,",
+    ),
 ]
+# Identifiers of the list of licenses that a line of a source file may name.
+IDENTIFIERS = (
+    "Apache-2.0 MIT GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only "
+    "LGPL-3.0-or-later AGPL-3.0-only AGPL-3.0-or-later MPL-2.0 BSD-2-Clause BSD-3-Clause ISC BSL-1.0 CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 Unlicense"
+).split()
+WORDINGS += [(i, f"SPDX-License-Identifier: {i}") for i in IDENTIFIERS]
 
 #: Words around one of these may belong to a license.
 SIGNS = (b"licen", b"copyright", b"rights reserved", b"permission", b"redistribut", b"public domain", b"warrant", b"spdx", b"free software", b"cc by", b"cc0")

@@ -555,6 +555,23 @@ def test_licenses_over_broken_lines(mark, width):
         assert [(f.license, f.differences) for f in found] == [(name, ())], text
 
 
+def test_licenses_of_other_spellings_and_versions():
+    told = {
+        "// SPDX-License-Identifier: MIT": "MIT",
+        "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0-or-later",
+        "It comes under the terms of the MIT license.": "MIT",
+        "Licensed under GPL v3.0": "GPL-3.0",
+        "License: Apache License 2.0": "Apache-2.0",
+        "Licensed under CC BY-SA 3.0": "CC-BY-SA-3.0",
+        "Distributed under the Boost Software License, Version 1.0. (See the file.)": "BSL-1.0",
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+        "Licensed under the Boost Software License, Version 2.0.": None,
+        "SPDX-License-Identifier: Strange-1.0": None,
+    }
+    for text, name in told.items():
+        assert [f.license for f in licenses.scan(text)] == [name] * (name is not None), text
+
+
 def test_licenses_are_ranked_by_what_they_explain():
     """Fewer words differ from the shorter wording, but the longer one saves more bytes."""
     said = [f"permission{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(42)]
