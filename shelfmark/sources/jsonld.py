@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import swap_in
 
+# Files that a task writes: what costs is to make a file, not the bytes that go into it.
+FILES_A_TASK = 2_000
+
 
 def read_documents(
     spark: SparkSession,
@@ -43,9 +47,16 @@ def read_documents(
     )
 
 
-def write_documents(docs: DataFrame, path: str) -> None:
+def write_documents(docs: DataFrame, path: str, files_a_task: int = FILES_A_TASK) -> None:
     """Write ``(split, doc_type, dir_lang, value)`` as one file for each row, in the folders
-    that :func:`read_documents` reads with ``pattern="*.txt"``. Rows that share folders
-    stay in the tasks that they are in, so no folder is one task's."""
-    writer = docs.select("split", "doc_type", "dir_lang", "value").write.option("maxRecordsPerFile", 1)
+    that :func:`read_documents` reads with ``pattern="*.txt"``.
+
+    Rows are counted and dealt out by their number over all cores, at most about
+    ``files_a_task`` to a task, so no folder is one task's. Tasks move their own files to
+    their place (the second commit algorithm) and leave the driver none to move one by one;
+    nobody reads the folder before it is whole, as it takes the old one's place only then.
+    """
+    rows = docs.select("split", "doc_type", "dir_lang", "value")
+    tasks = max(math.ceil(rows.count() / files_a_task), docs.sparkSession.sparkContext.defaultParallelism)
+    writer = rows.repartition(tasks).write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     swap_in(docs.sparkSession, path, writer.partitionBy("split", "doc_type", "dir_lang").text)

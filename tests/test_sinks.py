@@ -116,3 +116,13 @@ def test_document_tree(spark, tmp_path):
     assert sorted((r.split, r.doc_type, r.dir_lang) for r in some.collect()) == sorted(("dev", t, "de") for t in ("Book", "Thesis") for _ in range(3))
     # Other folders are not even listed.
     assert all("split=dev" in f and "dir_lang=de" in f for f in some.inputFiles()) and len(some.inputFiles()) == 6
+
+
+def test_files_of_one_partition_are_written_by_many_tasks(spark, tmp_path):
+    docs = spark.createDataFrame([("train", "Book", "de", f"d{i}") for i in range(60)], "split string, doc_type string, dir_lang string, value string")
+    for files, least in (({}, 4), ({"files_a_task": 6}, 10)):  # a task a core at least
+        path = str(tmp_path / f"tree{least}")
+        jsonld.write_documents(docs.coalesce(1), path, **files)
+        names = [p.name for p in Path(path).rglob("part-*.txt")]
+        assert len(names) == 60 and len({n.split("-")[1] for n in names}) == least
+        assert sorted(r.value.strip() for r in jsonld.read_documents(spark, path, "*.txt").collect()) == sorted(f"d{i}" for i in range(60))
