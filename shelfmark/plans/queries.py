@@ -21,7 +21,7 @@ from shelfmark.operators.numbering import number_rows
 from shelfmark.operators.once import evaluate_once
 from shelfmark.plans import inputs as I
 from shelfmark.plans.jobs import suggest_subjects
-from shelfmark.session import fresh_path, materialize, spread
+from shelfmark.session import fresh_path, materialize, short_batches, spread
 from shelfmark.sources import jsonl, jsonld, tables
 
 DIM = 64
@@ -171,7 +171,7 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [c for c in tables.MERGE_KEY if c != "split"]
-    numbered = number_rows(materialize(_merged(spark, sf_dir), "merged"), order, by="split")
+    numbered = short_batches(number_rows(materialize(_merged(spark, sf_dir), "merged"), order, by="split"))
     return numbered.select("split", "doc_type", "lang", "row_id", J.canonical_json(F.col("json")).alias("json"))
 
 

@@ -36,6 +36,10 @@ SPREAD_BYTES = 32 << 20
 # Stored bytes a sorted partition is sized for (see range_partitions).
 RANGE_BYTES = 64 << 20
 
+# Bytes of an Arrow batch: lines may be long, and a batch of 10,000 of them is held several
+# times over by its worker.
+ARROW_BATCH_BYTES = 4 << 20
+
 # What Spark says of a frame whose size it does not know.
 UNKNOWN_BYTES = 1 << 62
 
@@ -164,6 +168,12 @@ def range_partitions(df: DataFrame) -> int:
     return least if size >= UNKNOWN_BYTES else max(math.ceil(size / RANGE_BYTES), least)
 
 
+def short_batches(df: DataFrame) -> DataFrame:
+    """The frame, whose session is told to cut Arrow batches by bytes and not by rows alone."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+    return df
+
+
 def spread(df: DataFrame, bytes_per_core: int = SPREAD_BYTES) -> DataFrame:
     """Deal a small file out over all cores ahead of work done row by row.
 

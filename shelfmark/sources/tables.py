@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.json import canonical_json
-from shelfmark.session import range_partitions, swap_in
+from shelfmark.session import range_partitions, short_batches, swap_in
 from shelfmark.sources.jsonl import LINE_KEY
 
 MERGE_KEY = ("split", "doc_type_ord", "lang_ord", *LINE_KEY)
@@ -46,7 +46,7 @@ def write_merged_lines(merged: DataFrame, path: str, partitions: int | None = No
     The key is unique per line, so no range can outgrow the others.
     """
     n = partitions or range_partitions(merged)
-    ranged = merged.repartitionByRange(n, *MERGE_KEY).sortWithinPartitions(*MERGE_KEY)
+    ranged = short_batches(merged).repartitionByRange(n, *MERGE_KEY).sortWithinPartitions(*MERGE_KEY)
     lines = ranged.select("split", canonical_json(F.col("json")).alias("value"), F.spark_partition_id().alias("part"))
     # Part files are numbered with five digits at least: with more of them, those of one
     # length go to a folder of their own, so that names still sort as numbers do.
