@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import TIE_DECIMALS, as_matrix, cosine_to, unit_rows
 from shelfmark.operators.once import evaluate_once
-from shelfmark.session import spread
+from shelfmark.session import materialize, spread
 
 # Fixed value: how many neighbours a query asks for.
 TOP_K = 5
@@ -31,6 +31,9 @@ TOP_K = 5
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 64 << 20
 
+# Pairs of rows beyond which a search first leaves out what equal vectors cannot hold.
+MANY_PAIRS = 1 << 30
+
 # Groups in which the best rows of a corpus' tasks meet first.
 TASK_GROUPS = 64
 
@@ -98,33 +101,39 @@ BY = "__by"
 class _Best:
     """The best ``k`` rows of every query among the blocks seen so far."""
 
-    def __init__(self, query_ids: Ids, units: np.ndarray, k: int, chunk: int = 128):
+    def __init__(self, query_ids: Ids, units: np.ndarray, k: int, chunk: int = 128, floor: np.ndarray | None = None):
         self.query_ids, self.units, self.k, self.chunk = query_ids, units, k, chunk
         self.query = np.zeros(0, np.int64)
         self.row = np.zeros(0, np.int64)
         self.key = np.zeros(0)  # rounded similarity, -inf for NaN
-        self.floor = np.full(len(query_ids), -np.inf)  # each query's k-th best key
-        self.highest = -np.inf  # row id so far
-
-    def add(self, row_ids: np.ndarray, units: np.ndarray) -> None:
-        """Take in a block of corpus rows, in ascending ``row_ids``."""
+        # Each query's k-th best key, or that of a search of other rows.
+        self.floor = np.full(len(query_ids), -np.inf) if floor is None else floor.copy()
+        # Row id so far. Rows that a given floor stands for may have any.
+        self.highest = -np.inf if floor is None else np.inf
+
+    def add(self, row_ids: np.ndarray, units: np.ndarray, asking: np.ndarray | None = None) -> None:
+        """Take in a block of corpus rows, in ascending ``row_ids``, for all queries or those
+        at the places ``asking``."""
         # Rows past all earlier ones lose every tie, so only a clearly better key
         # counts; others may win one. The margins allow for the rounding.
         step = 10.0**-TIE_DECIMALS
         bar = self.floor + (0.4 * step if row_ids[0] > self.highest else -step)
         self.highest = max(self.highest, row_ids[-1])
         found = [(self.query, self.row, self.key)]
-        for start in range(0, len(self.units), self.chunk):
-            stop = start + self.chunk
-            sims = self.units[start:stop] @ units.T
-            keep = ~(sims < bar[start:stop, None])  # NaN stays in
+        asking = np.arange(len(self.units)) if asking is None else asking
+        for start in range(0, len(asking), self.chunk):
+            here = asking[start : start + self.chunk]
+            sims = self.units[here] @ units.T
+            keep = ~(sims < bar[here, None])  # NaN stays in
             many = np.count_nonzero(keep, axis=1) > 4 * self.k
             if many.any():
                 keep[many] = self._top_of_each(_key(sims[many]))
             q, r = np.nonzero(keep)
-            found.append((q + start, row_ids[r], _key(sims[q, r])))
+            found.append((here[q], row_ids[r], _key(sims[q, r])))
+        held = len(self.query)
         self.query, self.row, self.key = (np.concatenate(part) for part in zip(*found))
-        self._cut()
+        if len(self.query) > held:
+            self._cut()
 
     def _top_of_each(self, key: np.ndarray) -> np.ndarray:
         n = key.shape[1]
@@ -144,7 +153,7 @@ class _Best:
         order, place = order[place < self.k], place[place < self.k]
         self.query, self.row, self.key = self.query[order], self.row[order], self.key[order]
         last = place == self.k - 1
-        self.floor[self.query[last]] = self.key[last]
+        self.floor[self.query[last]] = np.maximum(self.floor[self.query[last]], self.key[last])
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         taken = self.query_ids[self.query] if isinstance(self.query_ids, np.ndarray) else self.query_ids.take(pa.array(self.query))
@@ -216,6 +225,14 @@ def _size_of(table: DataFrame) -> tuple[int, int]:
     return table.count(), max(first[0] if first else 1, 1)
 
 
+def first_copies(corpus: DataFrame, k: int) -> DataFrame:
+    """The ``k`` first positions of every distinct vector. Equal vectors tie and are told
+    apart by position, so no other row is among the ``k`` nearest of anything. Short texts have
+    few distinct vectors where words are hashed to few buckets."""
+    place = F.row_number().over(Window.partitionBy("embedding").orderBy("row_id"))
+    return corpus.select("row_id", "embedding").withColumn("__copy", place).where(F.col("__copy") <= k).drop("__copy")
+
+
 def knn(
     queries: DataFrame,
     corpus: DataFrame,
@@ -223,11 +240,13 @@ def knn(
     by: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
+    many_pairs: int = MANY_PAIRS,
 ) -> DataFrame:
     """The exact ``k`` nearest corpus rows of every query:
     ``(query_id, row_id, sim, rank)``, with ``by`` in front where queries have it.
 
-    Both sides are counted first. A small corpus is broadcast, and every query is
+    Both sides are counted first. With over ``many_pairs`` pairs of rows, a corpus gives way
+    to the first ``k`` rows of each of its distinct vectors, which have the same hits. A small corpus is broadcast, and every query is
     answered where it lies, with no shuffle. Few queries are broadcast, and each
     task of the corpus hands on its best ``k``, which Spark ranks in groups of tasks
     and then as a whole.
@@ -238,6 +257,9 @@ def knn(
     n_queries, dim = _size_of(queries)
     n_corpus = corpus.count()
     _check_positions(corpus)
+    if n_queries * n_corpus > many_pairs:
+        corpus = materialize(first_copies(corpus, k), "copies")
+        n_corpus = corpus.count()
     if by:
         queries = queries.withColumn(BY, F.col(by))
     keys = [BY] if by else []

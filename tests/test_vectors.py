@@ -183,3 +183,20 @@ def test_plans(spark, tmp_path):
     for options in WAYS.values():
         plan = plan_of(S.knn(stored, stored, **options))
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_only_the_first_copies_of_a_vector_are_searched(spark, way):
+    """A third of the rows are copies of one vector: ``k`` of them do, and the hits are the same."""
+    m, df = random_table(spark, 90)
+    kept = {r.row_id for r in S.first_copies(df, 5).collect()}
+    assert kept == {0, 1, 2, 3, 4, *range(30, 90)}
+    assert rows(S.knn(df, df, 5, many_pairs=0, **WAYS[way])) == brute_force(m, m, 5)
+    odd = table(spark, [(i, v) for i, v in enumerate([None, [NAN, 1.0], [0.0, 0.0], [-0.0, 0.0], [1.0, 0.0]] * 3)])
+    assert rows_or_nan(S.knn(odd, odd, 2, many_pairs=0, **WAYS[way])) == rows_or_nan(S.knn(odd, odd, 2, **WAYS[way]))
+    with pytest.raises(ValueError, match="several rows"):
+        S.knn(df, df.unionAll(df), many_pairs=0, **WAYS[way])
+
+
+def rows_or_nan(hits):
+    return sorted((r.query_id, r["rank"], r.row_id, str(r.sim)) for r in hits.collect())
