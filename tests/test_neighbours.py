@@ -94,3 +94,16 @@ def test_tops_of_tasks_meet_in_groups(spark):
     queries, corpus = frame(spark, matrix[:20]), frame(spark, matrix).repartition(90)
     got = S.knn(queries, corpus, 5, broadcast_bytes=20 * 16 * 8)
     assert hits(got) == hits(S.knn(queries, corpus, 5))
+
+
+def test_a_query_is_moved_once_for_a_stretch_of_cells(spark):
+    """Vectors without structure visit every cell, and are not copied for each of them."""
+    rng = np.random.default_rng(5)
+    table = frame(spark, rng.standard_normal((400, 32)).astype(np.float32))
+    search = pruned.CellSearch(table, table, 3, 40)
+    assert search.share > 0.9
+    first, parts = pruned._stretches(search.pivots, search.count, 100)
+    assert int((first + parts).max()) <= 8  # 400 rows in stretches of 100, not full ones at worst
+    held = np.bincount(first[parts == 1], search.count[parts == 1])
+    assert held.max() <= 100
+    assert hits(search.hits()) == hits(S.knn(table, table, 3))
