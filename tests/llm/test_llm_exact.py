@@ -6,9 +6,13 @@ import collections
 import hashlib
 import itertools
 import math
+import os
 import random
+import tempfile
 import textwrap
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -353,6 +357,61 @@ def test_class_model_as_plain_rounds(spark):
         assert rows[i] == pytest.approx(score)
 
 
+@pytest.mark.parametrize("better", [0, 1, 2, 3])
+def test_seldom_words_score_as_looked_up_ones(spark, monkeypatch, better):
+    """Whichever round is the last that is kept."""
+    rng = random.Random(13)
+    texts = [" ".join(f"{'xy'[j % 2]}{rng.randrange(3)}" if rng.random() < 0.5 else f"{rng.randrange(400)}{rng.choice('abc')}end" for j in range(rng.randrange(40))) for _ in range(120)]
+    docs = frame(spark, [*texts, " ".join(["unseen"] * 300), "unseen 7aend new1 new2 unseen"]).withColumn("train", F.col("doc_id") % 6 != 0)
+    docs = docs.withColumn("train", F.col("train") & (F.col("doc_id") < 120))
+    real, scores = classlm.likelihood, []
+    for lookup_share in (1e-2, 1e-9):
+        rounds = iter([i for r in range(4) for i in (r + 1 if r < better else -1, r)])  # a round's, that of the best so far
+        monkeypatch.setattr(classlm, "likelihood", lambda matrix, rounds=rounds: real(matrix) * 0 + next(rounds))
+        rows = classlm.with_scores(docs, "train", unit_share=2e-2, lookup_share=lookup_share, n_classes=4, rounds=3).collect()
+        scores.append({r.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows})
+    assert len(scores[0]) == 122 and scores[0].keys() == scores[1].keys()
+    for i, row in scores[0].items():
+        assert row == pytest.approx(scores[1][i])
+
+
+def test_class_model_leaves_no_shuffle_files(spark):
+    """What its jobs shuffle is gone when the model is there, however little memory is collected."""
+    rng = random.Random(14)
+    docs = frame(spark, [" ".join(f"w{int(rng.paretovariate(0.6)) % 5000}" for _ in range(60)) for _ in range(300)]).withColumn("train", F.col("doc_id") % 5 != 0)
+    folders = os.environ.get("SPARK_LOCAL_DIRS") or spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+
+    def files():
+        return {f for d in folders.split(",") for f in Path(d).glob("**/blockmgr-*/*/shuffle_*.data")}
+
+    before = files()
+    out = classlm.with_scores(docs, "train", unit_share=1e-2, lookup_share=1e-3, n_classes=4)
+    for _ in range(100):  # they are removed in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert out.count() == 300
+
+
+def test_totals_of_many_parts(monkeypatch):
+    monkeypatch.setattr(classlm, "HELD", 50)
+    rng = np.random.default_rng(15)
+    parts = [rng.integers(0, 2**40 if i % 3 else 90, rng.integers(0, 40)) for i in range(30)]
+    totals, got = classlm.Totals(), collections.Counter()
+    for part in parts:
+        totals.add(part)
+        if totals.full:
+            got.update(dict(zip(*(x.ravel().tolist() for x in totals.take()), strict=True)))
+    keys, sums = totals.take()
+    got.update(dict(zip(keys.tolist(), sums[0].tolist(), strict=True)))
+    assert got == collections.Counter(np.concatenate(parts).tolist())
+    keys = np.unique(rng.integers(0, 8192, 500))
+    n = rng.integers(1, 2**40, len(keys))
+    again = classlm.unpacked(len(keys), classlm.packed(keys, n))
+    assert np.array_equal(again[0], keys) and np.array_equal(again[1], n)
+
+
 def test_held_out_texts_teach_nothing(spark):
     rng = random.Random(10)
     texts = [" ".join(f"w{int(rng.paretovariate(0.8)) % 300}" for _ in range(20)) for _ in range(200)]
