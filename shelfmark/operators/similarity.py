@@ -450,6 +450,24 @@ def _bucketed(table: DataFrame, dim: int, tables: int, bits: int, seed: int, pro
     return placed.withColumn("table_no", F.floor(F.col("place") / (1 + near)).cast("int")).drop("place")
 
 
+@F.arrow_udf(T.DoubleType())
+def _pair_cosine(left: pa.Array, right: pa.Array) -> pa.Array:
+    a, b = unit_rows(as_matrix(left)), unit_rows(as_matrix(right))
+    dim = max(a.shape[1], b.shape[1])
+    sims = (_as_long(a, dim) * _as_long(b, dim)).sum(axis=1)
+    known = left.is_valid().to_numpy(zero_copy_only=False) & right.is_valid().to_numpy(zero_copy_only=False)
+    return pa.array(np.where(known, sims, np.nan))
+
+
+def pair_cosines(pairs: DataFrame, queries: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Pairs ``(query_id, row_id)`` with ``exact``, the cosine of their two vectors, not rounded.
+    Each pair's vectors are fetched by two joins, so this costs as much as there are pairs."""
+    asked = queries.select(F.col("row_id").alias("query_id"), F.col("embedding").alias("__asked"))
+    held = corpus.select("row_id", F.col("embedding").alias("__held"))
+    both = pairs.join(asked, "query_id").join(held, "row_id")
+    return both.select(*pairs.columns, _pair_cosine("__asked", "__held").alias("exact"))
+
+
 def recall(approximate: DataFrame, exact: DataFrame, by: str | None = None) -> DataFrame:
     """Share of the exact hits that the approximate search found."""
     keys = [*([by] if by else []), "query_id", "row_id"]

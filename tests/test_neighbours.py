@@ -107,3 +107,55 @@ def test_a_query_is_moved_once_for_a_stretch_of_cells(spark):
     held = np.bincount(first[parts == 1], search.count[parts == 1])
     assert held.max() <= 100
     assert hits(search.hits()) == hits(S.knn(table, table, 3))
+
+
+@pytest.fixture
+def recall_of(spark, tmp_path):
+    from shelfmark.plans.queries import graph_knn_recall
+
+    def run(vectors):
+        table = frame(spark, vectors).withColumnRenamed("row_id", "vec_id")
+        folder = str(tmp_path / f"t{len(list(tmp_path.iterdir()))}")
+        table.write.parquet(f"{folder}/embeddings.parquet")
+        return graph_knn_recall(spark, folder).first().asDict()
+
+    return run
+
+
+def test_recall_does_not_list_all_pairs(monkeypatch, recall_of):
+    """The exact search hands on the nearest rows of a query, not the whole table for each."""
+    listed, search = [], S.knn
+
+    def counted(*args, **kwargs):
+        hits = search(*args, **kwargs)
+        listed.append(hits.count())
+        return hits
+
+    monkeypatch.setattr(S, "knn", counted)
+    assert recall_of(clustered(300, noise=0.3)) == {"n_exact": 1500, "n_inexact": 0, "finds_most": True, "scores_few": True}
+    assert listed == [1500]
+
+
+def test_recall_checks_every_similarity_found(spark, monkeypatch, recall_of):
+    """Also those that are not among the nearest, with odd vectors, and by less than a millionth."""
+    rows = odd(clustered(200, noise=0.3))
+    n = len(rows)
+    assert recall_of(rows)["n_inexact"] == 0
+    given = [(0, 0, 1.0), (0, 150, 0.5), (1, 1, 1.0 + 2e-9), (2, 2, float("nan")), (n - 21, 3, 0.1)]
+    sims = {(r.query_id, r.row_id): r.sim for r in S.knn(frame(spark, rows), frame(spark, rows), n).where("query_id = 5").collect()}
+    exact = [(q, r, sim) for (q, r), sim in sims.items()]
+    found = spark.createDataFrame([*given, *exact], "query_id long, row_id long, sim double")
+    monkeypatch.setattr(neighbours, "graph_knn", lambda table: found)
+    assert recall_of(rows)["n_inexact"] == 4
+
+
+def test_pair_cosines(spark):
+    matrix = [*clustered(20), None, np.zeros(16)]
+    table = frame(spark, matrix)
+    pairs = spark.createDataFrame([(0, 1), (0, 0), (0, 20), (20, 20), (0, 21), (7, 3)], "query_id long, row_id long")
+    got = {(r.query_id, r.row_id): r.exact for r in S.pair_cosines(pairs, table, table).collect()}
+    unit = [None if v is None else v / (np.linalg.norm(v) or 1) for v in (None if v is None else np.asarray(v, float) for v in matrix)]
+    for (q, r), exact in got.items():
+        wanted = np.nan if unit[q] is None or unit[r] is None else unit[q] @ unit[r]
+        assert exact == pytest.approx(wanted, abs=1e-11, nan_ok=True)
+    assert len(got) == 6
