@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from shelfmark.functions.vectors import TIE_DECIMALS, as_matrix, unit_rows
 from shelfmark.operators.similarity import TOP_K, best_first
-from shelfmark.session import materialize
+from shelfmark.session import materialize, short_batches
 
 BITS = 512
 DEGREE = 48
@@ -73,6 +73,15 @@ def _words(sketches: pa.Array) -> np.ndarray:
     return np.frombuffer(held, np.uint64).reshape(len(sketches), BITS // 64)
 
 
+def _unequal_bits(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Of sketches as rows of 64-bit words: how many bits differ."""
+    # A count per word, which is at most 64: eight bytes, added up in four fields of 16 bits.
+    counts = np.bitwise_count(left ^ right).view(np.uint64)[..., 0]
+    low = np.uint64(0x00FF00FF00FF00FF)
+    fields = (counts & low) + ((counts >> np.uint64(8)) & low)
+    return ((fields * np.uint64(0x0001000100010001)) >> np.uint64(48)).astype(np.int64)
+
+
 def _best(rows: np.ndarray, others: np.ndarray, distance: np.ndarray, degree: int) -> pa.RecordBatch:
     """Of each row the ``degree`` closest others, each once."""
     order = np.lexsort((others, distance, rows))
@@ -99,7 +108,7 @@ def _start(points: DataFrame, degree: int) -> DataFrame:
             yield block(ids, words)
 
     def block(ids: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
-        distance = np.bitwise_count(words[:, None] ^ words[None]).sum(axis=2, dtype=np.int64)
+        distance = _unequal_bits(words[:, None], words[None])
         at, other = np.nonzero(ids[:, None] != ids[None])
         return _best(ids[at], ids[other], distance[at, other], degree)
 
@@ -112,9 +121,10 @@ def _start(points: DataFrame, degree: int) -> DataFrame:
 
 def _closest(edges: DataFrame, degree: int) -> DataFrame:
     """The ``degree`` closest edges of each row; an edge that was there before is not fresh."""
-    once = edges.groupBy("row_id", "other").agg(F.min("distance").alias("distance"), F.min("fresh").alias("fresh"))
+    # All of an edge have one distance, so they share a place, and rows are dealt out once.
     order = Window.partitionBy("row_id").orderBy("distance", "other")
-    return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= degree).drop("place")
+    near = edges.repartition("row_id").withColumn("place", F.dense_rank().over(order)).where(F.col("place") <= degree)
+    return near.groupBy("row_id", "other").agg(F.min("distance").alias("distance"), F.min("fresh").alias("fresh"))
 
 
 def _lists(graph: DataFrame, points: DataFrame, degree: int, round_no: int) -> DataFrame:
@@ -145,26 +155,32 @@ def _local_join(lists: DataFrame, degree: int) -> DataFrame:
 
     def improve(near: pa.ListArray) -> pa.RecordBatch:
         held = near.flatten()
-        ids, worst = held.field("id").to_numpy(), held.field("worst").to_numpy()
-        fresh, words = held.field("fresh").to_numpy(zero_copy_only=False), _words(held.field("sketch"))
         sizes = near.value_lengths().to_numpy()
+        ends = np.cumsum(sizes)
+        fresh = held.field("fresh").to_numpy(zero_copy_only=False)
+        # Fresh members stand first in their list, and each is compared with those behind it.
+        order = np.lexsort((~fresh, np.repeat(np.arange(len(sizes)), sizes)))
+        n_fresh = np.diff(np.concatenate([[0], np.cumsum(fresh)])[np.concatenate([[0], ends])])
+        ids, worst = held.field("id").to_numpy()[order], held.field("worst").to_numpy()[order]
+        words = _words(held.field("sketch"))[order]
         longest = int(sizes.max(initial=0))
         real = np.arange(longest) < sizes[:, None]
-        at = np.where(real, np.cumsum(sizes)[:, None] - sizes[:, None] + np.arange(longest), 0)
+        at = np.where(real, ends[:, None] - sizes[:, None] + np.arange(longest), 0)
         rows, others, distances = [], [], []
-        for x in range(longest):  # one member of every list against the others of its list
-            some = np.flatnonzero(real[:, x])
-            own, all_of = at[some, x], at[some]
-            distance = np.bitwise_count(words[own][:, None] ^ words[all_of]).sum(axis=2, dtype=np.int64)
-            good = real[some] & (fresh[own][:, None] | fresh[all_of]) & (ids[own][:, None] != ids[all_of]) & (distance < worst[own][:, None])
-            a, b = np.nonzero(good)
-            rows.append(ids[own][a])
-            others.append(ids[all_of[a, b]])
-            distances.append(distance[a, b])
+        for x in range(int(n_fresh.max(initial=0))):
+            some = np.flatnonzero(n_fresh > x)
+            own, behind = at[some, x, None], at[some, x + 1 :]
+            distance = _unequal_bits(words[own], words[behind])
+            apart = real[some, x + 1 :] & (ids[own] != ids[behind])
+            for row, other in ((own, behind), (behind, own)):
+                good = np.nonzero(apart & (distance < worst[row]))
+                rows.append(ids[np.broadcast_to(row, distance.shape)[good]])
+                others.append(ids[np.broadcast_to(other, distance.shape)[good]])
+                distances.append(distance[good])
         none = np.zeros(0, np.int64)
         return _best(*(np.concatenate([none, *part]) for part in (rows, others, distances)), degree)
 
-    return lists.mapInArrow(compare, _EDGES)
+    return short_batches(lists).mapInArrow(compare, _EDGES)
 
 
 def neighbour_graph(points: DataFrame, degree: int = DEGREE, settled: float = SETTLED, most_rounds: int = MOST_ROUNDS) -> DataFrame:

@@ -31,6 +31,9 @@ TOP_K = 5
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 64 << 20
 
+# Rows of a block that are made double precision at a time.
+CELL_ROWS = 16_384
+
 # Pairs of rows beyond which a search first leaves out what equal vectors cannot hold.
 MANY_PAIRS = 1 << 30
 
@@ -125,10 +128,11 @@ class _Best:
             here = asking[start : start + self.chunk]
             sims = self.units[here] @ units.T
             keep = ~(sims < bar[here, None])  # NaN stays in
-            many = np.count_nonzero(keep, axis=1) > 4 * self.k
+            q, r = _places(keep)
+            many = np.bincount(q, minlength=len(here)) > 4 * self.k
             if many.any():
                 keep[many] = self._top_of_each(_key(sims[many]))
-            q, r = np.nonzero(keep)
+                q, r = _places(keep)
             found.append((here[q], row_ids[r], _key(sims[q, r])))
         held = len(self.query)
         self.query, self.row, self.key = (np.concatenate(part) for part in zip(*found))
@@ -175,6 +179,11 @@ def _key(sims: np.ndarray) -> np.ndarray:
     return key
 
 
+def _places(kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of what is true in a matrix in which little is."""
+    return np.divmod(np.flatnonzero(kept), max(kept.shape[1], 1))
+
+
 def _place_in_run(sorted_values: np.ndarray) -> np.ndarray:
     """0, 1, 2, ... within each run of equal values."""
     return np.arange(len(sorted_values)) - np.searchsorted(sorted_values, sorted_values, side="left")
@@ -208,6 +217,18 @@ def _block(ids: pa.Array, vectors: pa.Array, by: pa.Array | None = None) -> Bloc
     return np.asarray(ids.to_numpy(zero_copy_only=False), np.int64), unit_rows(as_matrix(vectors))
 
 
+def _gathered(parts: Iterator[Block], n: int) -> Block:
+    """Blocks of ``n`` rows in all, one at least, as one of them."""
+    ids, units, at = [], np.zeros((n, 0)), 0
+    for part_ids, part in parts:
+        if part.shape[1] > units.shape[1]:  # so far all were null
+            units = np.full((n, part.shape[1]), np.nan)
+        units[at : at + len(part)] = _as_long(part, units.shape[1])
+        ids.append(part_ids)
+        at += len(part)
+    return np.concatenate(ids) if isinstance(ids[0], np.ndarray) else pa.concat_arrays(ids), units
+
+
 def _hits_schema(queries: DataFrame, by: str | None = None) -> str:
     return (f"{BY} {queries.schema[by].dataType.simpleString()}, " if by else "") + _HITS
 
@@ -341,16 +362,19 @@ def _knn_cells(
     )
 
     def search(table: pa.Table) -> pa.Table:
-        left, right = table.filter(table["asks"]), table.filter(pc.invert(table["asks"]))
-        asked, held = (
-            _block(*[side[c].combine_chunks() for c in ("row_id", "embedding", *more)])
-            for side, more in ((left, by), (right, ()))
-        )
+        def side(asks: bool, *more: str) -> Iterator[Block]:
+            for batch in table.to_batches(max_chunksize=CELL_ROWS):
+                part = batch.filter(batch["asks"] if asks else pc.invert(batch["asks"]))
+                if part.num_rows:
+                    yield _block(*[part[c] for c in ("row_id", "embedding", *more)])
+
         schema = pa.schema(
             [*[(c, table.schema.field(c).type) for c in by],
              ("query_id", pa.int64()), ("row_id", pa.int64()), ("sim", pa.float64()), ("rank", pa.int32())]
         )
-        return pa.Table.from_batches(_search(asked, iter([held]), k), schema)
+        n_asked = pc.sum(table["asks"]).as_py() or 0
+        # Only the side that asks is held as a whole in double precision.
+        return pa.Table.from_batches(_search(_gathered(side(True, *by), n_asked), side(False), k) if n_asked else [], schema)
 
     return rows.repartition(partitions, *cell).groupBy(*cell).applyInArrow(search, _hits_schema(queries, *by))
 

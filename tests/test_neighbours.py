@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from shelfmark.operators import neighbours, pruned
@@ -159,3 +160,63 @@ def test_pair_cosines(spark):
         wanted = np.nan if unit[q] is None or unit[r] is None else unit[q] @ unit[r]
         assert exact == pytest.approx(wanted, abs=1e-11, nan_ok=True)
     assert len(got) == 6
+
+
+def members(rng, n, fresh=0.3):
+    """Lists of members as a local join gets them."""
+    sketches = rng.integers(0, 2**63, (200, neighbours.BITS // 64), dtype=np.uint64)
+    worst = rng.integers(240, 270, 200)
+    return [
+        [(int(i), sketches[i].tobytes(), int(worst[i]), bool(rng.random() < fresh)) for i in rng.choice(200, rng.integers(1, 97), replace=False)]
+        for _ in range(n)
+    ]
+
+
+NEAR = "near array<struct<id: long, sketch: binary, worst: int, fresh: boolean>>"
+
+
+def test_local_join_compares_every_pair_with_a_fresh_member(spark):
+    lists = members(np.random.default_rng(3), 12)
+    wanted = set()
+    for near in lists:
+        for a, left, worst, new in near:
+            for b, right, _, newer in near:
+                distance = (int.from_bytes(left) ^ int.from_bytes(right)).bit_count()
+                if a != b and (new or newer) and distance < worst:
+                    wanted.add((a, b, distance))
+    found = neighbours._local_join(spark.createDataFrame([(near,) for near in lists], NEAR), 200).collect()
+    assert {tuple(r) for r in found} == wanted and wanted
+
+
+def test_lists_go_to_python_in_short_batches(spark):
+    """A list has some 100 sketches, and 10,000 of them would be held by each task at once."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    lists = spark.range(0, 4000, 1, 1).selectExpr("transform(sequence(1, 96), x -> struct(id + x AS id, cast(repeat('a', 64) AS binary) AS sketch, 5 AS worst, true AS fresh)) AS near")
+    neighbours._local_join(lists, 48)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    assert max(r.bytes for r in lists.mapInArrow(sizes, "bytes long").collect()) <= 5 << 20
+
+
+def test_closest_edges_are_told_once(spark):
+    rng = np.random.default_rng(4)
+    distance = rng.integers(0, 30, (6, 40))
+    edges = [(int(a), int(b), int(distance[a, b]), bool(rng.random() < 0.5)) for a, b in zip(rng.integers(0, 6, 900), rng.integers(0, 40, 900))]
+    told = pd.DataFrame(edges, columns=["row_id", "other", "distance", "fresh"]).groupby(["row_id", "other", "distance"], as_index=False)["fresh"].min()
+    best = told.sort_values(["row_id", "distance", "other"]).groupby("row_id").head(7)
+    found = neighbours._closest(spark.createDataFrame(edges, "row_id long, other long, distance int, fresh boolean").repartition(5), 7).collect()
+    assert sorted(map(tuple, found)) == sorted(tuple(r) for r in best.itertuples(index=False))
+
+
+def test_blocks_of_parts_with_and_without_vectors(spark):
+    """Sides of a block are gathered from batches, of which one may hold nulls only."""
+    parts = [(np.arange(2), np.zeros((2, 0))), (np.arange(2, 5), np.ones((3, 4))), (np.arange(5, 6), np.zeros((1, 0)))]
+    ids, units = S._gathered(iter(parts), 6)
+    assert ids.tolist() == [0, 1, 2, 3, 4, 5]
+    assert np.isnan(units[[0, 1, 5]]).all() and (units[2:5] == 1).all() and units.shape == (6, 4)
+    corpus = frame(spark, [*[None] * 50, *odd(clustered(300, noise=0.2))])
+    cut = S.knn(corpus, corpus, 5, broadcast_bytes=0, block_bytes=16 * 8 * 90)
+    assert hits(cut) == hits(S.knn(corpus, corpus, 5))
